@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, url_filter
+from . import bpe, embedding_dedup, mixing, sharding, simhash, topk, url_filter
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -21,5 +25,22 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_sharding, op4_mixing)}
-ORACLES = {"op1_url_filter": url_filter.oracle()}
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.cluster(table(spark, sf_dir, "documents"))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_url_filter, op2_embedding_dedup, op3_sharding, op4_mixing, op6_bpe, op8_simhash, op9_topk)
+}
+ORACLES = {"op1_url_filter": url_filter.oracle(), "op2_embedding_dedup": embedding_dedup.ORACLE, "op9_topk": topk.ORACLE}
