@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding_dedup, mixing, sharding, simhash, topk, url_filter
+from . import bpe, embedding_dedup, lm, mixing, quality, repeats, sharding, simhash, topk, url_filter
 from .common import table
 
 
@@ -25,12 +25,20 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(table(spark, sf_dir, "documents"))
 
@@ -39,8 +47,23 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_url_filter, op2_embedding_dedup, op3_sharding, op4_mixing, op6_bpe, op8_simhash, op9_topk)
+    for f in (
+        op1_url_filter,
+        op2_embedding_dedup,
+        op3_sharding,
+        op4_mixing,
+        op5_quality,
+        op6_bpe,
+        op7_repeats,
+        op8_simhash,
+        op9_topk,
+        op10_lm,
+    )
 }
 ORACLES = {"op1_url_filter": url_filter.oracle(), "op2_embedding_dedup": embedding_dedup.ORACLE, "op9_topk": topk.ORACLE}
