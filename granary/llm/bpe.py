@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -74,6 +76,7 @@ class Codec:
         self.queue = RankQueue(self.size)
         self.pieces: dict[bytes, list[int]] = {}
         self.segments: dict[str, tuple[bytes, int, bytes]] = {}
+        self.arrays: dict[str, array] = {}
 
     @classmethod
     def load(cls, lines, pattern: str) -> Codec:
@@ -136,6 +139,20 @@ class Codec:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
+    def encode(self, text: str) -> array:
+        """All ids of a text, part by part as in digest."""
+        out = array("i")
+        for part in segments(text):
+            got = self.arrays.get(part)
+            if got is None:
+                got = array("i", self.ids(part))
+                if len(part) <= CACHED_BYTES:
+                    if len(self.arrays) >= CACHED:
+                        self.arrays.clear()
+                    self.arrays[part] = got
+            out.extend(got)
+        return out
+
     def digest(self, text: str) -> tuple[int, bytes, bytes]:
         """How many ids, the ids as decimal numbers joined by spaces, and the bytes that they decode to.
 
@@ -207,14 +224,24 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def tokens(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """docs: text and any columns. Adds ids, the token ids of the whole text."""
+    """docs: text and any columns. In place of text: n_tokens, ids (of the whole text) and decoded_sha256 (of the bytes to
+    which the ids decode)."""
     name = _send(docs, path)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    rest = [f for f in docs.schema if f.name != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(name, pattern)
         for batch in batches:
-            ids = pa.array([[int(x) for x in own.digest(t.as_py() or "")[1].split()] for t in batch.column("text")], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
-
-    return docs.mapInArrow(run, f"{schema}, ids array<int>")
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                got = [own.encode(t.as_py() or "") for t in part.column("text")]
+                n = np.array([len(g) for g in got], np.int32)
+                flat = np.concatenate([np.frombuffer(g, np.int32) for g in got if len(g)] or [np.empty(0, np.int32)])
+                ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(flat))
+                sha = pa.array([hashlib.sha256(own.decode(g)).hexdigest() for g in got], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(f.name) for f in rest), pa.array(n.astype(np.int64)), ids, sha], [*(f.name for f in rest), "n_tokens", "ids", "decoded_sha256"]
+                )
+
+    return docs.mapInArrow(run, f"{schema}, n_tokens long, ids array<int>, decoded_sha256 string")

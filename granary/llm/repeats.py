@@ -389,7 +389,8 @@ def strip(docs: DataFrame) -> DataFrame:
     gone = gone.select(F.col("t").alias("__t"), F.col("rep").alias("__rep"), F.col("spans").alias("__spans"), F.col("copied").alias("__copied"))
     same = (F.col("__k") == F.col("__t")) & (F.col("__copied") | F.col("doc_id").eqNullSafe(F.col("__rep")))
     joined = docs.withColumn("__k", text_key(F.col("text"))).join(gone.hint("shuffle_hash"), same, "left")
-    joined = joined.select(*docs.columns, "__spans", "__copied")
+    names = docs.columns
+    joined = joined.select(*names, "__spans", "__copied")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,7 +399,7 @@ def strip(docs: DataFrame) -> DataFrame:
             for k, (t, s, c) in enumerate(zip(texts, spans, copied)):
                 if t is not None and (s or c):
                     texts[k] = "" if c else cut_out(t.encode(), s)[0].decode(errors="ignore")
-            cols = {n: batch.column(n) for n in docs.columns}
+            cols = {n: batch.column(n) for n in names}
             cols["text"] = pa.array(texts, pa.string())
             if "n_chars" in cols:
                 cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())

@@ -27,6 +27,7 @@ from . import golay
 from .arrow import longs
 from .common import cut, partitions
 from .components import components, flatten, unite
+from .textnum import scramble
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -85,15 +86,16 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fps = longs(batch.column("fp"))
+        seed, fps, node = (longs(batch.column(c)) for c in ("seed", "fp", "node"))
         for at in range(0, len(fps), 4096):
             part = np.ascontiguousarray(fps[at : at + 4096])
             r, k = keys(part)
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(part[r])], ["k", "fp"])
+            k |= seed[at : at + 4096][r].astype(np.int64) << 26
+            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(part[r]), pa.array(node[at : at + 4096][r])], ["k", "fp", "node"])
 
 
 def forest(k: np.ndarray, fp: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
-    """k sorted. Links of each fingerprint to the first one in its tree among those with its key."""
+    """k sorted. Places of linked fingerprints, and of the first one in the tree of each among those with its key."""
     starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     sizes = np.diff(np.append(starts, len(k)))
     parent = np.arange(len(k))
@@ -109,25 +111,24 @@ def forest(k: np.ndarray, fp: np.ndarray, distance: int = DISTANCE) -> tuple[np.
             unite(parent, i + at, j + at)
     root = flatten(parent)
     linked = np.flatnonzero(root != np.arange(len(k)))
-    return fp[linked], fp[root[linked]]
+    return linked, root[linked]
 
 
 def _linker(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; a key's rows may spread over batches."""
-        k, fp = np.empty(0, np.int32), np.empty(0, np.int64)
-        seen: set = set()
+        k, fp, node = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
         def links(upto: int):
             a, b = forest(k[:upto], fp[:upto], distance)
-            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+            pairs = np.unique(np.stack([node[a], node[b]], axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
-            k, fp = np.concatenate([k, longs(batch.column("k"))]), np.concatenate([fp, longs(batch.column("fp"))])
+            k, fp, node = (np.concatenate([x, longs(batch.column(c))]) for x, c in ((k, "k"), (fp, "fp"), (node, "node")))
             if len(k) and (upto := int(np.searchsorted(k, k[-1]))):
                 yield links(upto)
-                k, fp = k[upto:], fp[upto:]
+                k, fp, node = k[upto:], fp[upto:], node[upto:]
         if len(k):
             yield links(len(k))
 
@@ -135,17 +136,19 @@ def _linker(distance: int):
 
 
 def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """fps: fp, distinct. Links a, b that connect exactly the fingerprints whose chain of links connects them."""
+    """fps: seed (0 to 31), fp, node; distinct. Links a, b of nodes that connect exactly those whose chain of links connects
+    them; fingerprints of different seeds do not meet."""
     if not 0 <= distance <= DISTANCE:
         raise ValueError(f"the keys hold for up to {DISTANCE} bits")
-    rows = fps.select("fp").mapInArrow(_key_rows, "k int, fp long")
+    rows = fps.select("seed", "fp", "node").mapInArrow(_key_rows, "k int, fp long, node long")
     return rows.repartition(partitions(fps.sparkSession), "k").sortWithinPartitions("k", "fp").mapInArrow(_linker(distance), "a long, b long")
 
 
 def groups(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """prints: fp and any columns. Returns fp, root: every distinct fingerprint with its component's."""
     fps = cut(prints.select("fp").distinct(), "fps")
-    roots = components(links(fps, distance)).withColumnRenamed("id", "fp")
+    named = fps.select(F.lit(0).alias("seed"), "fp", F.col("fp").alias("node"))
+    roots = components(links(named, distance)).withColumnRenamed("id", "fp")
     return fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -159,14 +162,75 @@ def cluster(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> D
     return prints.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE, reread: bool = False) -> DataFrame:
-    """docs with one row of each group left: that of the smallest doc_id. reread: docs reads files, and gives the same
-    rows in the same partitions each time; otherwise they are written to the shared folder first."""
-    own = docs if reread else cut(docs, "docs")
-    uid = F.monotonically_increasing_id()
-    prints = cut(fingerprints(own.select("doc_id", "text", uid.alias("uid")), size), "prints")
-    named = groups(prints, distance)
-    first = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("first"))
-    kept = cut(first.join(named, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.uid"), "kept")
-    marked = own.withColumn("__uid", uid)
-    return marked.join(kept.hint("shuffle_hash"), marked["__uid"] == kept["uid"], "left_semi").select(*docs.columns)
+#: The pipeline's form: word-set fingerprints under several seeds, then five-word shingles compared exactly.
+SEEDS, SHINGLES, SIMILARITY = 5, 5, 0.8
+
+
+def word_fingerprints(text: bytes, seeds: int = SEEDS) -> list[int]:
+    """SimHashes of a text's distinct words under several seeds (as signed longs)."""
+    words = set(text.lower().split())
+    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    out = np.zeros(seeds, "<u8")
+    for k in range(seeds if words else 0):
+        bits = np.unpackbits(scramble(h + np.uint64(k << 32)).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        out[k] = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(h), bitorder="little").view("<u8")[0]
+    return out.view(np.int64).tolist()
+
+
+def shingles(text: bytes, size: int = SHINGLES) -> np.ndarray:
+    """Sorted distinct hashes of the runs of so many words (of the whole, if it has fewer)."""
+    words = text.lower().split()
+    runs = {b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64, len(runs)))
+
+
+def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, reread: bool = False) -> DataFrame:
+    """docs less its copies: rows whose five-word shingles are so similar to those of a row that stays. All columns stay.
+
+    Candidates are texts linked by any of several SimHashes of their distinct words, which edits of single words disturb
+    less than shingles. Of a group of equal texts the smallest doc_id stands for all. In a group of linked texts, the one nearest to the
+    bitwise majority of the fingerprints stays, and the others go where the exact comparison with it agrees.
+    reread: docs reads files and gives the same rows in the same partitions each time; otherwise it is written to the
+    shared folder first. Texts without words are equal to each other."""
+    own = (docs if reread else cut(docs, "docs")).withColumn("__uid", F.monotonically_increasing_id())
+    prints = cut(own.select("doc_id", "text", "__uid").mapInArrow(_word_prints(seeds), "uid long, doc_id long, same string, fps array<long>"), "prints")
+    one = cut(
+        prints.groupBy("same").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("x"), F.first("fps").alias("fps")).select("same", "x.uid", "fps"),
+        "texts",
+    )
+    prints_of = one.select("uid", F.posexplode("fps").alias("seed", "fp"))
+    each = cut(prints_of.groupBy("seed", "fp").agg(F.min("uid").alias("node")), "fps")
+    alike = prints_of.join(each, ["seed", "fp"]).where("node <> uid").select(F.col("node").alias("a"), F.col("uid").alias("b"))
+    roots = cut(components(links(each).unionByName(alike)), "roots").withColumnRenamed("id", "uid")
+    members = one.join(roots, "uid").select("uid", "root", "fps")
+    places = [(k, b) for k in range(min(seeds, 2)) for b in range(64)]
+    most = F.expr(f"array({', '.join(f'sum(shiftright(fps[{k}], {b}) & 1) * 2 > count(1)' for k, b in places)})")
+    counts = members.groupBy("root").agg(most.alias("most"))
+    away = F.expr("size(filter(most, (m, k) -> m <> ((shiftright(fps[k div 64], cast(k % 64 as int)) & 1) = 1)))")
+    near = members.join(counts, "root").groupBy("root").agg(F.min(F.struct(away.alias("away"), "uid")).alias("x"))
+    linked = cut(members.join(near.select("root", F.col("x.uid").alias("kept")), "root").select("uid", "root", "kept"), "linked")
+    text = own.select("__uid", "text").join(linked.hint("shuffle_hash"), F.col("__uid") == linked["uid"]).select("uid", "root", "kept", "text")
+    sets = cut(text.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
+    first = sets.where("uid = kept").select("root", F.col("set").alias("of"))
+    common = F.size(F.array_intersect("set", "of"))
+    gone = sets.where("uid <> kept").join(first, "root").where(common / (F.size("set") + F.size("of") - common) >= least).select("uid")
+    copies = prints.join(one.select("same", F.col("uid").alias("kept")), "same").where("uid <> kept").select("uid")
+    dropped = cut(gone.unionByName(copies), "dropped")
+    return own.join(dropped.hint("shuffle_hash"), own["__uid"] == dropped["uid"], "left_anti").select(*docs.columns)
+
+
+def _word_prints(seeds: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            same = [xxhash.xxh3_128_hexdigest(b" ".join(t.lower().split())) for t in texts]
+            fps = pa.array([word_fingerprints(t, seeds) for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("__uid"), batch.column("doc_id"), pa.array(same, pa.string()), fps], ["uid", "doc_id", "same", "fps"])
+
+    return run
+
+
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingles(t or b"").view(np.int64) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "root", "kept")), pa.array(sets, pa.list_(pa.int64()))], ["uid", "root", "kept", "set"])
