@@ -20,16 +20,14 @@ def sniff(spark: SparkSession, path: str) -> str:
 
 
 def read(spark: SparkSession, path: str, delimiter: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """Every column a string, names stripped, nothing inferred; an empty field is an empty string."""
+    """Every column a string, names stripped, nothing inferred; an empty or lacking field is an empty string."""
     df = (
         spark.read.option("header", True)
         .option("sep", delimiter or sniff(spark, path))
         .option("encoding", encoding)
-        .option("emptyValue", "")
-        .option("nullValue", "\0")
         .csv(path)
     )
-    return df.toDF(*(c.strip().lstrip("﻿") for c in df.columns))
+    return df.toDF(*(c.strip().lstrip("﻿") for c in df.columns)).na.fill("")
 
 
 def undecodable(spark: SparkSession, path: str) -> DataFrame:
