@@ -89,7 +89,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block: int = BLO
             for s in p.at
             for i, slot in enumerate(p.at[s])
         ],
-        "s string, b0 long, b1 long, units long, period long, i long, slot0 long",
+        "mix_s string, mix_b0 long, mix_b1 long, mix_units long, mix_period long, mix_i long, mix_slot0 long",
     )
     before = Window.partitionBy("mix_source").orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("mix_source", "mix_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_start"))
@@ -100,14 +100,14 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block: int = BLO
         .join(starts, ["mix_source", "mix_part"])
         .withColumns({"mix_block": F.floor(rank / block), "mix_in": rank % block})
     )
-    j = F.col("mix_block") - F.col("b0")
+    j, units = F.col("mix_block") - F.col("mix_b0"), F.col("mix_units")
     placed = ranked.join(  # (sources + 1) * W rows at most: a parameter's size
         F.broadcast(slots),
-        (F.col("mix_source") == F.col("s"))
-        & (F.col("mix_block") >= F.col("b0"))
-        & (F.col("mix_block") < F.col("b1"))
-        & (j % F.col("units") == F.col("i")),
-    ).withColumn("mix_slot", F.col("slot0") + F.floor(j / F.col("units")) * F.col("period"))
+        (F.col("mix_source") == F.col("mix_s"))
+        & (F.col("mix_block") >= F.col("mix_b0"))
+        & (F.col("mix_block") < F.col("mix_b1"))
+        & (j % units == F.col("mix_i")),
+    ).withColumn("mix_slot", F.col("mix_slot0") + F.floor(j / units) * F.col("mix_period"))
     short = _short(have, plan, block)
     gone = sum((F.when(F.col("mix_slot") > slot, missing).otherwise(0) for slot, missing in short), F.lit(0))
     return placed.select(

@@ -5,7 +5,8 @@ over all documents; at most 3 to the number of labellers) is all that expectatio
 share of bad documents and each labeller's accuracy. The combinations' posteriors label a bounded hash sample of documents
 (SAMPLE is the bound), on which a linear scorer over hashed features is trained; it scores and judges every document.
 
-Defined cases: a null or empty text has no words, all labellers abstain, and it is kept with the prior; repeated rows
+Defined cases: on a text of fewer than FEW words (a null or empty one too) all labellers abstain, and it is kept with
+the prior as its score; repeated rows
 are judged alike; other columns are carried (keep_good) or not read (score); an empty table gives no rows.
 """
 
@@ -231,7 +232,8 @@ def _judge(model: LabelModel, w: np.ndarray, texts: list[bytes], threshold: floa
     words, shares = statistics(texts)
     posterior = model.posterior(pattern(votes(words, shares)))
     m = margin(*features(texts, words, shares), w)
-    bad = np.where(words < FEW, model.bad_share, 1 / (1 + np.exp(-np.clip(m, -50, 50))))
+    few = min(model.bad_share, threshold)  # too few words to reject
+    bad = np.where(words < FEW, few, 1 / (1 + np.exp(-np.clip(m, -50, 50))))
     return bad, posterior, bad <= threshold
 
 
