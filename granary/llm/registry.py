@@ -66,4 +66,4 @@ QUERIES = {
         op10_lm,
     )
 }
-ORACLES = {"op1_url_filter": url_filter.oracle(), "op2_embedding_dedup": embedding_dedup.ORACLE, "op9_topk": topk.ORACLE}
+ORACLES = {"op1_url_filter": url_filter.oracle(), "op2_embedding_dedup": embedding_dedup.ORACLE, "op7_repeats": repeats.ORACLE, "op9_topk": topk.ORACLE}

@@ -406,3 +406,20 @@ def strip(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     return joined.mapInArrow(run, docs.schema)
+
+
+ORACLE = f"""
+with d as (select row_number() over () rid, doc_id, hex(encode(coalesce(text, ''))) h from documents),
+  b as (select rid, o, substr(h, 2 * o + 1, 2 * (1000 + {LENGTH - 1})) part from
+    (select rid, h, unnest(range(0, length(h) // 2 - {LENGTH - 1}, 1000)) o from d)),
+  w as (select rid, o + q p, md5(substr(part, 2 * q + 1, {2 * LENGTH})) k from
+    (select *, unnest(range(0, length(part) // 2 - {LENGTH - 1})) q from b)),
+  c as (select rid, p from w where k in (select k from w group by k having count(*) > 1)),
+  g as (select rid, p, sum(fresh) over (partition by rid order by p) run from
+    (select rid, p, case when p - lag(p) over (partition by rid order by p) <= {LENGTH} then 0 else 1 end fresh from c)),
+  r as (select rid, min(p) lo, max(p) + {LENGTH} hi from g group by rid, run),
+  k as (select rid, sum(hi - lo) gone, count(*) runs, max(hi) last, string_agg(part, '' order by lo) parts from
+    (select rid, lo, hi, substr(h, 2 * before + 1, 2 * (lo - before)) part from
+      (select *, coalesce(lag(hi) over (partition by rid order by lo), 0) before from r) join d using (rid)) group by rid)
+select doc_id, length(h)::bigint // 2 n_bytes, coalesce(gone, 0)::bigint n_removed, coalesce(runs, 0)::bigint n_spans,
+  sha256(unhex(coalesce(parts || substr(h, 2 * last + 1), h))) kept_sha256 from d left join k using (rid)"""
