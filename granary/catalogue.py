@@ -207,7 +207,7 @@ def k_anonymous_values(spark, sf_dir):
     return profile.safe_values(_t(spark, sf_dir, "orders"), "o_orderpriority")
 
 
-@query("select count(*) \"rows\", count(ts) parsed, strftime(max(ts), '%Y-%m-%d %H:%M:%S') latest, epoch(timestamp '2026-01-01' - max(ts))::double / 3600 age_hours from events")
+@query("select count(*) \"rows\", count(ts) parsed, strftime(max(ts), '%Y-%m-%d %H:%M:%S') latest, (epoch_us(timestamp '2026-01-01') - epoch_us(max(ts)))::double / 3600000000.0::double age_hours from events")
 def freshness(spark, sf_dir):
     events = _t(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at"))
     seen = delimited.probe(events, "at")
@@ -244,10 +244,11 @@ def unique_combinations(spark, sf_dir):
 
 
 @query("""with d as (select cast(ts as date) "day", count(*) n from events group by 1)
-    select strftime("day", '%Y-%m-%d') "day", n, avg(n) over w mean, stddev_samp(n) over w deviation from d window w as (order by "day" rows between 7 preceding and 1 preceding)""")
+    select strftime("day", '%Y-%m-%d') "day", n, round(avg(n) over w, 6) mean, round(stddev_samp(n) over w, 6) deviation from d window w as (order by "day" rows between 7 preceding and 1 preceding)""")
 def temporal_baseline(spark, sf_dir):
     days = _t(spark, sf_dir, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
-    return profile.baseline(days, "day", "n").withColumn("day", F.col("day").cast("string"))
+    out = profile.baseline(days, "day", "n")
+    return out.select(F.col("day").cast("string").alias("day"), "n", *(F.round(c, 6).alias(c) for c in ("mean", "deviation")))
 
 
 EVENT_RULES = (
