@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of tokens. Every adjacent pair that has a rank is put in that rank's bucket, and three
-levels of 64-bit bitmaps say which buckets are filled: two find-first-set steps down from the top give the
-lowest rank at once. A bucket is a heap of positions, so that equal ranks go from left to right; an entry whose pair has changed is
-skipped when it comes up. Each merge adds at most two entries, so a pre-token of n bytes takes O(n log n) steps,
-however long it is.
+A pre-token is a linked list of tokens. Every adjacent pair that has a rank is put in that rank's bucket, and two
+levels of bitmaps (WORD bits below, one bit for each word above) say which buckets are filled: a find-first-set step on
+each gives the lowest rank at once. A bucket is a heap of positions, so that equal ranks go from left to right; an entry whose pair
+has changed is skipped when it comes up. Each merge adds at most two entries, so a pre-token of n bytes takes
+O(n log n) steps, however long it is.
 
 Defined cases: a null text is an empty one and has no tokens; every byte has a token of its own, so any text has an encoding and
 decoding gives its bytes back; repeated rows are encoded one by one; other columns are not read.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -24,59 +25,38 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-CACHED, CACHED_BYTES = 400_000, 64
+CACHED, CACHED_BYTES, WORD = 300_000, 64, 256
 
 
-class RankQueue:
-    """Positions by rank; pop gives the leftmost of the lowest rank."""
+class Recent(dict):
+    """A dict of bounded size: when it is full it becomes the old half, and what is asked for again moves back."""
 
-    __slots__ = ("top", "middle", "low", "buckets")
+    def __init__(self, make, size: int = CACHED):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
 
-    def __init__(self, ranks: int):
-        self.top = 0
-        self.middle = [0] * (ranks // 4096 + 1)
-        self.low = [0] * (ranks // 64 + 1)
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            word = rank >> 6
-            self.low[word] |= 1 << (rank & 63)
-            self.middle[word >> 6] |= 1 << (word & 63)
-            self.top |= 1 << (word >> 6)
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int]:
-        top = self.top
-        a = (top & -top).bit_length() - 1
-        x = self.middle[a]
-        b = a << 6 | (x & -x).bit_length() - 1
-        x = self.low[b]
-        rank = b << 6 | (x & -x).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] = x = x & (x - 1)
-            if not x:
-                self.middle[a] = x = self.middle[a] & (self.middle[a] - 1)
-                if not x:
-                    self.top = top & (top - 1)
-        return rank, position
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+            if len(key) > CACHED_BYTES:
+                return got
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
 
 
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.size = ranks, max(ranks.values()) + 1
         self.bytes = {v: k for k, v in ranks.items()}
-        self.pattern = regex.compile(pattern)
-        self.queue = RankQueue(self.size)
-        self.pieces: dict[bytes, list[int]] = {}
-        self.segments: dict[str, tuple[bytes, int, bytes]] = {}
-        self.arrays: dict[str, array] = {}
+        self.find = regex.compile(pattern).findall
+        self.filled = [0] * (self.size // WORD + 1)  # the lower bitmap; empty between calls
+        self.pieces = Recent(self.merge, CACHED * 3 // 2)
+        self.heads, self.parts = Recent(self._say), Recent(lambda part: self._say(" " + part))
+        self.arrays = Recent(lambda part: array("i", self.ids(part)))
 
     @classmethod
     def load(cls, lines, pattern: str) -> Codec:
@@ -84,73 +64,90 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
-        ranks = self.ranks
-        if (whole := ranks.get(piece)) is not None:
+        get = self.ranks.get
+        if (whole := get(piece)) is not None:
             return [whole]
         n = len(piece)
-        token = [piece[k : k + 1] for k in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair: list[int | None] = [None] * n  # the rank under which a position is queued now
-        queue, get = self.queue, ranks.get
+        pair = [-1] * n  # the rank under which a position is queued now
+        buckets: dict[int, list[int]] = {}
+        filled, words = self.filled, 0
         for k in range(n - 1):
-            if (r := get(piece[k : k + 2])) is not None:
-                pair[k] = r
-                queue.push(r, k)
-        while queue.top:
-            rank, k = queue.pop()
+            rank = get(piece[k : k + 2])
+            if rank is not None:
+                pair[k] = rank
+                if rank in buckets:
+                    buckets[rank].append(k)
+                else:
+                    buckets[rank] = [k]
+                    filled[rank // WORD] |= 1 << rank % WORD
+                    words |= 1 << rank // WORD
+        while words:
+            word = (words & -words).bit_length() - 1
+            bits = filled[word]
+            rank = word * WORD + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                k = heappop(bucket)
+            else:
+                k = bucket[0]
+                del buckets[rank]
+                filled[word] = bits = bits & (bits - 1)
+                if not bits:
+                    words &= words - 1
             if pair[k] != rank:
                 continue  # stale
             gone = after[k]
-            token[k] += token[gone]
-            pair[gone] = None
+            pair[gone] = pair[k] = -1
             after[k] = following = after[gone]
-            pair[k] = None
             if following < n:
                 before[following] = k
-                if (r := get(token[k] + token[following])) is not None:
-                    pair[k] = r
-                    queue.push(r, k)
-            if (left := before[k]) >= 0:
-                pair[left] = None
-                if (r := get(token[left] + token[k])) is not None:
-                    pair[left] = r
-                    queue.push(r, left)
-        out, k = [], 0
+                rank = get(piece[k : after[following]])
+                if rank is not None:
+                    pair[k] = rank
+                    if rank in buckets:
+                        heappush(buckets[rank], k)
+                    else:
+                        buckets[rank] = [k]
+                        filled[rank // WORD] |= 1 << rank % WORD
+                        words |= 1 << rank // WORD
+            left = before[k]
+            if left >= 0:
+                rank = get(piece[left:following])
+                if rank is None:
+                    pair[left] = -1
+                else:
+                    pair[left] = rank
+                    if rank in buckets:
+                        heappush(buckets[rank], left)
+                    else:
+                        buckets[rank] = [left]
+                        filled[rank // WORD] |= 1 << rank % WORD
+                        words |= 1 << rank // WORD
+        out, k, ranks = [], 0, self.ranks
         while k < n:
-            out.append(ranks[token[k]])
+            out.append(ranks[piece[k : after[k]]])
             k = after[k]
         return out
 
-    def _piece(self, piece: bytes) -> list[int]:
-        if len(piece) > CACHED_BYTES:
-            return self.merge(piece)
-        if (got := self.pieces.get(piece)) is None:
-            if len(self.pieces) >= CACHED:
-                self.pieces.clear()
-            got = self.pieces[piece] = self.merge(piece)
-        return got
-
     def ids(self, text: str) -> list[int]:
         out: list[int] = []
-        for match in self.pattern.findall(text):
-            out += self._piece(match.encode())
+        for match in self.find(text):
+            out += self.pieces[match.encode()]
         return out
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
+    def _say(self, part: str) -> tuple[bytes, bytes]:
+        ids = self.ids(part)
+        return b"".join(b" %d" % x for x in ids), self.decode(ids)
+
     def encode(self, text: str) -> array:
         """All ids of a text, part by part as in digest."""
         out = array("i")
         for part in segments(text):
-            got = self.arrays.get(part)
-            if got is None:
-                got = array("i", self.ids(part))
-                if len(part) <= CACHED_BYTES:
-                    if len(self.arrays) >= CACHED:
-                        self.arrays.clear()
-                    self.arrays[part] = got
-            out.extend(got)
+            out.extend(self.arrays[part])
         return out
 
     def digest(self, text: str) -> tuple[int, bytes, bytes]:
@@ -159,21 +156,17 @@ class Codec:
         The text is taken apart where a single space stands between two characters that are not white space. No match
         of the pattern spans such a place (a match that reaches it ends, and the next one begins with the space),
         so the parts' results joined are the text's, and a part seen before costs one look-up."""
-        said, n, decoded = [], 0, []
-        for part in segments(text):
-            got = self.segments.get(part)
-            if got is None:
-                ids = self.ids(part)
-                got = (" ".join(map(str, ids)).encode(), len(ids), self.decode(ids))
-                if len(part) <= CACHED_BYTES:
-                    if len(self.segments) >= CACHED:
-                        self.segments.clear()
-                    self.segments[part] = got
-            if got[1]:
-                said.append(got[0])
-                n += got[1]
-                decoded.append(got[2])
-        return n, b" ".join(said), b"".join(decoded)
+        if _MIXED(text):
+            got = [self.heads[part] for part in segments(text)]
+        else:  # every space is such a place
+            head, *parts = text.split(" ")
+            got = [self.heads[head], *map(self.parts.__getitem__, parts)]
+        said = b"".join([x[0] for x in got])[1:]
+        return said.count(b" ") + 1 if said else 0, said, b"".join([x[1] for x in got])
+
+
+#: A space beside other white space, or at either end.
+_MIXED = re.compile(r" (?:(?<=\s\s)|(?<=\A )|(?=\s|\Z))").search
 
 
 def segments(text: str) -> Iterator[str]:
