@@ -59,6 +59,18 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
 
 
+def write(docs: DataFrame, path: str, shards: int = SHARDS, files: int = 16) -> None:
+    """docs (text and any columns) as Parquet folders shard=0, shard=1, ...; equal texts in the same one. A shard's rows are dealt to
+    so many tasks by hash, so that no task gets a whole shard."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.withColumn("__h", F.xxhash64(text))
+    size = (F.octet_length(text) + 8).cast("long")
+    groups = cut(keyed.groupBy(F.col("__h").alias("h")).agg(F.sum(size).alias("size")), "groups")
+    placed = keyed.withColumn("shard", shard_of(F.col("__h"), cuts(groups, shards)))
+    spread = F.pmod(F.xxhash64(*docs.columns), F.lit(files))
+    placed.drop("__h").repartition("shard", spread).write.partitionBy("shard").parquet(path)
+
+
 def shard_of(h: Column, bounds: list[int]) -> Column:
     """How many of the bounds are at or before h."""
     return sum(((h >= F.lit(b)).cast("int") for b in bounds), F.lit(0)).cast("int")

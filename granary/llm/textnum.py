@@ -36,20 +36,17 @@ def slabs(texts: list[bytes], lower: bool = True, size: int = SLAB) -> Iterator[
     held: list[bytes] = []
     first = total = 0
     for k, text in enumerate(texts):
-        while len(text) > size:
-            if held:
-                yield _slab(held, first, True, lower)
-                held, total = [], 0
-            at = _break(text, size)
-            first = k
-            if at >= len(text):
-                break
-            yield _slab([text[:at]], k, False, lower)
-            text = text[at:]
+        at = 0
+        if len(text) > size and held:
+            yield _slab(held, first, True, lower)
+            held, total = [], 0
+        while len(text) - at > size and (end := _break(text, at + size)) < len(text):
+            yield _slab([text[at:end]], k, False, lower)
+            at = end
         if not held:
             first = k
-        held.append(text)
-        total += len(text) + 1
+        held.append(text[at:] if at else text)
+        total += len(held[-1]) + 1
         if total >= size:
             yield _slab(held, first, True, lower)
             held, total = [], 0
@@ -57,11 +54,10 @@ def slabs(texts: list[bytes], lower: bool = True, size: int = SLAB) -> Iterator[
         yield _slab(held, first, True, lower)
 
 
-def _break(text: bytes, size: int) -> int:
-    for at in range(size, len(text)):
-        if _SPACES[text[at]]:
-            return at + 1
-    return len(text)
+def _break(text: bytes, at: int) -> int:
+    while at < len(text) and not _SPACES[text[at]]:
+        at += 1
+    return min(at + 1, len(text))
 
 
 def _slab(texts: list[bytes], first: int, whole: bool, lower: bool) -> Slab:
