@@ -122,6 +122,13 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard_by_bytes(empty).count() == 0
 
 
+def test_shards_on_disk(spark, docs, tmp_path):
+    sharding.write(docs, str(tmp_path / "out"), 5)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    want = {(r.doc_id, r.text_crc32): r.shard for r in sharding.shard_by_bytes(docs, 5).collect()}
+    assert back.count() == docs.count() and {(r.doc_id, zlib.crc32(raw(r))): r.shard for r in back.collect()} == want
+
+
 def test_sharding_refines_bins(spark, monkeypatch):
     monkeypatch.setattr(sharding, "FIRST_BITS", 1)
     monkeypatch.setattr(sharding, "MORE_BITS", 2)
@@ -367,3 +374,18 @@ def test_sql(spark, duck, name):
     names = sorted(got.columns)
     plain = lambda f: sorted([["null" if x is None or x != x else str(x) for x in r] for r in f[names].values.tolist()])
     assert names == sorted(want.columns) and plain(got) == plain(want)
+
+
+def test_slabs_cut_between_words():
+    from granary.llm import textnum
+
+    for size in (5, 17, 100):
+        for _ in range(100):
+            texts = [bytes(RNG.choice(b"ab \n") for _ in range(RNG.randrange(60))) for _ in range(RNG.randrange(1, 6))]
+            words, ends = [[] for _ in texts], [0] * len(texts)
+            for s in textnum.slabs(texts, size=size):
+                for a, b, d in zip(s.start, s.end, s.doc):
+                    words[d].append(s.buf[a:b].tobytes())
+                for d in range(s.first, s.last + 1) if s.whole else ():
+                    ends[d] += 1
+            assert words == [t.split() for t in texts] and ends == [1] * len(texts)
