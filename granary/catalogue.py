@@ -13,7 +13,7 @@ from .functions import text
 from .operators import profile, rules
 from .operators.rules import Rule
 from .plans import readiness
-from .sources import delimited, store
+from .sources import delimited, schema, store, tables
 from .streaming import monitor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -296,3 +296,37 @@ def transforms(spark, sf_dir):
     return df.select("c_custkey", text.decimal_of(F.col("t")).cast("double").alias("amount"), text.collapse(F.lit("  a \n b ")).alias("label"))
 
 
+
+
+ORDERS = schema.Schema.from_dict(
+    {
+        "id": "orders/1",
+        "key": ["order_id"],
+        "instant": "ordered_at",
+        "fields": [
+            {"name": "order_id", "meaning": "identifier", "required": True},
+            {"name": "customer", "meaning": "person id", "required": True},
+            {"name": "total", "meaning": "amount"},
+            {"name": "ordered_at", "meaning": "instant"},
+        ],
+    }
+)
+
+
+@query("""select o_orderkey order_id, o_custkey customer, o_totalprice total, strftime(o_orderdate, '%Y-%m-%d') ordered_at, 'customer' personal from orders""")
+def schema_binding(spark, sf_dir):
+    df = _t(spark, sf_dir, "orders")
+    names = {"o_orderkey": "order_id", "o_custkey": "customer", "o_totalprice": "total", "o_orderdate": "ordered_at"}
+    bound = schema.apply(df, schema.bind(df, ORDERS, names))
+    personal = ",".join(schema.personal_columns(bound))
+    return bound.withColumns({"ordered_at": F.date_format("ordered_at", "yyyy-MM-dd"), "personal": F.lit(personal)})
+
+
+@query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier union all select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
+def sources_union(spark, sf_dir):
+    df, at = _t(spark, sf_dir, "supplier"), _scratch(spark)
+    tables.write(df, tables.Source("orc", (f"{at}-orc",)))
+    tables.write(df, tables.Source("json", (f"{at}-json",)))
+    orc = tables.read(spark, tables.Source("orc", (f"{at}-orc",)))
+    back = tables.read(spark, tables.Source("json", (f"{at}-json",))).select(*(F.col(f.name).cast(f.dataType) for f in df.schema))
+    return orc.unionByName(back)

@@ -6,7 +6,7 @@ import pytest
 from granary.operators import profile
 from granary.operators.rules import Rule
 from granary.plans import readiness, release
-from granary.sources import delimited, store
+from granary.sources import delimited, schema, store, tables
 from granary.streaming import monitor
 
 from .conftest import DATA
@@ -72,3 +72,37 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(60)
     want = monitor.windowed(spark.read.parquet(str(src)), [rule], "ts")
     assert sorted(spark.table("seen").collect()) == sorted(want.collect())
+
+
+def test_schema(spark, tmp_path):
+    from granary.catalogue import ORDERS
+
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    b = schema.bind(df, ORDERS, {"a": "order_id", "c": "no such field"})
+    assert not b.fits and b.unknown_fields == ("no such field",) and b.lacking_columns == ("c",) and b.unmet == ("customer",)
+    with pytest.raises(ValueError):
+        schema.apply(df, b)
+    for bad in ({"fields": []}, {"key": ["x"]}, {"more": 1}, {"instant": "x"}):
+        with pytest.raises(ValueError):
+            schema.Schema.from_dict({"id": "s", "key": ["k"], "fields": [{"name": "k", "meaning": "code"}]} | bad)
+    f = tmp_path / "s.json"
+    f.write_text('{"id": "s", "key": ["k"], "fields": [{"name": "k", "meaning": "phone"}]}')
+    assert schema.load([f])["s"].fields[0].personal
+    with pytest.raises(ValueError):
+        schema.load([f, f])
+
+
+def test_source_declarations(spark):
+    for bad in (("avro2", ("x",), {}), ("csv", (), {}), ("jdbc", ("t",), {"password": "stated"})):
+        with pytest.raises(ValueError):
+            tables.Source(bad[0], bad[1], {}, bad[2])
+    with pytest.raises(KeyError):
+        tables.read(spark, tables.Source("jdbc", ("t",), {}, {"password": "env:NOT_SET"}), {})
+
+
+def test_patterns(spark):
+    cases = {"not_blank": (["a", " \n b"], ["", " \u00a0\n", None]), "instant_shape": (["2024-01-01T10:00Z", "2024-01-01 10:00:00.5+02:00"], ["10:00", "2024-01-01", "2024-01-01T10:00Z\n"])}
+    for name, (good, bad) in cases.items():
+        df = spark.createDataFrame([(v,) for v in good + bad], "v string")
+        got = [r.holds for r in df.coalesce(1).select(Rule("p", "matches", {"column": "v", "pattern": name}).holds().alias("holds")).collect()]
+        assert got == [True] * len(good) + [False] * len(bad)
