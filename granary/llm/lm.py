@@ -16,6 +16,7 @@ text; without training documents the counts are zero; other columns are not read
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -157,24 +158,47 @@ def frequent(counts: DataFrame) -> Frequent:
     return Frequent(h, c, h[first])
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """docs: doc_id, text. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    docs = docs.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out"))
-    training = docs.where(~F.col("held_out")).select("text")
-    counts = cut(count_tokens(training), "counts")
+@dataclass
+class Model:
+    """counts: the tokens' counts (h, c), distributed; n and v: all tokens and how many are different; inside: log10 of each
+    ending's smoothed count."""
+
+    counts: DataFrame
+    table: Frequent
+    n: int
+    v: int
+    bias: np.ndarray
+    w: np.ndarray
+    inside: np.ndarray
+
+
+def fit(texts: DataFrame) -> Model:
+    """texts: text."""
+    counts = cut(count_tokens(texts), "counts")
     table = frequent(counts)
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     own = [int(x) for x in table.h[table.own >= 0].view(np.int64)]
-    ends = counts.where(~F.col("h").isin(own)) if own else counts
+    rest = counts.where(~F.col("h").isin(own)) if own else counts
     mass, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for e, m, k in ends.groupBy((F.col("h").bitwiseAND(F.lit(15))).alias("ending")).agg(F.sum("c"), F.count("*")).collect():
+    for e, m, k in rest.groupBy((F.col("h").bitwiseAND(F.lit(15))).alias("ending")).agg(F.sum("c"), F.count("*")).collect():
         mass[e], kinds[e] = m, k
     share = np.zeros(CLASSES)
     share[table.own[table.own >= 0]] = table.count[table.own >= 0]
     share[OWN:] = mass
     bias = np.log((share + 0.1) / (share.sum() + 0.1 * CLASSES)).astype(np.float32)
-    w = _trained(training, table, bias)
-    inside = np.log10(mass + 0.1 * (kinds + 1))
+    return Model(counts, table, n, v, bias, _trained(texts, table, bias), np.log10(mass + 0.1 * (kinds + 1)))
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """docs: doc_id, text. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; the model learns from
+    the documents that are not held out."""
+    docs = docs.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out"))
+    return score_with(fit(docs.where(~F.col("held_out")).select("text")), docs)
+
+
+def score_with(model: Model, docs: DataFrame) -> DataFrame:
+    """docs: doc_id, text, held_out (as it is to be returned)."""
+    table, bias, w, inside, n, v = model.table, model.bias, model.w, model.inside, model.n, model.v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,9 +237,9 @@ def score(docs: DataFrame) -> DataFrame:
                 ["doc_id", "held_out", "n_tokens", "n_held", "logs", "model", "rare"],
             )
 
-    local = docs.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_held long, logs double, model double, rare array<long>")
+    local = docs.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_held long, logs double, model double, rare array<long>")
     local = cut(local.withColumn("uid", F.monotonically_increasing_id()), "local")
-    rare = local.select("uid", F.explode("rare").alias("h")).join(counts.select("h", "c"), "h", "left")
+    rare = local.select("uid", F.explode("rare").alias("h")).join(model.counts.select("h", "c"), "h", "left")
     rare = rare.groupBy("uid").agg(F.count("c").alias("known"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more"))
     logs, zero = F.col("logs") + F.coalesce("more", F.lit(0.0)), F.lit(0)
     return local.drop("rare").join(rare, "uid", "left").select(
