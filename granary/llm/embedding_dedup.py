@@ -27,13 +27,25 @@ from .arrow import longs, matrix
 from .common import cut
 from .components import components, flatten, unite
 
-COSINE, BLOCKS, PAGE, SLACK = 0.95, 8, 8192, 1e-5
+COSINE, BLOCKS, PAGE, SLACK = 0.95, 4, 8192, 1e-5
 EMIT = "id long, links long, root long"
 
 
 @cache
 def rotation(width: int) -> np.ndarray:
-    return np.linalg.qr(np.random.default_rng(7).standard_normal((width, width)))[0]
+    """Orthogonal, in whole multiples of 2 ** -24 (held as whole numbers)."""
+    return np.rint(np.linalg.qr(np.random.default_rng(7).standard_normal((width, width)))[0] * 2.0**24)
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def turn(units: np.ndarray) -> np.ndarray:
+    """Unit vectors rotated. All products are of whole numbers and no sum exceeds 2 ** 46 or so (Cauchy and Schwarz), so the
+    result is exact and the same in every task, in whatever order it is added up."""
+    return (np.rint(units * 2.0**22) @ rotation(units.shape[1])) * 2.0**-46
 
 
 def edges(width: int) -> list[int]:
@@ -48,23 +60,18 @@ def share(cosine: float, width: int) -> float:
 
 def _prepare(cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Adds the rotated unit vector and, for each block, the strip."""
+        """Adds the strip in each block."""
         for batch in batches:
             col = batch.column("embedding")
             sizes = np.diff(col.offsets.to_numpy())
             for width in np.unique(sizes):
                 use = np.flatnonzero(sizes == width)
                 part = batch.take(pa.array(use))
-                x = matrix(part.column("embedding"))
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-                turned = (unit @ rotation(int(width))).astype(np.float32)
-                at = edges(int(width))
-                strips = np.floor(turned[:, at[:-1]].astype(np.float64) / sqrt(share(cosine, int(width)))).astype(np.int32)
-                lists = lambda a: pa.ListArray.from_arrays(np.arange(len(a) + 1, dtype=np.int32) * a.shape[1], pa.array(a.ravel()))
+                turned, at = turn(unit(matrix(part.column("embedding")))), edges(int(width))
+                strips = np.floor(turned[:, at[:-1]] / sqrt(share(cosine, int(width)))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(np.arange(len(strips) + 1, dtype=np.int32) * strips.shape[1], pa.array(strips.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("copies"), part.column("embedding"), lists(turned), lists(strips)],
-                    ["id", "copies", "embedding", "turned", "strips"],
+                    [*(part.column(c) for c in ("id", "copies", "embedding")), lists], ["id", "copies", "embedding", "strips"]
                 )
 
     return run
@@ -79,9 +86,9 @@ def cluster(vectors: DataFrame, cosine: float = COSINE, page: int = PAGE) -> Dat
     item = vectors.schema["embedding"].dataType.elementType.simpleString()
     ready = cut(
         one.select("id", "copies", "embedding").mapInArrow(
-            _prepare(cosine), f"id long, copies long, embedding array<{item}>, turned array<float>, strips array<int>"
+            _prepare(cosine), f"id long, copies long, embedding array<{item}>, strips array<int>"
         ),
-        "turned",
+        "strips",
     )
     met = cut(_meetings(ready, page).groupBy("width", "block", "strip", "next", "left", "right").applyInArrow(_join(cosine), EMIT), "met")
     linked = met.where("links > 0").groupBy("id").agg(F.sum("links").alias("links"))
@@ -102,7 +109,7 @@ def cluster(vectors: DataFrame, cosine: float = COSINE, page: int = PAGE) -> Dat
 def _meetings(ready: DataFrame, page: int) -> DataFrame:
     """A row for each page that a vector's page meets: its own, those of its strip and of the strips beside it.
     How many pages each strip has is bounded by the range of a coordinate, not by the rows."""
-    rows = ready.select("id", "copies", "embedding", "turned", F.size("turned").alias("width"), F.posexplode("strips").alias("block", "strip"))
+    rows = ready.select("id", "copies", "embedding", F.size("embedding").alias("width"), F.posexplode("strips").alias("block", "strip"))
     where = ["width", "block", "strip"]
     pages = cut(rows.groupBy(*where).agg(F.ceil(F.count("*") / page).cast("int").alias("pages")), "pages")
     beside = lambda by, name: pages.select("width", "block", (F.col("strip") + by).alias("strip"), F.col("pages").alias(name))
@@ -121,7 +128,7 @@ def _meetings(ready: DataFrame, page: int) -> DataFrame:
         F.transform(upto(zero, F.col("after")), lambda x: meet(0, own, x, 2)),
         F.transform(upto(zero, F.col("before")), lambda x: meet(-1, x, own, 3)),
     )
-    out = rows.withColumn("at", F.explode(there)).select("id", "copies", "embedding", "turned", "width", "block", "at.*")
+    out = rows.withColumn("at", F.explode(there)).select("id", "copies", "embedding", "width", "block", "at.*")
     return out
 
 
@@ -131,14 +138,13 @@ def _join(cosine: float):
         ids, copies, side = longs(t["id"]), longs(t["copies"]), longs(t["side"])
         order = np.argsort(ids, kind="stable")
         ids, copies, side = ids[order], copies[order], side[order]
-        turned, raw = matrix(t["turned"], np.float32)[order], matrix(t["embedding"])[order]
-        raw = raw / np.abs(raw).max(axis=1, keepdims=True)
-        raw /= np.sqrt((raw * raw).sum(axis=1, keepdims=True))
+        raw = unit(matrix(t["embedding"])[order])
+        turned = turn(raw)
         same = not following and left == right
         a = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
         b = a if same else np.flatnonzero(side == 1)
         links, parent = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        for i, j in _candidates(turned, a, b, edges(width), block, share(cosine, width), same):
+        for i, j in _candidates(turned.astype(np.float32), a, b, edges(width), block, share(cosine, width), same):
             for at in range(0, len(i), 32768):
                 x, y = i[at : at + 32768], j[at : at + 32768]
                 near = np.einsum("ij,ij->i", raw[x], raw[y]) >= cosine
@@ -156,7 +162,8 @@ def _join(cosine: float):
 
 
 def _candidates(turned, a, b, at, block, budget, same):
-    """Pairs of rows within the block's share (with room for rounding), chunk by chunk. same: each pair once."""
+    """Pairs of rows within the block's share (with room for rounding), chunk by chunk. same: each pair once. turned: in
+    single precision."""
     lo, hi = at[block], at[block + 1]
     second = turned[:, min(lo + 1, hi - 1)]
     a, b = a[np.argsort(second[a], kind="stable")], b[np.argsort(second[b], kind="stable")]
@@ -182,7 +189,7 @@ def _first_block(turned, x, y, at, budget) -> np.ndarray:
     for block in range(len(at) - 1):
         d2 = np.zeros(len(x))
         for k in range(at[block], at[block + 1]):
-            d = turned[x, k].astype(np.float64) - turned[y, k]
+            d = turned[x, k] - turned[y, k]
             d2 += d * d
         first[(first < 0) & (d2 <= budget)] = block
     return first
