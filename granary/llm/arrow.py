@@ -6,6 +6,13 @@ import numpy as np
 import pyarrow as pa
 
 
+def slices(batches, rows: int = 1024):
+    """Smaller batches, so that a batch of texts is never held as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def longs(col) -> np.ndarray:
     return _one(col).to_numpy(zero_copy_only=False)
 

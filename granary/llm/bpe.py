@@ -25,7 +25,9 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-CACHED, CACHED_BYTES, WORD = 300_000, 64, 256
+from .arrow import slices
+
+CACHED, CACHED_BYTES, WORD = 160_000, 64, 256
 
 
 class Recent(dict):
@@ -205,7 +207,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(name, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [own.digest(t.as_py() or "") for t in batch.column("text")]
             sha = lambda k: pa.array([hashlib.sha256(r[k]).hexdigest() for r in rows], pa.string())
             yield pa.RecordBatch.from_arrays(

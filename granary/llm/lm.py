@@ -9,8 +9,8 @@ exact, over all training documents, and stay distributed: a bounded table of fre
 all other tokens are joined with the counts.
 
 Tokens are known by a 64-bit hash. Defined cases: a null text is an empty one and has the end token alone; a null doc_id
-counts as the empty string and is held out; repeated rows are learned and scored one by one; a context restarts every megabyte of a
-text; without training documents the counts are zero; other columns are not read; an empty table gives no rows.
+counts as the empty string and is held out; repeated rows are learned and scored one by one; a context restarts with every slab of a
+long text; without training documents the counts are zero; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import slices
 from .common import cut
 from .textnum import Slab, scramble, slabs
 
@@ -201,7 +202,7 @@ def score_with(model: Model, docs: DataFrame) -> DataFrame:
     table, bias, w, inside, n, v = model.table, model.bias, model.w, model.inside, model.n, model.v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = _texts(batch)
             m = len(texts)
             sums, rare, whose = np.zeros((4, m)), [], []
@@ -258,7 +259,7 @@ def _trained(training: DataFrame, table: Frequent, bias: np.ndarray) -> np.ndarr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Trainer(bias)
-        for batch in batches:
+        for batch in slices(batches):
             for s in slabs(_texts(batch)):
                 h, d = tokens(s)
                 k = table.find(h)[2]

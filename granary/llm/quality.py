@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import slices
 from .textnum import scramble, slabs
 
 SAMPLE, BINS, THRESHOLD, FEW = 8192, 1 << 13, 0.6, 20
@@ -49,7 +50,7 @@ for _k, _c in enumerate(" .,;:!?-'\"()|&%$#*/@_=+<>[]{}~^`\\"):
 
 
 def statistics(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, and (texts, labellers) shares. Runs of words are compared within a megabyte."""
+    """Words of each text, and (texts, labellers) shares. Runs of words are compared within a slab."""
     n = len(texts)
     words, sums = np.zeros(n), np.zeros((n, len(LABELLERS)))
     letters, capitals = np.zeros(n), np.zeros(n)
@@ -196,7 +197,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]:
     """docs: doc_id, text. The label model from all documents, the scorer's weights from the sample."""
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p, n = np.unique(pattern(votes(*statistics(_texts(batch)))), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(n)], ["p", "n"])
 
@@ -205,7 +206,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]:
     model = LabelModel(seen[:, 0], seen[:, 1])
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = _texts(batch)
             words, shares = statistics(texts)
             offsets, bins, values = features(texts, words, shares)
@@ -243,7 +244,7 @@ def score(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -
     model, w = fit(docs, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             bad, posterior, kept = _judge(model, w, _texts(batch), threshold)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(1 - bad), pa.array(1 - posterior), pa.array(kept)], ["doc_id", "score", "weak_label", "kept"]
@@ -257,7 +258,7 @@ def keep_good(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOL
     model, w = fit(docs.select("doc_id", "text"), sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(_judge(model, w, _texts(batch), threshold)[2]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import longs
+from .arrow import longs, slices
 from .common import cut, partitions
 from .textnum import prefix_sums, scramble, span_hashes
 
-LENGTH, GRAM, PIECE, MANY = 400, 32, 1 << 20, 1 << 16
+LENGTH, GRAM, PIECE, MANY = 400, 32, 1 << 18, 1 << 16
 REACH = LENGTH - GRAM  # an anchor is at most so far into its window
 HALF = REACH // 2
 WIDE = LENGTH + HALF  # bytes of the windows of one half
@@ -128,7 +128,7 @@ SKETCH = "doc_id long, sha string, t long, size long, own array<struct<lo:long,h
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per text its hash, its anchors (one for each surrounding, n at most 2) and the spans that recur within it."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = _bytes(batch.column("text"))
         size = np.array([len(t) for t in texts], np.int64)
         sha = [hashlib.sha256(t) for t in texts]
@@ -227,7 +227,7 @@ SURROUNDING = "t long, rep long, asks boolean, hot boolean, digit long, base lon
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each anchor and half the WIDE bytes of its windows. base is their place in the text; where the text begins
     later, skip bytes are left out."""
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for t, rep, text, at in zip(*(batch.column(c).to_pylist() for c in ("t", "rep")), _bytes(batch.column("text")), batch.column("at").to_pylist()):
             for x in at:
@@ -358,7 +358,7 @@ def remove(docs: DataFrame) -> DataFrame:
     found = text.join(spans.hint("shuffle_hash"), (text.k == spans.t) & text.d.eqNullSafe(spans.rep)).select("t", "rep", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = []
             for text, at in zip(_bytes(batch.column("text")), batch.column("spans").to_pylist()):
                 kept, runs = cut_out(text, at)
@@ -393,7 +393,7 @@ def strip(docs: DataFrame) -> DataFrame:
     joined = joined.select(*names, "__spans", "__copied")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans, copied = batch.column("__spans").to_pylist(), batch.column("__copied").to_pylist()
             texts = batch.column("text").to_pylist()
             for k, (t, s, c) in enumerate(zip(texts, spans, copied)):

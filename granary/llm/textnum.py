@@ -8,7 +8,7 @@ from functools import cache
 
 import numpy as np
 
-SLAB = 1 << 20
+SLAB = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -84,7 +84,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(20, int(n).bit_length()))
+    return _powers(1 << max(18, int(n).bit_length()))
 
 
 def prefix_sums(buf: np.ndarray) -> np.ndarray:
