@@ -22,10 +22,13 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+def cut(df: DataFrame, name: str = "cut", narrow: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: what follows no longer depends on df's lineage,
-    and a lost executor costs a re-read, not a recomputation. The files go when the JVM ends."""
+    and a lost executor costs a re-read, not a recomputation. The files go when the JVM ends.
+    narrow: df comes out of a shuffle with a few numbers a row, for which an eighth of the files will do."""
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(max(1, partitions(spark) // 8))
     at = f"{shared_dir(spark)}/granary-{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     path = spark._jvm.org.apache.hadoop.fs.Path(at)

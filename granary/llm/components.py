@@ -19,11 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     """links: a, b long (any order, repeats and self-links allowed; rows with a null are left out).
     Returns id, root: each linked node with the smallest id it can reach. Nodes without a link are absent."""
     e = cut(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
+        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links", narrow=True
     )
     seen = None
     while True:
-        e = cut(_small_star(_large_star(e)), "star")
+        e = cut(_small_star(_large_star(e)), "star", narrow=True)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return e.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .arrow import longs
+from .arrow import longs, slices
 from .common import cut, partitions
 from .components import components, flatten, unite
 from .textnum import scramble
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").cast(pa.large_binary())
             fps = np.fromiter((fingerprint(t.as_py() or b"", size) for t in texts), np.uint64, len(texts))
             rest = [k for k in batch.schema.names if k != "text"]
@@ -121,7 +121,10 @@ def _linker(distance: int):
 
         def links(upto: int):
             a, b = forest(k[:upto], fp[:upto], distance)
-            pairs = np.unique(np.stack([node[a], node[b]], axis=1), axis=0)
+            least = node[:upto].copy()  # a tree's smallest node, which many keys have in common, stands for it
+            np.minimum.at(least, b, node[a])
+            pairs = np.unique(np.concatenate([np.stack([node[x], least[b]], axis=1) for x in (a, b)]), axis=0)
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
@@ -146,7 +149,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def groups(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """prints: fp and any columns. Returns fp, root: every distinct fingerprint with its component's."""
-    fps = cut(prints.select("fp").distinct(), "fps")
+    fps = cut(prints.select("fp").distinct(), "fps", narrow=True)
     named = fps.select(F.lit(0).alias("seed"), "fp", F.col("fp").alias("node"))
     roots = components(links(named, distance)).withColumnRenamed("id", "fp")
     return fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
@@ -197,31 +200,32 @@ def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, rer
     one = cut(
         prints.groupBy("same").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("x"), F.first("fps").alias("fps")).select("same", "x.uid", "fps"),
         "texts",
+        narrow=True,
     )
     prints_of = one.select("uid", F.posexplode("fps").alias("seed", "fp"))
-    each = cut(prints_of.groupBy("seed", "fp").agg(F.min("uid").alias("node")), "fps")
+    each = cut(prints_of.groupBy("seed", "fp").agg(F.min("uid").alias("node")), "fps", narrow=True)
     alike = prints_of.join(each, ["seed", "fp"]).where("node <> uid").select(F.col("node").alias("a"), F.col("uid").alias("b"))
-    roots = cut(components(links(each).unionByName(alike)), "roots").withColumnRenamed("id", "uid")
+    roots = cut(components(links(each).unionByName(alike)), "roots", narrow=True).withColumnRenamed("id", "uid")
     members = one.join(roots, "uid").select("uid", "root", "fps")
     places = [(k, b) for k in range(min(seeds, 2)) for b in range(64)]
     most = F.expr(f"array({', '.join(f'sum(shiftright(fps[{k}], {b}) & 1) * 2 > count(1)' for k, b in places)})")
     counts = members.groupBy("root").agg(most.alias("most"))
     away = F.expr("size(filter(most, (m, k) -> m <> ((shiftright(fps[k div 64], cast(k % 64 as int)) & 1) = 1)))")
     near = members.join(counts, "root").groupBy("root").agg(F.min(F.struct(away.alias("away"), "uid")).alias("x"))
-    linked = cut(members.join(near.select("root", F.col("x.uid").alias("kept")), "root").select("uid", "root", "kept"), "linked")
+    linked = cut(members.join(near.select("root", F.col("x.uid").alias("kept")), "root").select("uid", "root", "kept"), "linked", narrow=True)
     text = own.select("__uid", "text").join(linked.hint("shuffle_hash"), F.col("__uid") == linked["uid"]).select("uid", "root", "kept", "text")
     sets = cut(text.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
     first = sets.where("uid = kept").select("root", F.col("set").alias("of"))
     common = F.size(F.array_intersect("set", "of"))
     gone = sets.where("uid <> kept").join(first, "root").where(common / (F.size("set") + F.size("of") - common) >= least).select("uid")
     copies = prints.join(one.select("same", F.col("uid").alias("kept")), "same").where("uid <> kept").select("uid")
-    dropped = cut(gone.unionByName(copies), "dropped")
+    dropped = cut(gone.unionByName(copies), "dropped", narrow=True)
     return own.join(dropped.hint("shuffle_hash"), own["__uid"] == dropped["uid"], "left_anti").select(*docs.columns)
 
 
 def _word_prints(seeds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             same = [xxhash.xxh3_128_hexdigest(b" ".join(t.lower().split())) for t in texts]
             fps = pa.array([word_fingerprints(t, seeds) for t in texts], pa.list_(pa.int64()))
@@ -231,6 +235,6 @@ def _word_prints(seeds: int):
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sets = [shingles(t or b"").view(np.int64) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "root", "kept")), pa.array(sets, pa.list_(pa.int64()))], ["uid", "root", "kept", "set"])
