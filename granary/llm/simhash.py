@@ -27,7 +27,8 @@ from . import golay
 from .arrow import longs, slices
 from .common import cut, partitions
 from .components import components, flatten, unite
-from .textnum import scramble
+from .textnum import SLAB as SLAB_BYTES
+from .textnum import scramble, slabs
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -165,8 +166,10 @@ def cluster(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> D
     return prints.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The pipeline's form: word-set fingerprints under several seeds, then five-word shingles compared exactly.
+#: The pipeline's form: word-set fingerprints under several seeds, then an exact join of five-word shingles. Shingles that begin
+#: more than COMMON texts are put last in the join's order (the FREQUENT most common ones at most).
 SEEDS, SHINGLES, SIMILARITY = 5, 5, 0.8
+COMMON, FREQUENT = 16, 1 << 18
 
 
 def word_fingerprints(text: bytes, seeds: int = SEEDS) -> list[int]:
@@ -188,11 +191,12 @@ def shingles(text: bytes, size: int = SHINGLES) -> np.ndarray:
 
 
 def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, reread: bool = False) -> DataFrame:
-    """docs less its copies: rows whose five-word shingles are so similar to those of a row that stays. All columns stay.
+    """docs less its copies. Rows are linked whose five-word shingles have a Jaccard similarity of least or more; no two
+    rows that stay are linked, and a row that goes is linked to one that stays, or to one that went for its sake. All columns stay.
 
-    Candidates are texts linked by any of several SimHashes of their distinct words, which edits of single words disturb
-    less than shingles. Of a group of equal texts the smallest doc_id stands for all. In a group of linked texts, the one nearest to the
-    bitwise majority of the fingerprints stays, and the others go where the exact comparison with it agrees.
+    Of a group of equal texts the smallest doc_id stands for all. A first pass takes texts linked by any of several SimHashes of
+    their distinct words, which edits of single words disturb less than shingles: in each such group those go that the exact
+    comparison finds alike to the one nearest to the bitwise majority. What stays is joined exactly (see alike_to_others), whatever its fingerprints.
     reread: docs reads files and gives the same rows in the same partitions each time; otherwise it is written to the
     shared folder first. Texts without words are equal to each other."""
     own = (docs if reread else cut(docs, "docs")).withColumn("__uid", F.monotonically_increasing_id())
@@ -219,7 +223,10 @@ def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, rer
     common = F.size(F.array_intersect("set", "of"))
     gone = sets.where("uid <> kept").join(first, "root").where(common / (F.size("set") + F.size("of") - common) >= least).select("uid")
     copies = prints.join(one.select("same", F.col("uid").alias("kept")), "same").where("uid <> kept").select("uid")
-    dropped = cut(gone.unionByName(copies), "dropped", narrow=True)
+    gone = cut(gone, "gone", narrow=True)
+    stay = cut(one.select("uid").join(gone, "uid", "left_anti"), "stay", narrow=True)
+    texts = own.select("__uid", "text").join(stay.hint("shuffle_hash"), F.col("__uid") == stay["uid"]).select("uid", "text")
+    dropped = cut(gone.unionByName(copies).unionByName(alike_to_others(texts, least)), "dropped", narrow=True)
     return own.join(dropped.hint("shuffle_hash"), own["__uid"] == dropped["uid"], "left_anti").select(*docs.columns)
 
 
@@ -238,3 +245,132 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in slices(batches):
         sets = [shingles(t or b"").view(np.int64) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "root", "kept")), pa.array(sets, pa.list_(pa.int64()))], ["uid", "root", "kept", "set"])
+
+
+def alike_to_others(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """texts: uid, text; texts without a repeat. The uids to drop so that no two texts stay whose shingles are alike at least so
+    much: of texts that such pairs connect the smallest uid stays. Exact: a prefix join with length and position filters.
+
+    Put in any one order of all shingles, two such sets have a shingle in common among the first
+    n - ceil(least n) + 1 of each. Shingles that many prefixes share are put last, so that a common line is in few prefixes.
+    Groups of one shingle first meet three of their own texts only, which takes away most of any large group of copies; then all pairs of
+    what is left are compared."""
+    texts = cut(texts, "distinct")
+    first = texts.mapInArrow(_prefixes(least, np.empty(0, np.uint64), np.empty(0, np.int64)), PREFIX).groupBy("k").agg(F.count("*").alias("m"))
+    often = first.where(F.col("m") > COMMON).orderBy(F.desc("m"), "k").limit(FREQUENT).toArrow()
+    common, m = longs(often["k"]).view(np.uint64), longs(often["m"])
+    order = np.argsort(common)
+    rows = _shared(texts.mapInArrow(_prefixes(least, common[order], m[order]), PREFIX))
+    near = _gone(texts, rows, least, pivots=True)
+    rows = _shared(rows.join(near, "uid", "left_anti"))
+    return near.unionByName(_gone(texts, rows, least, pivots=False))
+
+
+PREFIX = "k long, uid long, n int, at int"
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows whose shingle is in other rows too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            k = longs(t["k"])
+            again = np.concatenate([[False], k[1:] == k[:-1], [False]])
+            yield from t.filter(pa.array(again[1:] | again[:-1])).combine_chunks().to_batches()
+
+    return cut(_by_key(rows).mapInArrow(run, PREFIX), "shared", narrow=True)
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), "k").sortWithinPartitions("k", "n", "uid")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole groups; rows come sorted by k."""
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, t]) if held is not None else t
+        k = longs(held["k"])
+        if len(k) and (upto := int(np.searchsorted(k, k[-1]))):
+            yield held.slice(0, upto).combine_chunks()
+            held = held.slice(upto).combine_chunks()
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _need(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """How many shingles sets of n and m must have in common."""
+    return np.ceil(least / (1 + least) * (n + m) - 1e-6)
+
+
+def _gone(texts: DataFrame, rows: DataFrame, least: float, pivots: bool) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            k, uid, n, at = (longs(t[c]) for c in ("k", "uid", "n", "at"))
+            start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            size = np.diff(np.append(start, len(k)))
+            base, span = np.repeat(start, size), np.repeat(size, size)
+            i = np.arange(len(k))
+            if pivots:
+                steps = [(i, base), (i, base + span // 2), (i, base + span - 1)]
+            else:
+                steps = ((i[s:][k[s:] == k[:-s]], i[:-s][k[s:] == k[:-s]]) for s in range(1, int(size.max(initial=1))))
+            for a, b in steps:
+                left = np.minimum(n[a] - at[a], n[b] - at[b])  # most that can be common, if k is the first
+                use = (left >= _need(n[a], n[b], least)) & (uid[a] != uid[b])
+                if use.any():
+                    x, y = uid[a[use]], uid[b[use]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+    pairs = cut(_by_key(rows).mapInArrow(run, "a long, b long").distinct(), "pairs", narrow=True)
+    asked = pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct()
+    own = texts.join(asked.hint("shuffle_hash"), texts["uid"] == asked["u"]).select("uid", F.lit(0).cast("long").alias("root"), F.lit(0).cast("long").alias("kept"), "text")
+    sets = cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
+    one, two = (sets.select(F.col("uid").alias(c), F.col("set").alias(s)) for c, s in (("a", "x"), ("b", "y")))
+    common = F.size(F.array_intersect("x", "y"))
+    same = pairs.join(one, "a").join(two, "b").where(common / (F.size("x") + F.size("y") - common) >= least).select("a", "b")
+    return cut(components(same).where("id <> root").select(F.col("id").alias("uid")).distinct(), "near", narrow=True)
+
+
+def shingle_rows(texts: list[bytes], size: int = SHINGLES) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles' hashes of each text that has so many words, and the text's number; in order of text and hash."""
+    docs, runs = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for s in slabs(texts, size=max(SLAB_BYTES, max(map(len, texts), default=0) + 1)):  # no text is cut
+        h, d = s.hashes(), s.doc
+        if len(h) < size:
+            continue
+        run = h[: len(h) - size + 1]
+        for k in range(1, size):
+            run = scramble(run + h[k : len(h) - size + 1 + k])
+        whole = d[size - 1 :] == d[: len(d) - size + 1]
+        run, d = run[whole], d[: len(d) - size + 1][whole]
+        order = np.lexsort((run, d))
+        run, d = run[order], d[order]
+        fresh = np.ones(len(d), bool)
+        fresh[1:] = (run[1:] != run[:-1]) | (d[1:] != d[:-1])
+        docs.append(d[fresh])
+        runs.append(run[fresh])
+    return np.concatenate(docs), np.concatenate(runs)
+
+
+def _prefixes(least: float, common: np.ndarray, often: np.ndarray):
+    """common: sorted hashes of shingles that come last, the most often found ones at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            d, k = shingle_rows([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()])
+            if len(common):
+                i = np.minimum(np.searchsorted(common, k), len(common) - 1)
+                late = np.where(common[i] == k, often[i], 0)
+                if late.any():
+                    order = np.lexsort((k, late, d))
+                    k = k[order]
+            n = np.bincount(d, minlength=batch.num_rows)
+            at = np.arange(len(d)) - (np.cumsum(n) - n)[d]
+            use = at <= (n - np.ceil(least * n - 1e-6))[d]
+            d, k, at = d[use], k[use], at[use]
+            uid = longs(batch.column("uid"))[d]
+            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(uid), pa.array(n[d].astype(np.int32)), pa.array(at.astype(np.int32))], ["k", "uid", "n", "at"])
+
+    return run

@@ -326,6 +326,30 @@ def test_keep_one(spark, docs, empty):
     assert simhash.keep_one(docs).count() < docs.count()
 
 
+def no_pair_stays(spark, texts):
+    """Ids of the rows that stay: no two at 0.8 or more, and at least one of each group that pairs at 0.8 or more connect."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    kept = {r.doc_id for r in simhash.keep_one(df).collect()}
+    sets = [set(simhash.shingles(t.encode()).tolist()) for t in texts]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert not any(alike(i, j) for i in kept for j in kept if i < j)
+    label = closure(len(texts), alike)
+    assert {label[k] for k in kept} == set(label)
+    return kept
+
+
+def test_keep_one_of_texts_longer_shorter_or_changed_in_a_block(spark):
+    words = lambda n: [f"u{RNG.randrange(3000)}" for _ in range(n)]
+    texts = []
+    for n in (40, 100, 300, 1000) * 2:
+        b = words(n)
+        at = RNG.randrange(n // 2)
+        part = n // 12
+        copies = (b, b + words(n * 23 // 100), words(n // 6) + b, b[: n * 83 // 100], b[n // 10 :], b[:at] + words(part) + b[at + part :])
+        texts += [" ".join(c) for c in copies]
+    assert len(no_pair_stays(spark, texts)) < len(texts) / 2
+
+
 def test_topk(spark):
     rng = np.random.default_rng(2)
     v = {k: [float(x) for x in np.round(rng.standard_normal(6), 1)] for k in range(120)}
