@@ -258,6 +258,24 @@ def test_repeats_with_shared_passages(spark):
     assert all(hashlib.sha256(kept[k].encode()).hexdigest() == want[k][3] for k in want)
 
 
+def test_repeated_passages_in_words(spark):
+    word = lambda n: "".join(RNG.choice("abcdefghijklmnop") for _ in range(n))
+    passages = [[word(RNG.randrange(3, 6)) for _ in range(n)] for n in (50, 51, 60, 75)] + [[word(12) for _ in range(n)] for n in (45, 80)]
+    fill = lambda: [word(7) for _ in range(RNG.randrange(1, 40))]
+    parts = [[*fill(), *RNG.choice(passages)[RNG.randrange(2) :], *fill(), *RNG.choice(passages), *fill()] for _ in range(60)]
+    texts = [RNG.choice((" ", "\n", "  ")).join(p) for p in parts] + [None, "", " ".join(passages[0])]
+    rows = [p or [] for p in (*parts, [], [], passages[0])]
+    windows = Counter(tuple(p[k : k + 51]) for p in rows for k in range(len(p) - 50))
+    want = []
+    for p in rows:
+        gone = {j for k in range(len(p) - 50) if windows[tuple(p[k : k + 51])] > 1 for j in range(k, k + 51)}
+        want.append([w for k, w in enumerate(p) if k not in gone])
+    df = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long").repartition(4).cache()
+    got = {r.doc_id: r for r in repeats.strip(df, words=True).collect()}
+    assert [(got[k].text or "").split() for k in range(len(texts))] == want and any(len(w) < len(p) for w, p in zip(want, rows))
+    assert all(got[k].n_chars == len(got[k].text) for k, t in enumerate(texts) if t is not None)
+
+
 def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 1000)
     t = bytes(RNG.randrange(97, 123) for _ in range(7000))
@@ -350,6 +368,19 @@ def test_keep_one_of_texts_longer_shorter_or_changed_in_a_block(spark):
     assert len(no_pair_stays(spark, texts)) < len(texts) / 2
 
 
+def test_keep_one_in_chains_and_in_groups_of_the_same_words(spark):
+    first = [f"v{RNG.randrange(3000)}" for _ in range(300)]
+    texts = []
+    for k in range(3):  # the same words in three orders: one fingerprint, no common shingles
+        b = RNG.sample(first, len(first))
+        texts += [" ".join(b)] + [" ".join([*b[:at], f"edit{k}", *b[at + 1 :]]) for at in RNG.sample(range(300), 4)]
+    chain = [f"c{RNG.randrange(3000)}" for _ in range(300)]
+    for k in range(9):  # each version is like the one before
+        texts.append(" ".join(chain))
+        chain = chain[15:] + [f"more{k}x{j}" for j in range(15)]
+    assert len(no_pair_stays(spark, texts) & set(range(15))) == 3
+
+
 def test_topk(spark):
     rng = np.random.default_rng(2)
     v = {k: [float(x) for x in np.round(rng.standard_normal(6), 1)] for k in range(120)}
