@@ -23,8 +23,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur more than once go from the texts."""
-    return repeats.strip(docs)
+    """Passages of over 50 words that occur more than once go from the texts."""
+    return repeats.strip(docs, words=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ or not read; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .arrow import longs, slices
 from .common import cut, partitions
-from .textnum import prefix_sums, scramble, span_hashes
+from .textnum import SLAB, prefix_sums, scramble, slabs, span_hashes
 
 LENGTH, GRAM, PIECE, MANY = 400, 32, 1 << 18, 1 << 16
 REACH = LENGTH - GRAM  # an anchor is at most so far into its window
@@ -380,17 +381,22 @@ def remove(docs: DataFrame) -> DataFrame:
     )
 
 
-def strip(docs: DataFrame) -> DataFrame:
+def strip(docs: DataFrame, words: bool = False) -> DataFrame:
     """docs with the repeated bytes gone from text (and from n_chars, if there); a character of which bytes were removed
-    goes whole. All rows and columns stay. docs must give the same rows when read again."""
-    sketch, spans = _spans(docs.select("doc_id", "text"))
+    goes whole. All rows and columns stay. docs must give the same rows when read again.
+    words: instead of windows of LENGTH bytes those of PASSAGE words are compared, whatever white space is between them."""
+    names = docs.columns
+    if words:
+        sketch, spans = _spans(cut(docs.select("doc_id", "text").mapInArrow(_codes, "doc_id long, text binary"), "codes"))
+        keyed = docs.mapInArrow(_with_key(names), docs.select(*names, F.lit(0).cast("long").alias("__k")).schema)
+    else:
+        sketch, spans = _spans(docs.select("doc_id", "text"))
+        keyed = docs.withColumn("__k", text_key(F.col("text")))
     whole = sketch.where("copied").select("t").distinct().select("t", F.lit(None).cast("long").alias("rep"), F.lit(True).alias("copied"))
     gone = spans.withColumn("copied", F.lit(False)).unionByName(whole, allowMissingColumns=True)
     gone = gone.select(F.col("t").alias("__t"), F.col("rep").alias("__rep"), F.col("spans").alias("__spans"), F.col("copied").alias("__copied"))
     same = (F.col("__k") == F.col("__t")) & (F.col("__copied") | F.col("doc_id").eqNullSafe(F.col("__rep")))
-    joined = docs.withColumn("__k", text_key(F.col("text"))).join(gone.hint("shuffle_hash"), same, "left")
-    names = docs.columns
-    joined = joined.select(*names, "__spans", "__copied")
+    joined = keyed.join(gone.hint("shuffle_hash"), same, "left").select(*names, "__spans", "__copied")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -398,7 +404,8 @@ def strip(docs: DataFrame) -> DataFrame:
             texts = batch.column("text").to_pylist()
             for k, (t, s, c) in enumerate(zip(texts, spans, copied)):
                 if t is not None and (s or c):
-                    texts[k] = "" if c else cut_out(t.encode(), s)[0].decode(errors="ignore")
+                    raw = t.encode()
+                    texts[k] = "" if c else cut_out(raw, of_words(raw, s) if words else s)[0].decode(errors="ignore")
             cols = {n: batch.column(n) for n in names}
             cols["text"] = pa.array(texts, pa.string())
             if "n_chars" in cols:
@@ -408,6 +415,49 @@ def strip(docs: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, docs.schema)
 
 
+#: Bytes of a code, and the words of the shortest passage: each code is of two neighbouring words, so LENGTH bytes are so many words.
+CODE = 8
+PASSAGE = LENGTH // CODE + 1
+
+
+def codes(texts: list[bytes]) -> list[bytes]:
+    """For each text a hash of every two neighbouring words. Windows of LENGTH bytes that do not begin at a code are equal only
+    where eight bytes of hashes of unlike words are."""
+    out = [np.empty(0, np.uint64)]
+    n = np.zeros(len(texts), np.int64)
+    for s in slabs(texts, lower=False, size=max(SLAB, max(map(len, texts), default=0) + 1)):  # no text is cut
+        h, d = s.hashes(), s.doc
+        two = d[1:] == d[:-1]
+        out.append(scramble(h[:-1] + scramble(h[1:]))[two])
+        n += np.bincount(d[1:][two], minlength=len(texts))
+    flat = np.concatenate(out).astype("<u8").tobytes()
+    ends = np.cumsum(n) * CODE
+    return [flat[a:b] for a, b in zip((ends - n * CODE).tolist(), ends.tolist())]
+
+
+def of_words(text: bytes, spans: list) -> list[dict[str, int]]:
+    """The text's bytes for spans of its codes: from the first word's to the last one's."""
+    at = [m.span() for m in re.finditer(rb"\S+", text)]
+    whole = [(-(-s["lo"] // CODE), s["hi"] // CODE) for s in spans]
+    return [{"lo": at[a][0], "hi": at[b][1]} for a, b in whole if b - a >= PASSAGE - 1]
+
+
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(codes(_bytes(batch.column("text"))), pa.binary())], ["doc_id", "text"])
+
+
+def _with_key(names: list[str]):
+    """Adds the key of the text's codes, as _sketch has it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            k = [int.from_bytes(hashlib.sha256(c).digest()[:8], "big", signed=True) for c in codes(_bytes(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(k, pa.int64())], [*names, "__k"])
+
+    return run
+
+
 ORACLE = f"""
 with d as (select row_number() over () rid, doc_id, hex(encode(coalesce(text, ''))) h from documents),
   b as (select rid, o, substr(h, 2 * o + 1, 2 * (1000 + {LENGTH - 1})) part from
