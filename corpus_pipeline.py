@@ -33,11 +33,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids, decoded_sha256, in the order of the mix."""
+    """doc_id, source, mix_position, n_tokens, ids, decoded_sha256, in the order of the mix. Files read again need not keep the
+    order of their rows, so the schedule is made again here and mix_position (0, 1, ...) tells each row's place."""
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.tokens(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN)
+    placed = mixing.mix(docs.select("doc_id", "source", "text")).sort("mix_position")
+    return bpe.tokens(placed.select("doc_id", "source", "mix_position", "text"), path, public_tokenizers.PATTERN)
 
 
 STAGES = [

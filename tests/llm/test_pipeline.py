@@ -1,6 +1,8 @@
 import hashlib
+from collections import Counter
 
 import corpus_pipeline as pipeline
+from granary.llm import mixing
 from granary.llm.common import cut
 
 from ..conftest import DATA
@@ -24,3 +26,20 @@ def test_stages(spark):
 
 def stage_one(spark):
     return pipeline.STAGES[0][1](spark, spark.read.parquet(f"{DATA}/documents.parquet"), DATA)
+
+
+def test_result_keeps_the_shares_of_the_mix(spark, tmp_path):
+    """Any number of rows from the start has each source's share to less than a block, however the result's files are read."""
+    names = [*(f"src{k}" for k in range(20)), "elsewhere"]
+    rows = spark.range(4000).selectExpr("id as doc_id", f"element_at(array({', '.join(map(repr, names))}), cast(id % 21 as int) + 1) as source", "concat('text ', id) as text")
+    mixed = cut(pipeline.STAGES[3][1](spark, rows.repartition(6), DATA))
+    pipeline.STAGES[4][1](spark, mixed, DATA).write.parquet(f"{tmp_path}/out")
+    got = sorted(spark.read.parquet(f"{tmp_path}/out").select("mix_position", "source").collect())
+    assert [r.mix_position for r in got] == list(range(4000))
+    weights, have = {**mixing.WEIGHTS, "elsewhere": mixing.OTHER_WEIGHT}, Counter(r.source for r in got)
+    seen = Counter()
+    for n, r in enumerate(got[: 32 * 40], 1):  # before the first source runs out
+        seen[r.source] += 1
+        if n % mixing.BLOCK == 0:
+            assert all(abs(seen[s] - n * w / 100) < mixing.BLOCK for s, w in weights.items())
+    assert seen["src0"] < have["src0"]
