@@ -162,7 +162,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def text_key(text):
     """The first eight bytes of the text's SHA-256 as a signed long."""
-    sha = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+    sha = F.sha2(F.coalesce(text.cast("binary"), F.lit("").cast("binary")), 256)
     part = lambda at: F.conv(F.substring(sha, at, 8), 16, 10).cast("long")
     return F.shiftleft(part(1), 32).bitwiseOR(part(9))
 
@@ -387,7 +387,7 @@ def strip(docs: DataFrame, words: bool = False) -> DataFrame:
     words: instead of windows of LENGTH bytes those of PASSAGE words are compared, whatever white space is between them."""
     names = docs.columns
     if words:
-        sketch, spans = _spans(cut(docs.select("doc_id", "text").mapInArrow(_codes, "doc_id long, text binary"), "codes"))
+        sketch, spans = _spans(docs.select("doc_id", "text").mapInArrow(_codes, "doc_id long, text binary"))
         keyed = docs.mapInArrow(_with_key(names), docs.select(*names, F.lit(0).cast("long").alias("__k")).schema)
     else:
         sketch, spans = _spans(docs.select("doc_id", "text"))

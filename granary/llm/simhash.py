@@ -167,9 +167,9 @@ def cluster(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> D
 
 
 #: The pipeline's form: word-set fingerprints under several seeds, then an exact join of five-word shingles. Shingles that begin
-#: more than COMMON texts are put last in the join's order (the FREQUENT most common ones at most).
+#: more than COMMON texts (by a part of one in PART of them) are put last in the join's order (the FREQUENT most common ones at most).
 SEEDS, SHINGLES, SIMILARITY = 5, 5, 0.8
-COMMON, FREQUENT = 16, 1 << 18
+COMMON, PART, FREQUENT = 16, 4, 1 << 18
 
 
 def word_fingerprints(text: bytes, seeds: int = SEEDS) -> list[int]:
@@ -225,8 +225,8 @@ def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, rer
     copies = prints.join(one.select("same", F.col("uid").alias("kept")), "same").where("uid <> kept").select("uid")
     gone = cut(gone, "gone", narrow=True)
     stay = cut(one.select("uid").join(gone, "uid", "left_anti"), "stay", narrow=True)
-    texts = own.select("__uid", "text").join(stay.hint("shuffle_hash"), F.col("__uid") == stay["uid"]).select("uid", "text")
-    dropped = cut(gone.unionByName(copies).unionByName(alike_to_others(texts, least)), "dropped", narrow=True)
+    near = alike_to_others(own.select(F.col("__uid").alias("uid"), "text"), stay, least)
+    dropped = cut(gone.unionByName(copies).unionByName(near), "dropped", narrow=True)
     return own.join(dropped.hint("shuffle_hash"), own["__uid"] == dropped["uid"], "left_anti").select(*docs.columns)
 
 
@@ -247,26 +247,28 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "root", "kept")), pa.array(sets, pa.list_(pa.int64()))], ["uid", "root", "kept", "set"])
 
 
-def alike_to_others(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """texts: uid, text; texts without a repeat. The uids to drop so that no two texts stay whose shingles are alike at least so
-    much: of texts that such pairs connect the smallest uid stays. Exact: a prefix join with length and position filters.
+def alike_to_others(texts: DataFrame, stay: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """texts: uid, text, the same when read again; stay: the uids that are asked for. The uids to drop of these so that no two
+    stay whose shingles are alike at least so much: of texts that such pairs connect the smallest uid stays. Exact: a prefix join
+    with filters by length and by the count of common shingles.
 
-    Put in any one order of all shingles, two such sets have a shingle in common among the first
-    n - ceil(least n) + 1 of each. Shingles that many prefixes share are put last, so that a common line is in few prefixes.
-    Groups of one shingle first meet three of their own texts only, which takes away most of any large group of copies; then all pairs of
-    what is left are compared."""
-    texts = cut(texts, "distinct")
-    first = texts.mapInArrow(_prefixes(least, np.empty(0, np.uint64), np.empty(0, np.int64)), PREFIX).groupBy("k").agg(F.count("*").alias("m"))
-    often = first.where(F.col("m") > COMMON).orderBy(F.desc("m"), "k").limit(FREQUENT).toArrow()
+    Put in any one order of all shingles, two such sets have shingles in common among the first
+    n - ceil(least n) + 1 of each. Shingles that many prefixes of a part of the texts share are put last, so that a common line is in few
+    prefixes. Groups of one shingle first meet three of their own texts only, which takes away most of any large group of copies; then all
+    pairs of what is left are compared."""
+    none = np.empty(0, np.uint64)
+    part = texts.where(F.pmod(F.xxhash64("uid"), F.lit(PART)) == 0)
+    first = part.mapInArrow(_prefixes(least, none, none.view(np.int64)), PREFIX).groupBy("k").agg(F.count("*").alias("m"))
+    often = first.where(F.col("m") > COMMON // PART).orderBy(F.desc("m"), "k").limit(FREQUENT).toArrow()
     common, m = longs(often["k"]).view(np.uint64), longs(often["m"])
     order = np.argsort(common)
     rows = _shared(texts.mapInArrow(_prefixes(least, common[order], m[order]), PREFIX))
+    rows = cut(rows.join(stay, "uid").select("k", "uid", "n"), "asked", narrow=True)
     near = _gone(texts, rows, least, pivots=True)
-    rows = _shared(rows.join(near, "uid", "left_anti"))
-    return near.unionByName(_gone(texts, rows, least, pivots=False))
+    return near.unionByName(_gone(texts, rows.join(near, "uid", "left_anti").select("k", "uid", "n"), least, pivots=False))
 
 
-PREFIX = "k long, uid long, n int, at int"
+PREFIX = "k long, uid long, n int"
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -304,26 +306,36 @@ def _need(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
     return np.ceil(least / (1 + least) * (n + m) - 1e-6)
 
 
+def _rest(n: np.ndarray, least: float) -> np.ndarray:
+    """How many shingles of a set of n are not in its prefix."""
+    return np.ceil(least * n - 1e-6) - 1
+
+
 def _gone(texts: DataFrame, rows: DataFrame, least: float, pivots: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
-            k, uid, n, at = (longs(t[c]) for c in ("k", "uid", "n", "at"))
+            k, uid, n = (longs(t[c]) for c in ("k", "uid", "n"))
             start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             size = np.diff(np.append(start, len(k)))
             base, span = np.repeat(start, size), np.repeat(size, size)
             i = np.arange(len(k))
             if pivots:
-                steps = [(i, base), (i, base + span // 2), (i, base + span - 1)]
+                steps = [(i, base), (i[span > 2], (base + span // 2)[span > 2]), (i[span > 1], (base + span - 1)[span > 1])]
             else:
                 steps = ((i[s:][k[s:] == k[:-s]], i[:-s][k[s:] == k[:-s]]) for s in range(1, int(size.max(initial=1))))
             for a, b in steps:
-                left = np.minimum(n[a] - at[a], n[b] - at[b])  # most that can be common, if k is the first
-                use = (left >= _need(n[a], n[b], least)) & (uid[a] != uid[b])
+                need = _need(n[a], n[b], least)
+                use = (np.minimum(n[a], n[b]) >= need) & (uid[a] != uid[b])
                 if use.any():
-                    x, y = uid[a[use]], uid[b[use]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
-
-    pairs = cut(_by_key(rows).mapInArrow(run, "a long, b long").distinct(), "pairs", narrow=True)
+                    a, b, need = a[use], b[use], need[use]
+                    # what the prefixes have in common: all but what the rest of the set whose prefix ends first can hold
+                    m = np.maximum(1, need - np.maximum(_rest(n[a], least), _rest(n[b], least)))
+                    x, y = np.minimum(uid[a], uid[b]), np.maximum(uid[a], uid[b])
+                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(m.astype(np.int32))], ["a", "b", "m"])
+
+    met = _by_key(rows).mapInArrow(run, "a long, b long, m int").groupBy("a", "b", "m").agg(F.count("*").alias("c"))
+    enough = F.col("c") * 2 >= F.col("m") if pivots else F.col("c") >= F.col("m")  # pivots see only some of the common shingles
+    pairs = cut(met.where(enough).select("a", "b"), "pairs", narrow=True)
     asked = pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct()
     own = texts.join(asked.hint("shuffle_hash"), texts["uid"] == asked["u"]).select("uid", F.lit(0).cast("long").alias("root"), F.lit(0).cast("long").alias("kept"), "text")
     sets = cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
@@ -369,8 +381,8 @@ def _prefixes(least: float, common: np.ndarray, often: np.ndarray):
             n = np.bincount(d, minlength=batch.num_rows)
             at = np.arange(len(d)) - (np.cumsum(n) - n)[d]
             use = at <= (n - np.ceil(least * n - 1e-6))[d]
-            d, k, at = d[use], k[use], at[use]
+            d, k = d[use], k[use]
             uid = longs(batch.column("uid"))[d]
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(uid), pa.array(n[d].astype(np.int32)), pa.array(at.astype(np.int32))], ["k", "uid", "n", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(uid), pa.array(n[d].astype(np.int32))], ["k", "uid", "n"])
 
     return run
