@@ -72,6 +72,18 @@ def _slab(texts: list[bytes], first: int, whole: bool, lower: bool) -> Slab:
     return Slab(buf, start, end, doc, first, first + len(texts) - 1, whole)
 
 
+def words_of(text: bytes, size: int = SLAB) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, byte behind the last, and hash of each word; about size bytes are looked at at a time."""
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
+    at = 0
+    while at < len(text):
+        end = _break(text, at + size) if len(text) - at > size else len(text)
+        s = _slab([text[at:end]], 0, True, False)
+        out.append((s.start + at, s.end + at, s.hashes()))
+        at = end
+    return tuple(map(np.concatenate, zip(*out)))
+
+
 @cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     base, inverse = np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))

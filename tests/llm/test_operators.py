@@ -237,13 +237,19 @@ def plain_repeats(texts, length):
     return out
 
 
+def plain_passage_words(texts, length=51):
+    seen = Counter(tuple(t[p : p + length]) for t in texts for p in range(len(t) - length + 1))
+    return [len({j for p in range(len(t) - length + 1) if seen[tuple(t[p : p + length])] > 1 for j in range(p, p + length)}) for t in texts]
+
+
 @pytest.mark.parametrize("many", [1 << 16, 3])
 def test_repeats(spark, docs, empty, many, monkeypatch):
     monkeypatch.setattr(repeats, "MANY", many)
     rows = docs.collect()
-    want = Counter(zip((r.doc_id for r in rows), plain_repeats([raw(r) for r in rows], repeats.LENGTH)))
-    got = Counter((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in repeats.remove(docs).collect())
-    assert got == want
+    want = Counter(zip((r.doc_id for r in rows), plain_repeats([raw(r) for r in rows], repeats.BYTES.length)))
+    out = repeats.remove(docs).collect()
+    assert Counter((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in out) == want
+    assert Counter((r.doc_id, r.n_passage_words) for r in out) == Counter(zip((r.doc_id for r in rows), plain_passage_words([raw(r).split() for r in rows])))
     assert repeats.remove(empty).count() == 0
 
 
@@ -252,8 +258,8 @@ def test_repeats_with_shared_passages(spark):
     fill = lambda: bytes(RNG.randrange(97, 123) for _ in range(RNG.randrange(300))).decode()
     texts = [fill() + RNG.choice(passage) + fill() + RNG.choice(passage) + fill() for _ in range(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    want = dict(enumerate(plain_repeats([t.encode() for t in texts], repeats.LENGTH)))
-    assert {r[0]: tuple(r[1:]) for r in repeats.remove(df).collect()} == want
+    want = dict(enumerate(plain_repeats([t.encode() for t in texts], repeats.BYTES.length)))
+    assert {r[0]: tuple(r[1:5]) for r in repeats.remove(df).collect()} == want
     kept = {r.doc_id: r.text for r in repeats.strip(df).collect()}
     assert all(hashlib.sha256(kept[k].encode()).hexdigest() == want[k][3] for k in want)
 
@@ -280,12 +286,44 @@ def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 1000)
     t = bytes(RNG.randrange(97, 123) for _ in range(7000))
     texts = [t, t[3000:4100] + t[:500], b"short"]
-    parts = repeats.anchors(texts)
+    given = repeats.symbols(texts, repeats.BYTES)
+    parts = repeats.anchors(given, repeats.BYTES)
     monkeypatch.setattr(repeats, "PIECE", 1 << 20)
-    whole = repeats.anchors(texts)
+    whole = repeats.anchors(given, repeats.BYTES)
     assert all(np.array_equal(parts[k], whole[k]) for k in whole)
 
 
+def thue_morse_pair():
+    """Two unlike texts of 400 bytes whose polynomial hashes modulo 2 ** 64 are equal for every odd base."""
+    change = (-1, 8, -27, 48, -42, 0, 42, -48, 27, -8, 1)
+    fill = [RNG.randrange(32, 127) for _ in range(400)]
+    one, two = list(fill), list(fill)
+    for k, d in enumerate(change):
+        one[32 * k], two[32 * k] = 78, 78 + d
+    return bytes(one).decode(), bytes(two).decode()
+
+
+def test_unlike_texts_of_equal_hash(spark):
+    """Places are told by bytes: what a hash modulo 2 ** 64 holds for equal stays."""
+    pairs = [thue_morse_pair() for _ in range(40)]
+    texts = [side[k] + tail for side, tail in zip(pairs, [f" tail {k} " + "abc"[k % 3] * 5 for k in range(40)]) for k in (0, 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = dict(enumerate(plain_repeats([t.encode() for t in texts], 400)))
+    assert {r[0]: tuple(r[1:5]) for r in repeats.remove(df).collect()} == want
+
+
+def test_msd_sort():
+    rows = np.array([[RNG.randrange(3) for _ in range(6)] for _ in range(500)], np.uint64)
+    group = np.array([RNG.randrange(4) for _ in range(500)])
+    order, label = repeats.msd_sort(group, rows)
+    plain = sorted((g, *r) for g, r in zip(group.tolist(), rows.tolist()))
+    got = [(g, *r) for g, r in zip(group[order].tolist(), rows[order].tolist())]
+    assert sorted(got) == plain  # a row leaves when it is alone, so only groups of several are told from others
+    assert [g[0] for g in got] == [p[0] for p in plain]
+    count = Counter(got)
+    assert all((label == label[k]).sum() == count[got[k]] for k in range(500))
+    assert got == plain
+
 def test_golay():
     words = np.array([RNG.randrange(1 << 23) for _ in range(300)])
     flips = [0, *(1 << k for k in range(23))]
