@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame
 
 from .arrow import slices
 
+#: Parts held in each of a codec's caches, unless the caller says otherwise, and the longest part held.
 CACHED, CACHED_BYTES, WORD = 160_000, 64, 256
 
 
 class Recent(dict):
     """A dict of bounded size: when it is full it becomes the old half, and what is asked for again moves back."""
 
-    def __init__(self, make, size: int = CACHED):
+    def __init__(self, make, size: int):
         super().__init__()
         self.make, self.size, self.old = make, size, {}
 
@@ -51,18 +52,20 @@ class Recent(dict):
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = CACHED):
+        if pattern != CUTTABLE:
+            raise ValueError("texts are taken apart at single spaces, which is known to be right for CUTTABLE only")
         self.ranks, self.size = ranks, max(ranks.values()) + 1
         self.bytes = {v: k for k, v in ranks.items()}
         self.find = regex.compile(pattern).findall
         self.filled = [0] * (self.size // WORD + 1)  # the lower bitmap; empty between calls
-        self.pieces = Recent(self.merge, CACHED * 3 // 2)
-        self.heads, self.parts = Recent(self._say), Recent(lambda part: self._say(" " + part))
-        self.arrays = Recent(lambda part: array("i", self.ids(part)))
+        self.pieces = Recent(self.merge, cached * 3 // 2)
+        self.heads, self.parts = Recent(self._say, cached), Recent(lambda part: self._say(" " + part), cached)
+        self.arrays = Recent(lambda part: array("i", self.ids(part)), cached)
 
     @classmethod
-    def load(cls, lines, pattern: str) -> Codec:
-        return cls({base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}, pattern)
+    def load(cls, lines, pattern: str, cached: int = CACHED) -> Codec:
+        return cls({base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}, pattern, cached)
 
     def merge(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
@@ -167,6 +170,8 @@ class Codec:
         return said.count(b" ") + 1 if said else 0, said, b"".join([x[1] for x in got])
 
 
+#: The one pattern for which a match never goes on past a single space between two characters that are not white space.
+CUTTABLE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space beside other white space, or at either end.
 _MIXED = re.compile(r" (?:(?<=\s\s)|(?<=\A )|(?=\s|\Z))").search
 
@@ -185,15 +190,15 @@ def segments(text: str) -> Iterator[str]:
     yield held
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
+_codecs: dict[tuple[str, str, int], Codec] = {}
 
 
-def codec(name: str, pattern: str) -> Codec:
+def codec(name: str, pattern: str, cached: int) -> Codec:
     """The worker's codec of a rank file that the driver has sent with SparkContext.addFile."""
-    if (name, pattern) not in _codecs:
+    if (name, pattern, cached) not in _codecs:
         with open(SparkFiles.get(name), "rb") as f:
-            _codecs[name, pattern] = Codec.load(f, pattern)
-    return _codecs[name, pattern]
+            _codecs[name, pattern, cached] = Codec.load(f, pattern, cached)
+    return _codecs[name, pattern, cached]
 
 
 def _send(docs: DataFrame, path: str) -> str:
@@ -201,12 +206,12 @@ def _send(docs: DataFrame, path: str) -> str:
     return path.rpartition("/")[2]
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """docs: doc_id, text. Returns doc_id, n_tokens, ids_sha256, decoded_sha256."""
+def encode(docs: DataFrame, path: str, pattern: str, cached: int = CACHED) -> DataFrame:
+    """docs: doc_id, text. Returns doc_id, n_tokens, ids_sha256, decoded_sha256. cached: parts held in each of a worker's caches."""
     name = _send(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(name, pattern)
+        own = codec(name, pattern, cached)
         for batch in slices(batches):
             rows = [own.digest(t.as_py() or "") for t in batch.column("text")]
             sha = lambda k: pa.array([hashlib.sha256(r[k]).hexdigest() for r in rows], pa.string())
@@ -218,15 +223,17 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def tokens(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """docs: text and any columns. In place of text: n_tokens, ids (of the whole text) and decoded_sha256 (of the bytes to
-    which the ids decode)."""
+def tokens(docs: DataFrame, path: str, pattern: str, cached: int = CACHED) -> DataFrame:
+    """docs: text and any columns but n_tokens, ids and decoded_sha256, which would be there twice (ValueError). In place of text:
+    n_tokens, ids (of the whole text) and decoded_sha256 (of the bytes to which the ids decode)."""
+    if clash := {"n_tokens", "ids", "decoded_sha256"} & set(docs.columns):
+        raise ValueError(f"docs has columns of this operator's: {sorted(clash)}")
     name = _send(docs, path)
     rest = [f for f in docs.schema if f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(name, pattern)
+        own = codec(name, pattern, cached)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

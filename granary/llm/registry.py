@@ -32,7 +32,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, cached=320_000)
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
