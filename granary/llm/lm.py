@@ -1,16 +1,26 @@
 """LM scoring with a hashed maximum-entropy model.
 
-A token's probability is that of its class given what stands before it, times its share of the class. Classes are the
-most frequent tokens, each alone, and bins of word endings for the rest. The class has a softmax over hashed features of
-the context: the word before, the classes of the two words before, and a skip over the word before to the classes of
-the two beyond it. Each task trains by AdaGrad on its own training documents and the tasks' weights are averaged
-by their tokens (one round over all training documents); the table of weights has a fixed size. Counts of tokens are
-exact, over all training documents, and stay distributed: a bounded table of frequent tokens goes to every task, and
-all other tokens are joined with the counts.
-
-Tokens are known by a 64-bit hash. Defined cases: a null text is an empty one and has the end token alone; a null doc_id
-counts as the empty string and is held out; repeated rows are learned and scored one by one; a context restarts with every slab of a
-long text; without training documents the counts are zero; other columns are not read; an empty table gives no rows.
+A token's probability is that of its group given what stands before it, times that of its class within the group given the same, times
+its share of the class: GROUPS x BINS classes, each step a softmax over GROUPS or BINS hashed features' weights. The context's features
+are hashed into ROWS rows: the word before (an n-gram feature), the word before that (a skip feature), and the groups of
+the three words before.
+
+The classes come from the corpus. Words that stand beside the same very frequent words share a group (k-means of the OWN most frequent
+words by their neighbours); within a group its words are dealt to bins by frequency; less frequent words go by their last two bytes to the
+group whose neighbours those endings have, with one bin for words of the table and one for all others. In the last one
+a word that training does not hold has the share that leaving one out gives it (words seen once against the rest), so that the
+probabilities of all known tokens and of one unknown token a group add up to one.
+
+Training is synchronous: in each of ROUNDS steps the tasks add up, over one slice of the training documents (by a hash
+of doc_id; together the slices are all of them), how often each feature meets each class and how often the current weights expect
+it to. The sums' gradient moves each weight by a step of the iterative-scaling kind, the logarithm of the two sums' ratio. As only
+sums of tasks are used, the model does not depend on partitions (but for the rounding of sums).
+Counts of tokens are exact, over all training documents, and stay distributed: a bounded table of frequent tokens goes to every
+task, and all other tokens are joined with the counts, after they are added up for each document.
+
+Tokens are known by 56 bits of XXH3 and 8 of their ending. Defined cases: a null text is an empty one and has the end token
+alone; a null doc_id counts as the empty string and is held out; repeated rows are learned and scored one by one; the context goes on
+through a text however long; without training documents the counts are zero; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,109 +30,220 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import slices
-from .common import cut
-from .textnum import Slab, scramble, slabs
-
-OWN, ENDINGS = 6, 10
-CLASSES, ROWS, STEP, RATE, BLOCK = OWN + ENDINGS, 1 << 15, 8192, 0.1, 512
-SLOTS, FREQUENT = 1 << 20, 1 << 18
-END, BEGIN = np.uint64(0x5DEECE66D0E11D00), np.uint64(0x2545F4914F6CDD1D)
+from .bpe import Recent
+from .common import cut, partitions, release
+from .textnum import scramble
+
+GROUPS, BINS, ENDINGS, NEIGHBOURS = 16, 16, 256, 64
+CLASSES = GROUPS * BINS
+OWN, FREQUENT = 1 << 14, 1 << 18
+#: Rows of the three kinds of features; ROWS in all.
+PART = (1 << 13, 1 << 12, 1 << 12)
+ROWS = sum(PART)
+ROUNDS, RATE, DOUBT, STEP, BLOCKS = 5, 0.4, 1.0, 8192, 64
+SEED, CACHED, CHUNK = 0x6C6D, 100_000, 1 << 20
+RARE = np.uint64(1 << 63)  # set in the code of a token that is not in the table of frequent ones
+END, BEGIN = 1 << 63, np.uint64(1 << 62)
 
 
 def is_held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def tokens(s: Slab) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of each token; the hash's last four bits are the token's ending (0 to ENDINGS - 1). Each
-    text's words are followed by END."""
-    a, b = s.buf[s.end - 1].astype(np.int64), s.buf[np.maximum(s.end - 2, s.start)].astype(np.int64)
-    h = s.hashes() & ~np.uint64(15) | _ENDING[a << 8 | b]
-    if not s.whole:
-        return h, s.doc
-    docs = np.arange(s.first, s.last + 1)
-    at = np.searchsorted(s.doc, docs, side="right")
-    return np.insert(h, at, END), np.insert(s.doc, at, docs)
+def token(word: bytes) -> int:
+    """The top bit, 55 bits of the word's hash and 8 of its ending's."""
+    h = xxhash.xxh3_64_intdigest(word, SEED)
+    return 1 << 63 | h & ~0xFF & (1 << 63) - 1 | xxhash.xxh3_64_intdigest(word[-2:], SEED) & 0xFF
+
 
+class Coder:
+    """Codes of texts' tokens: a frequent token's rank, any other's hash. END comes after each text's words."""
 
-_ENDING = scramble(np.arange(1 << 16)) % np.uint64(ENDINGS)
+    def __init__(self, table: np.ndarray | None = None):
+        rank = {} if table is None else {h: k for k, h in enumerate(table.tolist())}
+        self.end = rank.get(END, END)
 
+        def code(word: bytes) -> int:
+            h = token(word)
+            return rank.get(h, h)
 
-def ending(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(15)).astype(np.int64)
+        self.of = Recent(code, CACHED)
 
+    def codes(self, text: bytes) -> np.ndarray:
+        out, get = [], self.of.__getitem__
+        for part in _parts(text):
+            words = part.lower().split()
+            out.append(np.fromiter(map(get, words), np.uint64, len(words)))
+        out.append(np.array([self.end], np.uint64))
+        return np.concatenate(out)
 
-class Frequent:
-    """A direct-address table of frequent tokens: one a slot, the more frequent first. The rest are looked up elsewhere."""
+    def all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of all texts one after another, and how many each has."""
+        each = [self.codes(t) for t in texts]
+        return np.concatenate(each or [np.empty(0, np.uint64)]), np.array([len(e) for e in each], np.int64)
 
-    def __init__(self, h: np.ndarray, count: np.ndarray, own: np.ndarray):
-        order = np.argsort(count, kind="stable")  # so that the most frequent is written last
-        slot = (h[order] % np.uint64(SLOTS)).astype(np.int64)
-        self.h, self.count, self.own = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS), np.full(SLOTS, -1, np.int8)
-        self.h[slot], self.count[slot] = h[order], count[order]
-        for k, x in enumerate(own):
-            at = int(x % np.uint64(SLOTS))
-            self.h[at], self.count[at], self.own[at] = x, count[h == x][0], k
 
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether the table holds each token, its count and its own class (or -1)."""
-        slot = (h % np.uint64(SLOTS)).astype(np.int64)
-        held = (self.h[slot] == h) & (self.count[slot] > 0)
-        return held, np.where(held, self.count[slot], 0), np.where(held, self.own[slot], -1)
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about CHUNK bytes that end between words."""
+    at = 0
+    while len(text) - at > CHUNK:
+        found = [k for k in (text.find(c, at + CHUNK) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")) if k >= 0]
+        end = min(found, default=len(text))
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
 
-def contexts(h: np.ndarray, d: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    """Three hashed feature rows of each token."""
-    back, kind = [], []
-    for k in (1, 2, 3):
-        x, c = np.full(len(h), BEGIN), np.full(len(h), CLASSES)
-        same = d[k:] == d[:-k]
-        x[k:][same], c[k:][same] = h[:-k][same], cls[:-k][same]
-        back.append(x)
-        kind.append(c)
-    named = lambda name, x: (scramble(x + np.uint64(name * 0x9E3779B97F4A7C15 % (1 << 64))) % np.uint64(ROWS)).astype(np.int32)
-    pair = lambda a, b: (a * (CLASSES + 1) + b).astype(np.uint64)
+@dataclass
+class Classes:
+    """table: the frequent tokens' hashes by rank; count: theirs; group, bin: of each; by_ending: the group of each
+    ending; share: log10 of each one's share of its class. unseen, seen: log10 of the share of an unknown token in the last bin of
+    each group, and of what a known one's count is to be multiplied by there."""
+
+    table: np.ndarray
+    count: np.ndarray
+    group: np.ndarray
+    bin: np.ndarray
+    by_ending: np.ndarray
+    share: np.ndarray
+    unseen: np.ndarray
+    seen: np.ndarray
+
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each token is in the table, its group and its bin."""
+        held = codes < RARE
+        rank = np.where(held, codes, 0).astype(np.int64)
+        if not len(self.table):
+            return held, self.by_ending[(codes & np.uint64(0xFF)).astype(np.int64)], np.full(len(codes), BINS - 1)
+        group = np.where(held, self.group[rank], self.by_ending[(codes & np.uint64(0xFF)).astype(np.int64)])
+        return held, group, np.where(held, self.bin[rank], BINS - 1)
+
+
+def features(codes: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Three rows of the weights for each token; before a text's first token stands BEGIN."""
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    back = lambda x, k, none: np.where(place >= k, np.concatenate([np.zeros(k, x.dtype), x])[: len(x)], none)
+    word = lambda c: np.where(c < RARE, c, c & np.uint64(0xFF) | RARE)  # noqa: E731  # rare words by their endings
+    hashed = lambda k, x: (scramble(x + np.uint64(k + 1)) % np.uint64(PART[k])).astype(np.int64)
+    g = [back(group, k, GROUPS).astype(np.uint64) for k in (1, 2, 3)]
+    wide = np.uint64(GROUPS + 1)
     return np.stack(
         [
-            named(1, back[0]),
-            named(2, pair(kind[0], kind[1])),
-            named(3, pair(kind[1], kind[2])),
+            hashed(0, back(word(codes), 1, BEGIN)),
+            hashed(1, back(word(codes), 2, BEGIN)) + PART[0],
+            hashed(2, (g[0] * wide + g[1]) * wide + g[2]) + PART[0] + PART[1],
         ]
     )
 
 
-def log_softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = w[f[0]]
-    z += w[f[1]]
-    z += w[f[2]]
-    z += bias
+@dataclass
+class Weights:
+    """Of groups (ROWS, GROUPS), of bins within groups (ROWS * GROUPS, BINS), and their biases."""
+
+    group: np.ndarray
+    bin: np.ndarray
+    group_bias: np.ndarray
+    bin_bias: np.ndarray
+
+    @classmethod
+    def zero(cls, mass: np.ndarray) -> Weights:
+        """mass: tokens of each class. Biases alone give the classes' shares."""
+        p = (mass.reshape(GROUPS, BINS) + 1e-3).astype(np.float64)
+        bias = np.log(p.sum(axis=1) / p.sum()).astype(np.float32), np.log(p / p.sum(axis=1, keepdims=True)).astype(np.float32)
+        return cls(np.zeros((ROWS, GROUPS), np.float32), np.zeros((ROWS * GROUPS, BINS), np.float32), *bias)
+
+    def sums(self, f: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of all groups, and of all bins within the given groups, added up."""
+        z = self.group[f[0]] + self.group[f[1]]
+        z += self.group[f[2]]
+        z += self.group_bias
+        at = f * GROUPS + group
+        y = self.bin[at[0]] + self.bin[at[1]]
+        y += self.bin[at[2]]
+        y += self.bin_bias[group]
+        return z, y
+
+    def chosen(self, f: np.ndarray, group: np.ndarray, bin_: np.ndarray) -> np.ndarray:
+        """The log probability of each token's group and bin."""
+        out = np.zeros(len(group))
+        for at in range(0, len(group), STEP):
+            part, g, b = f[:, at : at + STEP], group[at : at + STEP], bin_[at : at + STEP]
+            for z, k in zip(self.sums(part, g), (g, b)):
+                own = z[np.arange(len(k)), k]
+                most = z.max(axis=1)
+                z -= most[:, None]
+                out[at : at + STEP] += own - most - np.log(np.exp(z, out=z).sum(axis=1))
+        return out
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
     return z
 
 
-class Trainer:
-    def __init__(self, bias: np.ndarray):
-        self.w, self.seen = np.zeros((ROWS, CLASSES), np.float32), np.full(ROWS, 1.0, np.float32)
-        self.bias, self.tokens = bias.astype(np.float32), 0
-
-    def learn(self, f: np.ndarray, cls: np.ndarray) -> None:
-        for at in range(0, len(cls), STEP):
-            part, c = f[:, at : at + STEP], cls[at : at + STEP]
-            g = np.exp(log_softmax(self.w, self.bias, part))
-            g[np.arange(len(c)), c] -= 1
-            rows = part.ravel()
-            order = np.argsort(rows)
-            first = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) > 0]))
-            total = np.add.reduceat(g[order % part.shape[1]], first, axis=0)
-            touched = rows[order][first]
-            self.seen[touched] += (total * total).sum(axis=1)
-            self.w[touched] -= RATE * np.sqrt(CLASSES) * total / np.sqrt(self.seen[touched])[:, None]
-            self.tokens += len(c)
+class Sums:
+    """What a step adds up: how often each feature's row meets each group and class, and how often it is expected to."""
+
+    def __init__(self, met: np.ndarray, groups: np.ndarray | None = None, bins: np.ndarray | None = None):
+        self.met, self.groups, self.bins = met, groups, bins
+
+    def meet(self, f: np.ndarray, group: np.ndarray, bin_: np.ndarray) -> None:
+        for rows in f:
+            np.add.at(self.met, rows * CLASSES + group * BINS + bin_, 1.0)
+
+    def add(self, f: np.ndarray, group: np.ndarray, bin_: np.ndarray, w: Weights) -> None:
+        self.meet(f, group, bin_)
+        for at in range(0, len(group), STEP):
+            part, g = f[:, at : at + STEP], group[at : at + STEP]
+            p, q = map(softmax, w.sums(part, g))
+            for rows in part:
+                _scatter(self.groups, rows, p)
+                _scatter(self.bins, rows * GROUPS + g, q)
+
+
+def _scatter(total: np.ndarray, rows: np.ndarray, p: np.ndarray) -> None:
+    """Adds p's rows to those of total (flat, as wide as p)."""
+    wide = p.shape[1]
+    np.add.at(total, (rows[:, None] * wide + np.arange(wide)).ravel(), p.ravel().astype(np.float64))
+
+
+def neighbours(codes: np.ndarray, sizes: np.ndarray, total: np.ndarray) -> None:
+    """Adds up, for each of the OWN first tokens and each ending of the others (rows), which of the NEIGHBOURS first stands one or two places
+    before it (columns)."""
+    row = np.where(codes < OWN, codes, OWN + (codes & np.uint64(0xFF))).astype(np.int64)
+    low = np.flatnonzero((codes >= OWN) & (codes < RARE))
+    row[low] = -1  # a frequent token beyond OWN: its code does not tell its ending
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    for k in (1, 2):
+        use = (place[k:] >= k) & (codes[:-k] < NEIGHBOURS) & (row[k:] >= 0)
+        np.add.at(total, row[k:][use] * NEIGHBOURS + codes[:-k][use].astype(np.int64), 1)
+
+
+def clusters(total: np.ndarray, weight: np.ndarray, rounds: int = 25) -> np.ndarray:
+    """The group of each row of counts: k-means of the square roots of the rows' shares. The first centres are the rows farthest from those
+    before, among the first rows."""
+    x = np.sqrt((total + 1 / NEIGHBOURS) / (total.sum(axis=1, keepdims=True) + 1))
+    centres = [x[0]]
+    pool = x[: 4 * NEIGHBOURS]
+    near = ((pool - centres[0]) ** 2).sum(axis=1)
+    for _ in range(GROUPS - 1):
+        centres.append(pool[int(near.argmax())])
+        near = np.minimum(near, ((pool - centres[-1]) ** 2).sum(axis=1))
+    c = np.array(centres)
+    for _ in range(rounds):
+        group = (x @ c.T - (c * c).sum(axis=1) / 2).argmax(axis=1)
+        for g in range(GROUPS):
+            if (own := weight[group == g]).sum() > 0:
+                c[g] = np.average(x[group == g], axis=0, weights=own)
+    return group
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -133,156 +254,254 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     """texts: text. Returns h, c: each token's count over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder()
         for batch in batches:
-            got = [tokens(s)[0] for s in slabs(_texts(batch))]
-            if got:
-                h, c = np.unique(np.concatenate(got), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
+            h, c = np.unique(coder.all(_texts(batch))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
 
     return texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def frequent(counts: DataFrame) -> Frequent:
-    """The tokens of at least the least power of two that FREQUENT or fewer tokens reach; of these the OWN first have
-    classes of their own."""
+def frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, int]:
+    """Tokens and counts, the most frequent first, of all that occur at least so often: the least power of two, 2 or more, that most or
+    fewer tokens reach."""
     size = F.length(F.bin("c"))
-    up = sorted((tuple(r) for r in counts.groupBy(size).count().collect()), reverse=True)
-    total, least = 0, 64
-    for bits, n in up:
+    total, bits = 0, 64
+    for b, n in sorted((tuple(r) for r in counts.groupBy(size).count().collect()), reverse=True):  # at most 64 rows
         total += n
-        if total > FREQUENT:
+        if total > most or b < 2:
             break
-        least = bits
-    got = counts.where(size >= least).select("h", "c").toArrow()
+        bits = b
+    got = counts.where(size >= bits).select("h", "c").toArrow()
     h, c = got["h"].to_numpy().view(np.uint64), got["c"].to_numpy()
-    first = np.lexsort((h, -c))[:OWN]
-    return Frequent(h, c, h[first])
+    order = np.lexsort((h, -c))
+    return h[order], c[order], 1 << min(bits - 1, 62)
+
+
+def added(parts: DataFrame, sizes: dict[str, int]) -> dict[str, np.ndarray]:
+    """parts: name, block, part, data (float32 numbers of a block of the named array, as a task has added them up). The arrays' sums
+    over all tasks, in two steps, so that neither reads more than the square root of the tasks' rows a block."""
+    spark = parts.sparkSession
+    several = max(1, int(np.sqrt(tasks(spark))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(key, total):
+            return pa.RecordBatch.from_pylist([dict(zip(("name", "block", "part"), key)) | {"data": total.astype(np.float32).tobytes()}], PARTS)
+
+        key, total = None, None
+        for batch in batches:
+            for name, block, part, data in zip(*(batch.column(c) for c in ("name", "block", "part", "data"))):
+                k, x = (name.as_py(), block.as_py(), part.as_py()), np.frombuffer(data.as_buffer(), np.float32)
+                if k == key:
+                    total += x
+                else:
+                    if key:
+                        yield row(key, total)
+                    key, total = k, x.astype(np.float64)
+        if key:
+            yield row(key, total)
+
+    for modulus in (several, 1):
+        keys = ("name", "block", "part")
+        dealt = parts.withColumn("part", F.col("part") % modulus).repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
+        parts = dealt.mapInArrow(run, "name string, block int, part int, data binary")
+    table = cut(parts, "sums")
+    got = table.toArrow()
+    release(table)
+    out = {name: np.zeros(n, np.float32) for name, n in sizes.items()}
+    for name, block, data in zip(*(got[c].to_pylist() for c in ("name", "block", "data"))):
+        at = len(out[name]) // BLOCKS * block
+        x = np.frombuffer(data, np.float32)
+        out[name][at : at + len(x)] = x
+    return out
+
+
+PARTS = pa.schema([("name", pa.string()), ("block", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
+
+
+def _emit(arrays: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A task's sums as rows for added(); blocks of zeros are left out."""
+    part = TaskContext.get().partitionId()
+    for name, x in arrays.items():
+        for k, block in enumerate(x.reshape(BLOCKS, -1)):
+            if block.any():
+                yield pa.RecordBatch.from_pylist([{"name": name, "block": k, "part": part, "data": block.astype(np.float32).tobytes()}], PARTS)
+
+
+def tasks(spark: SparkSession) -> int:
+    """How many tasks add up: two a core, so that what they send is small beside what they read."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
+def _pass(texts: DataFrame, arrays, see, sizes: dict[str, int]) -> dict[str, np.ndarray]:
+    """Each task makes arrays() and lets see(arrays, batch) add to them; their sums over all tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, state = arrays(), {}
+        for batch in slices(batches, 256):
+            see(own, state, _texts(batch))
+        yield from _emit(own)
+
+    few = texts.coalesce(tasks(texts.sparkSession))
+    return added(few.mapInArrow(run, "name string, block int, part int, data binary"), sizes)
+
+
+def _coded(state: dict, table: np.ndarray) -> Coder:
+    if "coder" not in state:
+        state["coder"] = Coder(table)
+    return state["coder"]
+
+
+def classes(counts: DataFrame, texts: DataFrame) -> tuple[Classes, np.ndarray]:
+    """The classes, and the training tokens of each."""
+    table, count, least = frequent(counts)
+    n = (OWN + ENDINGS) * NEIGHBOURS
+
+    def see(own, state, batch):
+        neighbours(*_coded(state, table).all(batch), own["near"])
+
+    near = _pass(texts, lambda: {"near": np.zeros(n)}, see, {"near": n})["near"].reshape(-1, NEIGHBOURS).astype(np.float64)
+    first = min(OWN, len(table))
+    weight = near.sum(axis=1)
+    weight[:first] = count[:first]
+    group = clusters(near, np.sqrt(weight))
+    by_ending = group[OWN:]
+    of_table = by_ending[(table & np.uint64(0xFF)).astype(np.int64)]
+    of_table[:first] = group[:first]
+    bins = np.full(len(table), BINS - 2)
+    for g in range(GROUPS):
+        if len(i := np.flatnonzero(of_table[:first] == g)):
+            upto = np.cumsum(count[i]) / count[i].sum()
+            bins[i] = np.minimum((upto - 1e-9) * (BINS - 2), BINS - 3).astype(np.int64)
+    of = of_table * BINS + bins
+    mass = np.bincount(of, weights=count, minlength=CLASSES)
+    share = np.log10(count / mass[of])
+    ending = F.col("h").bitwiseAND(F.lit(0xFF)).cast("int")
+    low, c = F.col("c") < least, F.col("c")
+    facts = np.zeros((ENDINGS, 4))
+    for r in counts.groupBy(ending).agg(  # one row an ending
+        F.sum(F.when(low, c).otherwise(0)), F.count_if(c == 1), F.count_if(c == 2), F.sum(F.when(low & (c > 2), c).otherwise(0))
+    ).collect():
+        facts[r[0]] = [float(x) for x in r[1:]]
+    rest, once, twice, more = (np.bincount(by_ending, weights=facts[:, k], minlength=GROUPS) for k in range(4))
+    unseen = (once + 0.5) / (once + 2 * twice + more + 1)
+    mass.reshape(GROUPS, BINS)[:, BINS - 1] = rest
+    return Classes(table, count, of_table, bins, by_ending, share, np.log10(unseen), np.log10((1 - unseen) / np.maximum(rest, 1))), mass
+
+
+def trained(kinds: Classes, mass: np.ndarray, texts: DataFrame) -> Weights:
+    """texts: doc_id, text."""
+    w = Weights.zero(mass)
+
+    def given(state, batch):
+        codes, sizes = _coded(state, kinds.table).all(batch)
+        _, group, bin_ = kinds.of(codes)
+        return features(codes, sizes, group), group, bin_
+
+    def move(met: np.ndarray, groups: np.ndarray, bins: np.ndarray) -> None:
+        by_group = met.reshape(-1, BINS).sum(axis=1)
+        w.group += (RATE * np.log((by_group + DOUBT) / (groups + DOUBT))).reshape(-1, GROUPS).astype(np.float32)
+        w.bin += (RATE * np.log((met + DOUBT) / (bins + DOUBT))).reshape(-1, BINS).astype(np.float32)
+
+    # the first step's expectations follow from the biases and from how often each row is met
+    def first(own, state, batch):
+        sums = Sums(own["met"])
+        sums.meet(*given(state, batch))
+
+    met = _pass(texts.select("text"), lambda: {"met": np.zeros(ROWS * CLASSES)}, first, {"met": ROWS * CLASSES})["met"].astype(np.float64)
+    groups = met.reshape(ROWS, GROUPS, BINS).sum(axis=2)
+    move(met, (groups.sum(axis=1, keepdims=True) * np.exp(w.group_bias)).ravel(), (groups[:, :, None] * np.exp(w.bin_bias)).ravel())
+
+    def later(own, state, batch):
+        Sums(own["met"], own["groups"], own["bins"]).add(*given(state, batch), w)
+
+    sizes = {"met": ROWS * CLASSES, "groups": ROWS * GROUPS, "bins": ROWS * CLASSES}
+    for k in range(ROUNDS - 1):
+        part = texts.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(ROUNDS - 1)) == k).select("text")
+        got = _pass(part, lambda: {name: np.zeros(n) for name, n in sizes.items()}, later, sizes)
+        move(*(got[name].astype(np.float64) for name in sizes))
+    return w
 
 
 @dataclass
 class Model:
-    """counts: the tokens' counts (h, c), distributed; n and v: all tokens and how many are different; inside: log10 of each
-    ending's smoothed count."""
+    """counts: the tokens' counts (h, c), distributed; n and v: all tokens and how many are different."""
 
     counts: DataFrame
-    table: Frequent
     n: int
     v: int
-    bias: np.ndarray
-    w: np.ndarray
-    inside: np.ndarray
+    kinds: Classes
+    weights: Weights
 
 
 def fit(texts: DataFrame) -> Model:
-    """texts: text."""
-    counts = cut(count_tokens(texts), "counts")
-    table = frequent(counts)
+    """texts: doc_id, text; the same rows when read again."""
+    counts = cut(count_tokens(texts.select("text")), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    own = [int(x) for x in table.h[table.own >= 0].view(np.int64)]
-    rest = counts.where(~F.col("h").isin(own)) if own else counts
-    mass, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    for e, m, k in rest.groupBy((F.col("h").bitwiseAND(F.lit(15))).alias("ending")).agg(F.sum("c"), F.count("*")).collect():
-        mass[e], kinds[e] = m, k
-    share = np.zeros(CLASSES)
-    share[table.own[table.own >= 0]] = table.count[table.own >= 0]
-    share[OWN:] = mass
-    bias = np.log((share + 0.1) / (share.sum() + 0.1 * CLASSES)).astype(np.float32)
-    return Model(counts, table, n, v, bias, _trained(texts, table, bias), np.log10(mass + 0.1 * (kinds + 1)))
+    kinds, mass = classes(counts, texts.select("text"))
+    return Model(counts, n, v, kinds, trained(kinds, mass, texts))
 
 
 def score(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; the model learns from
     the documents that are not held out."""
     docs = docs.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out"))
-    return score_with(fit(docs.where(~F.col("held_out")).select("text")), docs)
+    return score_with(fit(docs.where(~F.col("held_out")).select("doc_id", "text")), docs)
 
 
 def score_with(model: Model, docs: DataFrame) -> DataFrame:
     """docs: doc_id, text, held_out (as it is to be returned)."""
-    table, bias, w, inside, n, v = model.table, model.bias, model.w, model.inside, model.n, model.v
+    kinds, w, n, v = model.kinds, model.weights, model.n, model.v
+    base = np.log10(kinds.count + 0.1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts = _texts(batch)
-            m = len(texts)
-            sums, rare, whose = np.zeros((4, m)), [], []
-            for s in slabs(texts):
-                h, d = tokens(s)
-                e = ending(h)
-                held, c, k = table.find(h)
-                cls = np.where(k >= 0, k, OWN + e)
-                logs = np.zeros(len(h))
-                logs[held] = np.log10(c[held] + 0.1)
-                by_class = np.zeros(len(h))
-                f = contexts(h, d, cls)
-                for at in range(0, len(h), STEP):
-                    z = log_softmax(w, bias, f[:, at : at + STEP])
-                    by_class[at : at + STEP] = z[np.arange(len(z)), cls[at : at + STEP]]
-                alone = k >= 0
-                add = lambda x: np.bincount(d, weights=x, minlength=m)
-                sums += [add(np.ones(len(h))), add(held), add(logs), add(by_class / np.log(10) - np.where(alone, logs, inside[e]))]
-                rare.append(h[~held])
-                whose.append(d[~held])
-            rare, whose = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((rare, np.uint64), (whose, np.int64)))
-            order = np.argsort(whose, kind="stable")
-            offsets = np.searchsorted(whose[order], np.arange(m + 1)).astype(np.int32)
+        coder = Coder(kinds.table)
+        for batch in slices(batches, 256):
+            codes, sizes = coder.all(_texts(batch))
+            m, d = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+            held, group, bin_ = kinds.of(codes)
+            logs, inside = np.zeros(len(codes)), kinds.seen[group]
+            rank = codes[held].astype(np.int64)
+            logs[held], inside[held] = base[rank], kinds.share[rank]
+            inside += w.chosen(features(codes, sizes, group), group, bin_) / np.log(10)
+            add = lambda x: np.bincount(d, weights=x, minlength=m)
+            order = np.lexsort((codes[~held], d[~held]))
+            rare, whose = codes[~held][order], d[~held][order]
+            fresh = np.ones(len(rare), bool)
+            fresh[1:] = (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1])
+            times = np.diff(np.append(np.flatnonzero(fresh), len(rare)))
+            offsets = np.searchsorted(whose[fresh], np.arange(m + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(x) for x in ("doc_id", "held_out")),
-                    pa.array(sums[0].astype(np.int64)),
-                    pa.array(sums[1].astype(np.int64)),
-                    pa.array(sums[2]),
-                    pa.array(sums[3]),
-                    pa.ListArray.from_arrays(offsets, pa.array(rare[order].view(np.int64))),
+                    pa.array(sizes),
+                    pa.array(add(held).astype(np.int64)),
+                    pa.array(add(logs)),
+                    pa.array(add(inside)),
+                    pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(rare[fresh].view(np.int64)), pa.array(times)], ["h", "n"])),
                 ],
                 ["doc_id", "held_out", "n_tokens", "n_held", "logs", "model", "rare"],
             )
 
-    local = docs.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_held long, logs double, model double, rare array<long>")
-    local = cut(local.withColumn("uid", F.monotonically_increasing_id()), "local")
-    rare = local.select("uid", F.explode("rare").alias("h")).join(model.counts.select("h", "c"), "h", "left")
-    rare = rare.groupBy("uid").agg(F.count("c").alias("known"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more"))
-    logs, zero = F.col("logs") + F.coalesce("more", F.lit(0.0)), F.lit(0)
+    kind = "doc_id long, held_out boolean, n_tokens long, n_held long, logs double, model double, rare array<struct<h:long,n:long>>"
+    local = cut(docs.select("doc_id", "text", "held_out").mapInArrow(run, kind).withColumn("uid", F.monotonically_increasing_id()), "local")
+    rare = local.select("uid", F.explode("rare").alias("r")).select("uid", "r.h", "r.n").join(model.counts.select("h", "c"), "h", "left")
+    known, times = F.col("c").isNotNull(), F.col("n")
+    apart = F.array(*(F.lit(float(x)) for x in (kinds.unseen - kinds.seen)[kinds.by_ending]))  # one number an ending
+    lost = F.element_at(apart, F.col("h").bitwiseAND(F.lit(0xFF)).cast("int") + 1)
+    rare = rare.groupBy("uid").agg(
+        F.sum(F.when(known, times).otherwise(0)).alias("known"),
+        F.sum(times * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more"),
+        F.sum(times * F.when(known, F.log10("c")).otherwise(lost)).alias("inner"),
+    )
+    zero = F.lit(0.0)
+    logs = F.col("logs") + F.coalesce("more", zero)
     return local.drop("rare").join(rare, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_held") + F.coalesce("known", zero)).alias("n_known"),
+        (F.col("n_held") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * F.lit(float(np.log10(n + 0.1 * (v + 1))))).alias("base_score"),
-        (logs + F.col("model")).alias("score"),
+        (F.col("model") + F.coalesce("inner", zero)).alias("score"),
     )
-
-
-def _trained(training: DataFrame, table: Frequent, bias: np.ndarray) -> np.ndarray:
-    """Every task's weights, averaged by its tokens, row by row: tasks send blocks of rows, which are added up in two steps."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Trainer(bias)
-        for batch in slices(batches):
-            for s in slabs(_texts(batch)):
-                h, d = tokens(s)
-                k = table.find(h)[2]
-                cls = np.where(k >= 0, k, OWN + ending(h))
-                own.learn(contexts(h, d, cls), cls)
-        if own.tokens:
-            heavy = own.w * np.float32(own.tokens)
-            blocks = [x.tobytes() for x in np.split(heavy, ROWS // BLOCK)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(blocks))), pa.array([own.tokens] * len(blocks)), pa.array(blocks, pa.binary())], ["block", "n", "w"]
-            )
-
-    def add(t: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK * CLASSES, np.float32)
-        for x in t["w"]:
-            total += np.frombuffer(x.as_py(), np.float32)
-        return pa.table({"block": t["block"][:1], "n": [sum(t["n"].to_pylist())], "w": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "block long, n long, w binary"
-    parts = training.mapInArrow(run, schema).withColumn("of", F.pmod(F.spark_partition_id(), F.lit(32)))
-    some = parts.groupBy("block", "of").applyInArrow(add, schema)
-    got = some.groupBy("block").applyInArrow(add, schema).toArrow().sort_by("block")  # ROWS / BLOCK rows
-    if not got.num_rows:
-        return np.zeros((ROWS, CLASSES), np.float32)
-    w = np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in got["w"]]).reshape(ROWS, CLASSES)
-    return w / np.float32(got["n"][0].as_py())
