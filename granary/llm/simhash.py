@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import golay
 from .arrow import longs, slices
-from .common import cut, partitions
+from .common import cut, partitions, release
 from .components import components, flatten, unite
 from .textnum import SLAB as SLAB_BYTES
 from .textnum import scramble, slabs
@@ -118,23 +118,14 @@ def forest(k: np.ndarray, fp: np.ndarray, distance: int = DISTANCE) -> tuple[np.
 def _linker(distance: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by key; a key's rows may spread over batches."""
-        k, fp, node = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def links(upto: int):
-            a, b = forest(k[:upto], fp[:upto], distance)
-            least = node[:upto].copy()  # a tree's smallest node, which many keys have in common, stands for it
+        for t in _groups(batches):
+            k, fp, node = (longs(t[c]) for c in ("k", "fp", "node"))
+            a, b = forest(k, fp, distance)
+            least = node.copy()  # a tree's smallest node, which many keys have in common, stands for it
             np.minimum.at(least, b, node[a])
             pairs = np.unique(np.concatenate([np.stack([node[x], least[b]], axis=1) for x in (a, b)]), axis=0)
             pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-        for batch in batches:
-            k, fp, node = (np.concatenate([x, longs(batch.column(c))]) for x, c in ((k, "k"), (fp, "fp"), (node, "node")))
-            if len(k) and (upto := int(np.searchsorted(k, k[-1]))):
-                yield links(upto)
-                k, fp, node = k[upto:], fp[upto:], node[upto:]
-        if len(k):
-            yield links(len(k))
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
 
@@ -190,17 +181,17 @@ def shingles(text: bytes, size: int = SHINGLES) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs), np.uint64, len(runs)))
 
 
-def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, reread: bool = False) -> DataFrame:
+def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY) -> DataFrame:
     """docs less its copies. Rows are linked whose five-word shingles have a Jaccard similarity of least or more; no two
     rows that stay are linked, and a row that goes is linked to one that stays, or to one that went for its sake. All columns stay.
 
     Of a group of equal texts the smallest doc_id stands for all. A first pass takes texts linked by any of several SimHashes of
     their distinct words, which edits of single words disturb less than shingles: in each such group those go that the exact
     comparison finds alike to the one nearest to the bitwise majority. What stays is joined exactly (see alike_to_others), whatever its fingerprints.
-    reread: docs reads files and gives the same rows in the same partitions each time; otherwise it is written to the
-    shared folder first. Texts without words are equal to each other."""
-    own = (docs if reread else cut(docs, "docs")).withColumn("__uid", F.monotonically_increasing_id())
-    prints = cut(own.select("doc_id", "text", "__uid").mapInArrow(_word_prints(seeds), "uid long, doc_id long, same string, fps array<long>"), "prints")
+    The rows are written to the shared folder with a number each first, so that every later read has the same numbers.
+    Texts without words are equal to each other; docs may have any columns but granary_uid."""
+    own = cut(docs.withColumn("granary_uid", F.monotonically_increasing_id()), "docs")
+    prints = cut(own.select("doc_id", "text", F.col("granary_uid").alias("uid")).mapInArrow(_word_prints(seeds), "uid long, doc_id long, same string, fps array<long>"), "prints")
     one = cut(
         prints.groupBy("same").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("x"), F.first("fps").alias("fps")).select("same", "x.uid", "fps"),
         "texts",
@@ -217,7 +208,7 @@ def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, rer
     away = F.expr("size(filter(most, (m, k) -> m <> ((shiftright(fps[k div 64], cast(k % 64 as int)) & 1) = 1)))")
     near = members.join(counts, "root").groupBy("root").agg(F.min(F.struct(away.alias("away"), "uid")).alias("x"))
     linked = cut(members.join(near.select("root", F.col("x.uid").alias("kept")), "root").select("uid", "root", "kept"), "linked", narrow=True)
-    text = own.select("__uid", "text").join(linked.hint("shuffle_hash"), F.col("__uid") == linked["uid"]).select("uid", "root", "kept", "text")
+    text = own.select("granary_uid", "text").join(linked.hint("shuffle_hash"), F.col("granary_uid") == linked["uid"]).select("uid", "root", "kept", "text")
     sets = cut(text.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
     first = sets.where("uid = kept").select("root", F.col("set").alias("of"))
     common = F.size(F.array_intersect("set", "of"))
@@ -225,9 +216,10 @@ def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY, rer
     copies = prints.join(one.select("same", F.col("uid").alias("kept")), "same").where("uid <> kept").select("uid")
     gone = cut(gone, "gone", narrow=True)
     stay = cut(one.select("uid").join(gone, "uid", "left_anti"), "stay", narrow=True)
-    near = alike_to_others(own.select(F.col("__uid").alias("uid"), "text"), stay, least)
+    release(sets)
+    near = alike_to_others(own.select(F.col("granary_uid").alias("uid"), "text"), stay, least)
     dropped = cut(gone.unionByName(copies).unionByName(near), "dropped", narrow=True)
-    return own.join(dropped.hint("shuffle_hash"), own["__uid"] == dropped["uid"], "left_anti").select(*docs.columns)
+    return own.join(dropped.hint("shuffle_hash"), own["granary_uid"] == dropped["uid"], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _word_prints(seeds: int):
@@ -236,7 +228,7 @@ def _word_prints(seeds: int):
             texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             same = [xxhash.xxh3_128_hexdigest(b" ".join(t.lower().split())) for t in texts]
             fps = pa.array([word_fingerprints(t, seeds) for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("__uid"), batch.column("doc_id"), pa.array(same, pa.string()), fps], ["uid", "doc_id", "same", "fps"])
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("doc_id"), pa.array(same, pa.string()), fps], ["uid", "doc_id", "same", "fps"])
 
     return run
 
@@ -288,17 +280,20 @@ def _by_key(rows: DataFrame) -> DataFrame:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of whole groups; rows come sorted by k."""
-    held = None
+    """Tables of whole groups; rows come sorted by k. Batches are put together once, when a group is whole."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        t = pa.Table.from_batches([batch])
-        held = pa.concat_tables([held, t]) if held is not None else t
-        k = longs(held["k"])
-        if len(k) and (upto := int(np.searchsorted(k, k[-1]))):
-            yield held.slice(0, upto).combine_chunks()
-            held = held.slice(upto).combine_chunks()
-    if held is not None and held.num_rows:
-        yield held
+        if not batch.num_rows:
+            continue
+        k = longs(batch.column("k"))
+        upto = int(np.searchsorted(k, k[-1]))  # the batch's last group may go on
+        if upto or (held and held[-1].column("k")[-1].as_py() != k[-1]):
+            whole = [*held, batch.slice(0, upto)]
+            yield pa.Table.from_batches([b for b in whole if b.num_rows]).combine_chunks()
+            held = []
+        held.append(batch.slice(upto))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _need(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
@@ -312,6 +307,10 @@ def _rest(n: np.ndarray, least: float) -> np.ndarray:
 
 
 def _gone(texts: DataFrame, rows: DataFrame, least: float, pivots: bool) -> DataFrame:
+    """pivots: a group's texts meet three of their own only. Otherwise all pairs are compared: those of groups of FEW texts or fewer one by one,
+    those of larger groups in pages (see _paged)."""
+    most = FEW
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
             k, uid, n = (longs(t[c]) for c in ("k", "uid", "n"))
@@ -322,27 +321,89 @@ def _gone(texts: DataFrame, rows: DataFrame, least: float, pivots: bool) -> Data
             if pivots:
                 steps = [(i, base), (i[span > 2], (base + span // 2)[span > 2]), (i[span > 1], (base + span - 1)[span > 1])]
             else:
-                steps = ((i[s:][k[s:] == k[:-s]], i[:-s][k[s:] == k[:-s]]) for s in range(1, int(size.max(initial=1))))
+                few = span <= most
+                near = lambda s: few[s:] & (k[s:] == k[:-s])
+                steps = ((i[s:][near(s)], i[:-s][near(s)]) for s in range(1, int(size[size <= most].max(initial=1))))
+                yield _pairs(uid[~few], np.minimum.reduceat(uid, start)[np.repeat(np.arange(len(size)), size)][~few], np.zeros((~few).sum()))
             for a, b in steps:
-                need = _need(n[a], n[b], least)
-                use = (np.minimum(n[a], n[b]) >= need) & (uid[a] != uid[b])
+                need = _common(n[a], n[b], least)
+                use = (need > 0) & (uid[a] != uid[b])
                 if use.any():
-                    a, b, need = a[use], b[use], need[use]
-                    # what the prefixes have in common: all but what the rest of the set whose prefix ends first can hold
-                    m = np.maximum(1, need - np.maximum(_rest(n[a], least), _rest(n[b], least)))
-                    x, y = np.minimum(uid[a], uid[b]), np.maximum(uid[a], uid[b])
-                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(m.astype(np.int32))], ["a", "b", "m"])
+                    a, b = a[use], b[use]
+                    yield _pairs(np.minimum(uid[a], uid[b]), np.maximum(uid[a], uid[b]), need[use])
 
-    met = _by_key(rows).mapInArrow(run, "a long, b long, m int").groupBy("a", "b", "m").agg(F.count("*").alias("c"))
+    met = cut(_by_key(rows).mapInArrow(run, "a long, b long, m int"), "met", narrow=True)
+    counted = met.where("m > 0").groupBy("a", "b", "m").agg(F.count("*").alias("c"))
     enough = F.col("c") * 2 >= F.col("m") if pivots else F.col("c") >= F.col("m")  # pivots see only some of the common shingles
-    pairs = cut(met.where(enough).select("a", "b"), "pairs", narrow=True)
+    pairs = counted.where(enough).select("a", "b")
+    if not pivots:
+        pairs = pairs.unionByName(_paged(rows, met.where("m = 0").select("a", "b"), least))
+    pairs = cut(pairs.distinct(), "pairs", narrow=True)
     asked = pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct()
     own = texts.join(asked.hint("shuffle_hash"), texts["uid"] == asked["u"]).select("uid", F.lit(0).cast("long").alias("root"), F.lit(0).cast("long").alias("kept"), "text")
     sets = cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
     one, two = (sets.select(F.col("uid").alias(c), F.col("set").alias(s)) for c, s in (("a", "x"), ("b", "y")))
     common = F.size(F.array_intersect("x", "y"))
     same = pairs.join(one, "a").join(two, "b").where(common / (F.size("x") + F.size("y") - common) >= least).select("a", "b")
-    return cut(components(same).where("id <> root").select(F.col("id").alias("uid")).distinct(), "near", narrow=True)
+    gone = cut(components(same).where("id <> root").select(F.col("id").alias("uid")).distinct(), "near", narrow=True)
+    release(met, pairs, sets)
+    return gone
+
+
+def _pairs(a: np.ndarray, b: np.ndarray, m: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(m.astype(np.int32))], ["a", "b", "m"])
+
+
+def _common(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
+    """How many shingles the prefixes of alike sets of n and m have in common at least: all but what the rest of the set whose prefix
+    ends first can hold. 0 where sets of such sizes cannot be alike."""
+    need = _need(n, m, least)
+    return np.where(np.minimum(n, m) >= need, np.maximum(1, need - np.maximum(_rest(n, least), _rest(m, least))), 0)
+
+
+#: Texts of a group whose pairs are written one by one, and of a page in larger ones.
+FEW, PAGE = 32, 512
+
+
+def _paged(rows: DataFrame, links: DataFrame, least: float) -> DataFrame:
+    """links: each text of a large group with the group's first. The pairs a, b of texts that large groups connect and whose prefixes have enough
+    in common. Texts that large groups connect are dealt to pages; every two pages meet in a task, which counts what their prefixes have
+    in common and gives only the pairs with enough. A text is sent once for each page, so no group, however large, is in one task."""
+    roots = cut(components(links).withColumnRenamed("id", "uid"), "large", narrow=True)
+    if roots.isEmpty():
+        return links
+    held = rows.join(roots, "uid").groupBy("root", "uid", "n").agg(F.collect_list("k").alias("keys"))
+    pages = roots.groupBy("root").agg(F.ceil(F.count("*") / PAGE).cast("int").alias("pages"))
+    own, other = F.col("own"), F.col("other")
+    dealt = (
+        held.join(pages, "root")
+        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("pages")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+        .select("root", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"), (own > other).alias("second"), "uid", "n", "keys")
+    )
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        uid, n, second = longs(t["uid"]), longs(t["n"]), longs(t["second"])
+        one = key[1].as_py() == key[2].as_py()
+        keys = t["keys"].combine_chunks()
+        row = np.repeat(np.arange(len(uid)), np.diff(keys.offsets.to_numpy()))
+        k = keys.flatten().to_numpy()
+        order = np.lexsort((row, second[row], k))
+        k, row = k[order], row[order]
+        count = np.zeros((len(uid), len(uid)), np.int32)
+        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
+        for a, b in zip(start.tolist(), np.append(start[1:], len(k)).tolist()):
+            own = row[a:b]
+            if b - a > 1:
+                count[np.ix_(own if one else own[~second[own]], own if one else own[second[own]])] += 1
+        i, j = np.nonzero(count)
+        i, j = (i[i < j], j[i < j]) if one else (i, j)
+        need = _common(n[i], n[j], least)
+        use = (need > 0) & (count[i, j] >= need)
+        a, b = uid[i[use]], uid[j[use]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return dealt.groupBy("root", "left", "right").applyInArrow(run, "a long, b long")
 
 
 def shingle_rows(texts: list[bytes], size: int = SHINGLES) -> tuple[np.ndarray, np.ndarray]:
