@@ -19,7 +19,7 @@ def judge_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return simhash.keep_one(docs, reread=True)
+    return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
