@@ -5,9 +5,9 @@ over all documents; at most 3 to the number of labellers) is all that expectatio
 share of bad documents and each labeller's accuracy. The combinations' posteriors label a bounded hash sample of documents
 (SAMPLE is the bound), on which a linear scorer over hashed features is trained; it scores and judges every document.
 
-Defined cases: on a text of fewer than FEW words (a null or empty one too) all labellers abstain, and it is kept with
-the prior as its score; repeated rows
-are judged alike; other columns are carried (keep_good) or not read (score); an empty table gives no rows.
+Statistics are of whole texts, however long. Defined cases: on a text of fewer than FEW words all labellers abstain and the scorer judges it as any
+other; a text without words (a null or empty one too) is kept with the prior as its score; repeated rows are judged alike and are one text in
+the sample; other columns are carried (keep_good) or not read (score); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import slices
-from .textnum import scramble, slabs
+from .textnum import cuts, scramble
 
 SAMPLE, BINS, THRESHOLD, FEW = 8192, 1 << 13, 0.6, 20
 #: Names of the statistics; each has a labeller: (statistic, bad beyond, good within, bad above rather than below).
@@ -30,7 +30,7 @@ LABELLERS = (
     ("repeated four-word runs", 0.4, 0.2, True),
     ("capital letters", 0.5, 0.25, True),
     ("words without letters", 0.2, 0.08, True),
-    ("distinct words", 0.2, 0.4, False),
+    ("variety of words", 0.65, 0.8, False),
     ("short words", 0.05, 0.15, False),
     ("sentence ends", 0.002, 0.02, False),
 )
@@ -50,62 +50,76 @@ for _k, _c in enumerate(" .,;:!?-'\"()|&%$#*/@_=+<>[]{}~^`\\"):
 
 
 def statistics(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, and (texts, labellers) shares. Runs of words are compared within a slab."""
+    """Words of each text, and (texts, labellers) shares. All are of the whole text; variety is the logarithm of the distinct words' number
+    to the base of the words', which depends little on a text's length."""
     n = len(texts)
-    words, sums = np.zeros(n), np.zeros((n, len(LABELLERS)))
-    letters, capitals = np.zeros(n), np.zeros(n)
-    for s in slabs(texts, lower=False):
-        if not len(s.start):
-            continue
-        h = s.hashes()
-        d, m = s.doc, n
-        add = lambda mask, at=d: np.bincount(at[mask], minlength=m)
-        words += np.bincount(d, minlength=m)
-        length = s.end - s.start
-        count = lambda table: np.concatenate([[0], np.cumsum(table[s.buf])])
-        of = lambda c: c[s.end] - c[s.start]
-        letter, upper = of(count(_LETTER)), of(count(_UPPER))
-        letters += np.bincount(d, weights=letter, minlength=m)
-        capitals += np.bincount(d, weights=upper, minlength=m)
-        strange = ~_LETTER & ~_DIGIT & ~_ENDING
-        a, b = s.buf[s.end - 1], s.buf[np.maximum(s.end - 2, s.start)]
-        marked = (length > 2) & (letter > 0) & ((strange[a] & strange[b]) | ((a == b) & (a == 33)))
-        sums[:, 0] += add(marked)
-        sums[:, 1] += add((h[1:] == h[:-1]) & (d[1:] == d[:-1]), d[1:])
-        if len(h) > 3:
-            run = scramble(h[:-3] + scramble(h[1:-2] + scramble(h[2:-1] + scramble(h[3:]))))
-            one = d[3:] == d[:-3]
-            e, again = _sorted_within(run[one], d[:-3][one], s.first)
-            sums[:, 2] += np.bincount(e[again], minlength=m)
-        sums[:, 4] += add(letter + of(count(_DIGIT)) == 0)
-        e, again = _sorted_within(h, d, s.first)
-        sums[:, 5] += np.bincount(e[~again], minlength=m)
-        sums[:, 6] += add((length <= 3) & (letter > 0))
-        sums[:, 7] += add(_STOP[a])
+    w = _words(b"\n".join(texts))
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    d = np.searchsorted(begins, w["start"], side="right") - 1
+    h, length, letter, upper, digit, last, before = (w[k] for k in ("h", "length", "letter", "upper", "digit", "last", "before"))
+    count = lambda mask, at=d: np.bincount(at[mask], minlength=n).astype(np.float64)
+    total = lambda x: np.bincount(d, weights=x, minlength=n)
+    words, letters = np.bincount(d, minlength=n).astype(np.float64), total(letter)
+    strange = ~_LETTER & ~_DIGIT & ~_ENDING
+    marked = (length > 2) & (letter > 0) & ((strange[last] & strange[before]) | ((last == before) & (last == 33)))
+    repeated = np.zeros(n)
+    if len(h) > 3:
+        run = scramble(h[:-3] + scramble(h[1:-2] + scramble(h[2:-1] + scramble(h[3:]))))
+        one = d[3:] == d[:-3]
+        e, again = _again(run[one], d[:-3][one])
+        repeated = count(again, e)
+    e, again = _again(h, d)
+    distinct = count(~again, e)
+    sums = np.stack(
+        [
+            count(marked),
+            count((h[1:] == h[:-1]) & (d[1:] == d[:-1]), d[1:]),
+            repeated,
+            total(upper),
+            count(letter + digit == 0),
+            np.log(np.maximum(distinct, 1)),
+            count((length <= 3) & (letter > 0)),
+            count(_STOP[last]),
+        ],
+        axis=1,
+    )
     shares = sums / np.maximum(words, 1)[:, None]
-    shares[:, 3] = capitals / np.maximum(letters, 1)
+    shares[:, 3] = sums[:, 3] / np.maximum(letters, 1)
+    shares[:, 5] = np.where(words > 1, sums[:, 5] / np.log(np.maximum(words, 2)), 1)
     return words, shares
 
 
-def _sorted_within(h: np.ndarray, d: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents, and whether the hash (44 bits of it) was there before in its document, in some order."""
-    key = (d - first).astype(np.uint64) << np.uint64(44) | h >> np.uint64(20)
+def _words(text: bytes) -> dict[str, np.ndarray]:
+    """Each word's place, hash, length, letters, capitals, digits and last two bytes; the text is looked at in slabs, the words are not cut."""
+    out = []
+    for at, s in cuts(text):
+        count = lambda table: np.concatenate([[0], np.cumsum(table[s.buf])])
+        of = lambda table: (lambda c: (c[s.end] - c[s.start]).astype(np.int32))(count(table))
+        last = s.buf[s.end - 1]
+        out.append((s.start + at, s.hashes(), s.end - s.start, of(_LETTER), of(_UPPER), of(_DIGIT), last, s.buf[np.maximum(s.end - 2, s.start)]))
+    names = ("start", "h", "length", "letter", "upper", "digit", "last", "before")
+    if not out:
+        return {k: np.empty(0, np.uint64 if k == "h" else np.int64) for k in names}
+    return dict(zip(names, map(np.concatenate, zip(*out))))
+
+
+def _again(h: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents (at most 2 ** 20), and whether the hash (44 bits of it) was there before in its document, in some order."""
+    key = d.astype(np.uint64) << np.uint64(44) | h >> np.uint64(20)
     key.sort()
     again = np.zeros(len(key), bool)
     again[1:] = key[1:] == key[:-1]
-    return (key >> np.uint64(44)).astype(np.int64) + first, again
+    return (key >> np.uint64(44)).astype(np.int64), again
 
 
 def votes(words: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """1 bad, 0 good, -1 abstains: between the bounds, or on a text of few words. Distinct words say nothing of
-    long texts, in which words come back."""
+    """1 bad, 0 good, -1 abstains: between the bounds, or on a text of few words."""
     out = np.full(shares.shape, -1)
     for k, (_, bad, good, above) in enumerate(LABELLERS):
         x = shares[:, k] if above else -shares[:, k]
         out[x < (good if above else -good), k] = 0
         out[x > (bad if above else -bad), k] = 1
     out[words < FEW] = -1
-    out[(words > 3000) & (out[:, 5] == 1), 5] = -1
     return out
 
 
@@ -216,8 +230,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, np.ndarray]:
             )
 
     keep = min(1.0, sample / max(1, int(seen[:, 1].sum())))
-    few = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(keep * (1 << 30))).select("text")
-    got = few.mapInArrow(sampled, "p long, bins array<int>, values array<float>").limit(2 * sample).toArrow()
+    few = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(keep * (1 << 30))).select("text")
+    got = few.distinct().mapInArrow(sampled, "p long, bins array<int>, values array<float>").limit(2 * sample).toArrow()  # twice what is expected
     bins, values = (got[c].combine_chunks() for c in ("bins", "values"))
     if not got.num_rows:
         return model, np.zeros(BINS + 1)
@@ -233,8 +247,8 @@ def _judge(model: LabelModel, w: np.ndarray, texts: list[bytes], threshold: floa
     words, shares = statistics(texts)
     posterior = model.posterior(pattern(votes(words, shares)))
     m = margin(*features(texts, words, shares), w)
-    few = min(model.bad_share, threshold)  # too few words to reject
-    bad = np.where(words < FEW, few, 1 / (1 + np.exp(-np.clip(m, -50, 50))))
+    none = min(model.bad_share, threshold)  # no words to reject
+    bad = np.where(words == 0, none, 1 / (1 + np.exp(-np.clip(m, -50, 50))))
     return bad, posterior, bad <= threshold
 
 

@@ -72,15 +72,19 @@ def _slab(texts: list[bytes], first: int, whole: bool, lower: bool) -> Slab:
     return Slab(buf, start, end, doc, first, first + len(texts) - 1, whole)
 
 
-def words_of(text: bytes, size: int = SLAB) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, byte behind the last, and hash of each word; about size bytes are looked at at a time."""
-    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
+def cuts(text: bytes, size: int = SLAB) -> Iterator[tuple[int, Slab]]:
+    """A text's slabs of about size bytes, cut between words, and where each begins."""
     at = 0
     while at < len(text):
         end = _break(text, at + size) if len(text) - at > size else len(text)
-        s = _slab([text[at:end]], 0, True, False)
-        out.append((s.start + at, s.end + at, s.hashes()))
+        yield at, _slab([text[at:end]], 0, True, False)
         at = end
+
+
+def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, byte behind the last, and hash of each word."""
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
+    out += [(s.start + at, s.end + at, s.hashes()) for at, s in cuts(text)]
     return tuple(map(np.concatenate, zip(*out)))
 
 

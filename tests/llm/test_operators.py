@@ -182,10 +182,72 @@ def test_quality(spark, docs, empty):
     assert all(got[k] for k in range(len(good))) and not any(got[k] for k in range(len(good), len(got)))
     assert quality.keep_good(df).columns == df.columns and quality.keep_good(df).count() == len(good)
     odd = quality.score(docs).collect()
-    assert len(odd) == docs.count() and all(r.kept for r in odd if r.doc_id in (0, 1, 2, 3, 4) or r.doc_id is None)
+    assert len(odd) == docs.count() and all(r.kept for r in odd if r.doc_id in (0, 1, 2))  # without words
     assert quality.score(empty).count() == 0
 
 
+def test_label_model_is_plain_em():
+    """Votes of labellers of known accuracy: EM finds it, and agrees with a row-by-row EM in plain Python."""
+    k = len(quality.LABELLERS)
+    said = [[0.02 + 0.01 * j for j in range(k)], [0.6 + 0.04 * j for j in range(k)]]
+    truth = [int(RNG.random() < 0.2) for _ in range(3000)]
+    rows = [[-1 if RNG.random() < 0.3 else int(RNG.random() < said[t][j]) for j in range(k)] for t in truth]
+    patterns, counts = np.unique(quality.pattern(np.array(rows)), return_counts=True)
+    got = quality.LabelModel(patterns, counts)
+    share, q = 0.1, [[0.05] * k, [0.5] * k]
+    p = [0.9 if 1 in r else 0.05 for r in rows]
+    heard = [any(v >= 0 for v in r) for r in rows]
+    for _ in range(100):
+        for c in (0, 1):
+            weight = [x if c else 1 - x for x in p]
+            for j in range(k):
+                yes = sum(w for w, r in zip(weight, rows) if r[j] == 1) + (0.01, 0.5)[c]
+                q[c][j] = yes / (sum(w for w, r in zip(weight, rows) if r[j] >= 0) + 1)
+        share = (sum(x for x, h in zip(p, heard) if h) + 0.1) / (sum(heard) + 1)
+        p = []
+        for r in rows:
+            odds = math.log(share / (1 - share))
+            for j, v in enumerate(r):
+                if v >= 0:
+                    odds += math.log(q[1][j] / q[0][j]) if v else math.log((1 - q[1][j]) / (1 - q[0][j]))
+            p.append(1 / (1 + math.exp(-odds)))
+    assert abs(got.bad_share - share) < 1e-6 and np.allclose(got.says_bad, q, atol=1e-6)
+    assert np.allclose(got.posterior(quality.pattern(np.array(rows))), p, atol=1e-6)
+    assert np.abs(got.says_bad - np.array(said)).max() < 0.08 and abs(got.bad_share - 0.2) < 0.03
+
+
+def test_quality_statistics_are_plain_ones(monkeypatch):
+    texts = [(t or "").encode() for t in TEXTS] + [b"Dup dup DUP 12 !!x. a*** b!! wow!! " * 30, b"\x85 \xc3\xa9\xc3\xa9. 1 2 3"]
+
+    def plain(t):
+        w = t.split()
+        is_letter = lambda c: chr(c).isascii() and chr(c).isalpha() or c >= 128
+        letters, digits = ([sum(f(c) for c in x) for x in w] for f in (is_letter, lambda c: 48 <= c <= 57))
+        strange = lambda c: not is_letter(c) and not 48 <= c <= 57 and chr(c) not in "!\"'),.:;?]"
+        marked = [len(x) > 2 and n > 0 and ((strange(x[-1]) and strange(x[-2])) or x[-2:] == b"!!") for x, n in zip(w, letters)]
+        runs = [tuple(w[k : k + 4]) for k in range(len(w) - 3)]
+        n = max(len(w), 1)
+        return len(w), [
+            sum(marked) / n,
+            sum(a == b for a, b in zip(w, w[1:])) / n,
+            (len(runs) - len(set(runs))) / n,
+            sum(65 <= c <= 90 for x in w for c in x) / max(sum(letters), 1),
+            sum(a + b == 0 for a, b in zip(letters, digits)) / n,
+            math.log(len(set(w))) / math.log(len(w)) if len(w) > 1 else 1,
+            sum(len(x) <= 3 and a > 0 for x, a in zip(w, letters)) / n,
+            sum(x[-1] in b"!.?" for x in w) / n,
+        ]
+
+    from granary.llm import textnum
+
+    for size in (textnum.SLAB, 40):  # where a text is cut into slabs does not matter
+        monkeypatch.setattr(textnum.cuts, "__defaults__", (size,))
+        words, shares = quality.statistics(texts)
+        for k, t in enumerate(texts):
+            n, want = plain(t)
+            assert words[k] == n and np.allclose(shares[k], want), (t[:40], shares[k], want)
+
+
 def test_quality_on_labels(spark):
     got = quality.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     n = {(r.quality, r.kept): r["count"] for r in got.groupBy("quality", "kept").count().collect()}
