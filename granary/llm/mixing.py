@@ -8,7 +8,7 @@ source has no block left, a new phase starts with the others' weights. No row is
 
 Defined cases: sources without a weight, and null sources, share OTHER; the last block of a source may be short; equal
 rows are rows of their own; an empty table gives no rows; the input's other columns are carried or left out as the
-caller selects, and names that begin with mix_ are this operator's. DataFrame functions only.
+caller selects, and names that begin with mix_ are this operator's (ValueError). DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -54,7 +54,7 @@ def phases(blocks: dict[str, int], units: dict[str, int]) -> list[Phase]:
     while left := {s: n - used[s] for s, n in blocks.items() if n > used[s]}:
         live = {s: units[s] for s in sorted(left)}
         order = period(live)
-        whole = min(left[s] // live[s] for s in live)
+        whole = min((left[s] - 1) // live[s] for s in live)
         got = {s: whole * live[s] for s in live}
         tail = 0
         while all(got[s] < left[s] for s in live):
@@ -74,6 +74,8 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block: int = BLO
     weights = {OTHER: other} | dict(WEIGHTS if weights is None else weights)
     if min(weights.values()) < 1:
         raise ValueError("a weight is at least one unit")
+    if clash := [c for c in docs.columns if c.lower().startswith("mix_")]:
+        raise ValueError(f"docs has columns of this operator's: {clash}")
     spark = docs.sparkSession
     named = F.when(F.col("source").isin(*weights), F.col("source")).otherwise(OTHER)
     rows = cut(
@@ -82,14 +84,10 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block: int = BLO
     counts = cut(rows.groupBy("mix_source", "mix_part").agg(F.count("*").alias("n")), "counts")
     have = {r[0]: r[1] for r in counts.groupBy("mix_source").agg(F.sum("n")).collect()}  # at most one row a weight
     plan = phases({s: -(-n // block) for s, n in have.items()}, weights)
-    slots = spark.createDataFrame(
-        [
-            (s, p.first[s], p.until[s], len(p.at[s]), p.period, i, p.start + slot)
-            for p in plan
-            for s in p.at
-            for i, slot in enumerate(p.at[s])
-        ],
-        "mix_s string, mix_b0 long, mix_b1 long, mix_units long, mix_period long, mix_i long, mix_slot0 long",
+    slots = _literal(
+        spark,
+        [(s, p.first[s], p.until[s], len(p.at[s]), p.period, i, p.start + slot) for p in plan for s in p.at for i, slot in enumerate(p.at[s])],
+        ("mix_s", "mix_b0", "mix_b1", "mix_units", "mix_period", "mix_i", "mix_slot0"),
     )
     before = Window.partitionBy("mix_source").orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("mix_source", "mix_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("mix_start"))
@@ -119,6 +117,13 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block: int = BLO
     )
 
 
+def _literal(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """rows (a string and numbers each) as a table that is part of the plan."""
+    quoted = lambda x: f"{x}L" if isinstance(x, int) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    values = ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows or [("", *[0] * (len(names) - 1))])
+    return spark.sql(f"select * from values {values} as t({', '.join(names)})").where(F.lit(bool(rows)))
+
+
 def _short(have: dict[str, int], plan: list[Phase], block: int) -> list[tuple[int, int]]:
     """Slot and missing rows of each source's last block, where it is short."""
     out = []

@@ -61,7 +61,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def write(docs: DataFrame, path: str, shards: int = SHARDS, files: int = 16) -> None:
     """docs (text and any columns) as Parquet folders shard=0, shard=1, ...; equal texts in the same one. A shard's rows are dealt to
-    so many tasks by hash, so that no task gets a whole shard."""
+    so many tasks by hash, so that no task gets a whole shard. A column named shard or __h is refused (ValueError)."""
+    if clash := {"shard", "__h"} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs has columns of this operator's: {sorted(clash)}")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumn("__h", F.xxhash64(text))
     size = (F.octet_length(text) + 8).cast("long")

@@ -5,7 +5,8 @@ postings are added into a dense array of scores; a partition selection takes the
 blocks are merged. Queries and candidates meet in blocks of bounded size, each pair of blocks in a task of its own.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null vec_id, take no part;
-equal rows count once and a query's own vec_id is never its candidate; vectors of unequal length are filled up with
+equal rows count once and a query's own vec_id is never its candidate; where rows of one vec_id hold different vectors, the highest
+score of any of them counts, for queries and for candidates; vectors of unequal length are filled up with
 zeros; equal scores go to the smaller vec_id; scores are exact or the task fails with OverflowError; an empty table
 gives no rows; other columns are not read.
 """
@@ -37,7 +38,7 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, rows: int =
     asked = F.col("vec_id") % every == 0
     n, nq = valid.agg(F.count("*"), F.count_if(asked)).first()
     row_blocks, query_blocks = max(1, -(-n // rows)), max(1, -(-nq // queries))
-    own = F.xxhash64("vec_id", "embedding")
+    own = F.xxhash64("vec_id")
     blocks = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     held = valid.select("vec_id", "embedding", F.pmod(own, F.lit(row_blocks)).cast("int").alias("r"), blocks(query_blocks).alias("q"))
     wanted = valid.where(asked).select(
@@ -58,17 +59,29 @@ def _block_search(k: int):
         if wanted.num_rows and held.num_rows:
             qid, q = longs(wanted["vec_id"]), np.floor(SCALE * matrix(wanted["embedding"]))
             vid, v = longs(held["vec_id"]), np.floor(SCALE * matrix(held["embedding"]))
-            first = np.unique(qid, return_index=True)[1] if len(np.unique(qid)) < len(qid) else slice(None)
-            qid, q = qid[first], q[first]
+            (qid, q, of_query), (vid, v, of_row) = _by_id(qid, q), _by_id(vid, v)
             wide = max(q.shape[1], v.shape[1])
             q, v = (np.pad(x, ((0, 0), (0, wide - x.shape[1]))) for x in (q, v))
             for a in range(0, len(qid), 64):
-                out.append(best(qid[a : a + 64], accumulate(q[a : a + 64], v), vid, k))
+                first, last = of_query[a], of_query[a + 64] if a + 64 < len(qid) else len(q)
+                scores = accumulate(q[first:last], v)
+                if len(vid) < len(v):
+                    scores = np.maximum.reduceat(scores, of_row, axis=1)
+                if last - first > len(qid[a : a + 64]):
+                    scores = np.maximum.reduceat(scores, of_query[a : a + 64] - first, axis=0)
+                out.append(best(qid[a : a + 64], scores, vid, k))
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)))))
 
     return run
 
 
+def _by_id(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ids, the vectors in their order, and where each id's begin."""
+    order = np.argsort(ids, kind="stable")
+    ids, first = np.unique(ids[order], return_index=True)
+    return ids, x[order], first
+
+
 def accumulate(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Scores of all rows of v for all rows of q (whole numbers held as floats), a term at a time."""
     most = np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * v.shape[1]
@@ -107,7 +120,7 @@ ORACLE = f"""
 with v as (select distinct vec_id, embedding from embeddings where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
   e as (select vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * cast(x as double)) as bigint)) e from v),
-  s as (select q.vec_id query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint) score
-    from e q join e c on q.vec_id <> c.vec_id where q.vec_id % {QUERY_EVERY} = 0),
+  s as (select q.vec_id query_id, c.vec_id, max(cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) as bigint)) score
+    from e q join e c on q.vec_id <> c.vec_id where q.vec_id % {QUERY_EVERY} = 0 group by all),
   r as (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from s)
 select query_id, cast(rank as int) rank, vec_id, score from r where rank <= {K}"""

@@ -2,7 +2,7 @@
 propagation (personalised PageRank from trusted hosts, reversed distrust from blocked ones).
 
 Defined cases: a url that is null or has no "://" has empty host and path and fits no rule; hosts reached by neither
-flow are allowed; repeated pages keep one row each; pages without html have no links; an empty table gives no rows.
+flow are allowed; repeated pages keep one row each, and the links of each count; pages without html have no links; an empty table gives no rows.
 Columns of the input other than page_id, url and html are not read, so their names cannot clash.
 DataFrame functions only: no Python runs on executors.
 """
@@ -36,7 +36,8 @@ RULES = (
     Rule("net", "/es/", "block"),
     Rule("net", "/fr/", "block"),
 )
-DAMPING, ROUNDS, CUT_EVERY = 0.85, 10, 5
+#: Rounds go on until no more than SETTLED of all trust and distrust moves in one, ROUNDS at most (0.85 ** 60 is below 0.0001).
+DAMPING, ROUNDS, SETTLED, CUT_EVERY = 0.85, 60, 1e-4, 5
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 
 
@@ -95,8 +96,9 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(judged: DataFrame, links: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """host, trust, distrust. Trust flows along links from hosts by their share of allowed pages; distrust flows
-    against them from hosts by their share of blocked pages. Links are at most one row a pair of hosts."""
+    """host, trust, distrust; each adds up to one. Trust flows along links from hosts by their share of allowed pages; distrust flows
+    against them from hosts by their share of blocked pages. Links are at most one row a pair of hosts. What flows to a host without
+    links on goes back to the seeds, in their shares: that makes all scores larger by one factor, so it is done at the end, by dividing by their sum."""
     seeds = cut(
         judged.where("verdict is not null and host <> ''")
         .groupBy("host")
@@ -117,7 +119,7 @@ def host_scores(judged: DataFrame, links: DataFrame, damping: float, rounds: int
         .select("source", "target", (damping * F.col("n") / F.col("out")).alias("along"), (damping * F.col("n") / F.col("into")).alias("against")),
         "links",
     )
-    state = seeds
+    state = last = seeds
     if not links.isEmpty():
         for k in range(rounds):
             along = links.join(state, links.source == state.host).select(
@@ -129,7 +131,19 @@ def host_scores(judged: DataFrame, links: DataFrame, damping: float, rounds: int
             state = seeds.unionByName(along).unionByName(against).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
             if k % CUT_EVERY == CUT_EVERY - 1:
                 state = cut(state, "scores")
-    return state.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
+                if _moved(last, state) <= SETTLED:
+                    break
+            last = state
+    total = state.agg(F.sum("t"), F.sum("d")).first()
+    return state.select("host", (F.col("t") / float(total[0] or 1)).alias("trust"), (F.col("d") / float(total[1] or 1)).alias("distrust"))
+
+
+def _moved(before: DataFrame, after: DataFrame) -> float:
+    """The greater share of all trust or distrust by which the last round changed the scores."""
+    both = before.select("host", (-F.col("t")).alias("t"), (-F.col("d")).alias("d")).unionByName(after).groupBy("host")
+    change = both.agg(F.abs(F.sum("t")).alias("t"), F.abs(F.sum("d")).alias("d")).agg(F.sum("t"), F.sum("d")).first()
+    total = after.agg(F.sum("t"), F.sum("d")).first()
+    return max((x or 0) / (y or 1) for x, y in zip(change, total))
 
 
 def oracle(rules: tuple[Rule, ...] = RULES, damping: float = DAMPING, rounds: int = ROUNDS) -> str:
@@ -146,7 +160,7 @@ def oracle(rules: tuple[Rule, ...] = RULES, damping: float = DAMPING, rounds: in
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     host = lower.format("regexp_extract(rest, '^[^/?#]*')")
     steps = "".join(
-        f""", s{k + 1} as (select host, sum(t) t, sum(d) d from (
+        f""", s{k + 1} as materialized (select host, sum(t) t, sum(d) d from (
             select * from s0 union all select target, t * along, 0.0 from l join s{k} s on s.host = l.source
             union all select source, 0.0, d * against from l join s{k} s on s.host = l.target) group by host)"""
         for k in range(rounds)
@@ -163,5 +177,5 @@ def oracle(rules: tuple[Rule, ...] = RULES, damping: float = DAMPING, rounds: in
     l as (select source, target, {damping!r}::double * n / sum(n) over (partition by source) along,
         {damping!r}::double * n / sum(n) over (partition by target) against from g)
     {steps}
-    select page_id, j.host, path, rule, coalesce(verdict, case when d > t then 'block' else 'allow' end) verdict
+    select page_id, j.host, path, rule, coalesce(verdict, case when d * (select sum(t) from s{rounds}) > t * (select sum(d) from s{rounds}) then 'block' else 'allow' end) verdict
     from j left join s{rounds} s on s.host = j.host"""

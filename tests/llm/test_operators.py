@@ -70,6 +70,49 @@ def test_url_filter(spark):
     assert url_filter.filter_urls(df.limit(0)).count() == 0
 
 
+def test_propagation_is_plain_personalised_pagerank(spark):
+    hosts = [f"h{k}.org" for k in range(12)] + ["a.com", "b.com", "x.net"]
+    pages = []
+    for k in range(80):
+        own, path = RNG.choice(hosts), RNG.choice(["/", "/fr/", "/es/x"])
+        pages.append((k, f"http://{own}{path}", "".join(f'<a href="http://{RNG.choice(hosts)}/">' for _ in range(RNG.randrange(4)))))
+    df = spark.createDataFrame(pages + pages[:5], "page_id long, url string, html string")
+    rows = url_filter.filter_urls(df).collect()
+    links, seeds = Counter(), {"allow": Counter(), "block": Counter()}
+    for _, url, html in pages + pages[:5]:
+        own = url.split("/")[2]
+        for part in html.split('href="http://')[1:]:
+            if (to := part.split("/")[0]) != own:
+                links[own, to] += 1
+        path = "/" + url.split("/", 3)[3]
+        rule = "allow" if own.endswith(".com") else "block" if own.endswith(".net") and path[:4] in ("/fr/", "/es/") else None
+        if rule:
+            seeds[rule][own] += 1
+
+    def flow(links, seed):
+        out, s = Counter(), {h: n / sum(seed.values()) for h, n in seed.items()}
+        for (a, _), n in links.items():
+            out[a] += n
+        x = dict(s)
+        for _ in range(400):
+            y = {h: 0.15 * s.get(h, 0) for h in hosts}
+            for h in hosts:
+                if not out[h]:
+                    for g, share in s.items():
+                        y[g] += 0.85 * x.get(h, 0) * share
+            for (a, b), n in links.items():
+                y[b] += 0.85 * x.get(a, 0) * n / out[a]
+            x = y
+        return x
+
+    trust, distrust = flow(links, seeds["allow"]), flow(Counter({(b, a): n for (a, b), n in links.items()}), seeds["block"])
+    assert len(rows) == 85
+    for r in rows:
+        assert math.isclose(r.trust, trust[r.host], abs_tol=1e-3) and math.isclose(r.distrust, distrust[r.host], abs_tol=1e-3)
+        if r.rule is None and abs(trust[r.host] - distrust[r.host]) > 2e-3:
+            assert r.verdict == ("block" if distrust[r.host] > trust[r.host] else "allow")
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((30, 16))
@@ -93,6 +136,24 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.cluster(df.limit(0)).count() == 0
 
 
+def test_embedding_dedup_on_planted_links(spark, duck, tmp_path):
+    """The query against its SQL on a table with near copies, chains of them and a large group."""
+    rng = np.random.default_rng(3)
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()]
+    step = lambda v, e: [float(c) for c in (np.array(v) / np.linalg.norm(v) + rng.standard_normal(len(v)) * e / 8)]
+    for k in range(0, 60, 3):
+        rows.append((10_000 + k, step(rows[k][1], 0.2), 0))
+        rows.append((20_000 + k, step(rows[k][1], 0.33), 0))  # about the bound
+    for k in range(30):
+        rows.append((30_000 + k, step(rows[-1][1], 0.25), 0))  # each near the one before
+    rows += [(40_000 + k, step(rows[7][1], 0.1), 0) for k in range(120)] + [(50_000 + k, rows[8][1], 0) for k in range(20)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in registry.op2_embedding_dedup(spark, str(tmp_path)).collect()}
+    sql = registry.ORACLES["op2_embedding_dedup"].replace("from embeddings", f"from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = {r[0]: tuple(r[1:]) for r in duck.execute(f"select vec_id, n_links, component_id, kept from ({sql})").fetchall()}
+    assert got == want and sum(n > 0 for n, _, _ in got.values()) > 180
+
+
 def test_sharding(spark, docs, empty):
     got = sharding.shard_by_bytes(docs, 5).collect()
     assert len(got) == docs.count()
@@ -122,6 +183,11 @@ def test_sharding(spark, docs, empty):
     assert sharding.shard_by_bytes(empty).count() == 0
 
 
+def test_shards_refuse_a_clash(docs, tmp_path):
+    with pytest.raises(ValueError):
+        sharding.write(docs.withColumn("Shard", F.lit(1)), str(tmp_path / "out"))
+
+
 def test_shards_on_disk(spark, docs, tmp_path):
     sharding.write(docs, str(tmp_path / "out"), 5)
     back = spark.read.parquet(str(tmp_path / "out"))
@@ -165,6 +231,37 @@ def test_mixing(spark, docs, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def plain_schedule(rows, weights, other, block):
+    """Slot by slot: of the sources with blocks left, the released block with the earliest deadline runs; when a source runs out, windows
+    start anew with the others."""
+    left = Counter(s if s in weights else mixing.OTHER for s in rows)
+    left = {s: [block] * (n // block) + [n % block] * (n % block > 0) for s, n in left.items()}
+    units, order = {**weights, mixing.OTHER: other}, []
+    while left:
+        live = sorted(left)
+        total, done, t = sum(units[s] for s in live), dict.fromkeys(left, 0), 0
+        while all(left.values()):
+            ready = [s for s in live if done[s] * total // units[s] <= t]
+            s = min(ready, key=lambda s: (-(-(done[s] + 1) * total // units[s]), s))
+            order += [s] * left[s].pop(0)
+            done[s] += 1
+            t += 1
+        left = {s: b for s, b in left.items() if b}
+    return order
+
+
+@pytest.mark.parametrize("block", [1, 4, 7])
+def test_mixing_is_the_plain_schedule(spark, docs, empty, block):
+    names = RNG.choices(["a", "b", "c", "d", None, "e'\\"], (9, 3, 1, 5, 2, 2), k=331)
+    weights = {"a": 3, "b": 4, "c": 1, "d": 2, "e'\\": 2}
+    df = spark.createDataFrame(list(enumerate(names)), "doc_id long, source string").repartition(5)
+    got = mixing.mix(df, weights, block=block, other=2).orderBy("mix_position").collect()
+    assert [r.mix_source for r in got] == plain_schedule(names, weights, 2, block) and [r.mix_position for r in got] == list(range(331))
+    assert mixing.mixed_order(docs).count() == docs.count() and mixing.mixed_order(empty).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix(docs.withColumn("mix_slot", F.lit(1)))
+
+
 def test_pfair_windows():
     units = {"a": 7, "b": 5, "c": 1, "d": 3}
     order, total = mixing.period(units), sum(units.values())
@@ -508,6 +605,18 @@ def test_topk(spark):
             want |= {(k, r, j, -x) for r, (x, j) in enumerate(s, 1)}
     for size in ((16384, 1024), (13, 2)):
         assert {tuple(r) for r in topk.search(df, rows=size[0], queries=size[1]).collect()} == want
+    several = [(k, list(map(float, rng.integers(-3, 4, 5)))) for k in [*range(0, 101, 5)] * 4]  # ids with four vectors
+    best = Counter()
+    for a, x in several:
+        for b, y in several:
+            if a % 50 == 0 and a != b:
+                best[a, b] = max(best.get((a, b), -(10**9)), sum(int(256 * i) * int(256 * j) for i, j in zip(x, y)))
+    want = set()
+    for a in (0, 50, 100):
+        want |= {(a, r, b, s) for r, (s, b) in enumerate(sorted(((s, b) for (q, b), s in best.items() if q == a), key=lambda x: (-x[0], x[1]))[:5], 1)}
+    twice = spark.createDataFrame(several, "vec_id long, embedding array<double>").repartition(4)
+    for size in ((16384, 1024), (13, 1)):
+        assert {tuple(r) for r in topk.search(twice, rows=size[0], queries=size[1]).collect()} == want
     assert topk.search(df.limit(0)).count() == 0
     with pytest.raises(OverflowError):
         topk.accumulate(np.array([[1e12]]), np.array([[1e12]]))
