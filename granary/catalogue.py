@@ -13,7 +13,7 @@ from .functions import text
 from .operators import profile, rules
 from .operators.rules import Rule
 from .plans import readiness
-from .sources import delimited, schema, store, tables
+from .sources import delimited, publish, schema, store, tables
 from .streaming import monitor
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,13 +35,20 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared one."""
+    """A place in a fresh folder of the cluster's shared one; the folder goes when the JVM ends."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         import tempfile
 
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = "file://" + tempfile.mkdtemp(prefix="granary-")
-    return f"{at}/granary-{uuid.uuid4().hex}"
+    at = f"{at}/granary-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{at}/x"
 
 
 LINE_RULES = (
@@ -49,11 +56,11 @@ LINE_RULES = (
     Rule("quantity in range", "in_range", {"column": "l_quantity", "least": 2, "most": 48}),
     Rule("discount in range", "in_range", {"column": "l_discount", "least": 0.0, "most": 0.09}),
     Rule("status one letter", "length_between", {"column": "l_linestatus", "least": 1, "most": 1}),
-    Rule("key unique", "unique_key", {"columns": ["l_orderkey", "l_linenumber"], "missing_fails": True}),
+    Rule("key unique", "unique_key", {"columns": ["l_orderkey", "l_linenumber"], "missing": "fail", "blank_is_missing": False}),
 )
 _RATE = "1 - violations / evaluated::double"
 _BAND = f"case when {_RATE} >= 1 then 'always' when {_RATE} >= 0.99 then 'nearly always' when {_RATE} >= 0.9 then 'often' else 'hardly' end"
-_SUMMARY = f"select rule_id, evaluated, violations, {_RATE} hold_rate, {_BAND} band from ({{}})"
+_SUMMARY = f"select rule_id, evaluated, 0::bigint skipped, violations, {_RATE} hold_rate, {_BAND} band from ({{}})"
 
 
 @query(
@@ -73,27 +80,32 @@ def _holds(df: DataFrame, key: str, rule: Rule) -> DataFrame:
     return df.select(key, rule.holds().alias("holds"))
 
 
-@query("select o_orderkey, coalesce(nullif(o_orderstatus, 'F') is null, false) is_null, not coalesce(nullif(o_orderstatus, 'F') is null, false) is_present from orders")
+@query("select o_orderkey, coalesce(nullif(o_orderstatus, 'F') is null, false) is_missing, not coalesce(nullif(o_orderstatus, 'F') is null, false) is_present from orders")
 def p_null(spark, sf_dir):
     df = _t(spark, sf_dir, "orders").withColumn("s", F.expr("nullif(o_orderstatus, 'F')"))
-    both = [Rule(n, n, {"column": "s", "blank_is_null": True}).holds().alias(n) for n in ("is_null", "is_present")]
+    both = [Rule(n, n, {"column": "s", "blank_is_missing": True}).holds().alias(n) for n in ("is_missing", "is_present")]
     return df.select("o_orderkey", *both)
 
 
-@query("""select o_orderkey, regexp_full_match(o_orderpriority, '[A-Z][A-Z0-9_-]*') upper_code,
-    regexp_full_match(o_orderkey::varchar, '[0-9]+') digits,
-    regexp_full_match(strftime(o_orderdate, '%Y-%m-%d'), '[0-9]{4}-[0-9]{2}-[0-9]{2}') date_shape from orders""")
+@query("""select o_orderkey, regexp_full_match(o_orderpriority, '[A-Za-z0-9._:-]+') nmtoken,
+    regexp_full_match(o_orderkey::varchar, '[+-]?[0-9]+') xsd_integer,
+    regexp_full_match(d, '[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])') rfc3339_date
+    from (select *, strftime(o_orderdate, '%Y-') || lpad((o_orderkey % 14)::varchar, 2, '0') || strftime(o_orderdate, '-%d') d from orders)""")
 def p_pattern(spark, sf_dir):
-    df = _t(spark, sf_dir, "orders").withColumns({"k": F.col("o_orderkey").cast("string"), "d": F.date_format("o_orderdate", "yyyy-MM-dd")})
-    by = {"upper_code": "o_orderpriority", "digits": "k", "date_shape": "d"}
+    d = "date_format(o_orderdate, 'yyyy-') || lpad(string(o_orderkey % 14), 2, '0') || date_format(o_orderdate, '-dd')"
+    df = _t(spark, sf_dir, "orders").withColumns({"k": F.col("o_orderkey").cast("string"), "d": F.expr(d)})
+    by = {"nmtoken": "o_orderpriority", "xsd_integer": "k", "rfc3339_date": "d"}
     return df.select("o_orderkey", *(Rule(p, "matches", {"column": c, "pattern": p}).holds().alias(p) for p, c in by.items()))
 
 
-@query("""select w word, count(*) n from (select unnest(string_split_regex(text, '[ \\t\\n\\r\\f\\v]+')) w from documents)
-    where regexp_full_match(w, '[^@\\s]+@[^@\\s]+\\.[^@\\s]+') group by w""")
+_EMAIL = "[a-zA-Z0-9.!#$%&''*+/=?^_`{|}~-]+@[a-zA-Z0-9]([a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?([.][a-zA-Z0-9]([a-zA-Z0-9-]{0,61}[a-zA-Z0-9])?)*"
+
+
+@query(f"""select w word, count(*) n from (select unnest(string_split_regex(text, '[ \\t\\n\\r\\f\\v]+')) w from documents)
+    where regexp_full_match(w, '{_EMAIL}') group by w""")
 def p_email_words(spark, sf_dir):
     words = _t(spark, sf_dir, "documents").select(F.explode(F.split("text", r"[ \t\n\r\f\x0B]+")).alias("word"))
-    return words.where(Rule("e", "matches", {"column": "word", "pattern": "email_shape"}).holds()).groupBy("word").agg(F.count("*").alias("n"))
+    return words.where(Rule("e", "matches", {"column": "word", "pattern": "html_email"}).holds()).groupBy("word").agg(F.count("*").alias("n"))
 
 
 @query("select c_custkey, length(c_name) between 1 and 17 holds from customer")
@@ -149,8 +161,9 @@ def p_iso_date(spark, sf_dir):
     from lineitem join orders on l_orderkey = o_orderkey""")
 def p_between_columns(spark, sf_dir):
     df = _t(spark, sf_dir, "lineitem").join(_t(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    before = Rule("b", "not_after", {"earlier": "o_orderdate", "later": "l_shipdate", "missing_passes": False})
-    same = Rule("e", "equal", {"left": "o_custkey", "right": "l_suppkey", "missing_passes": False})
+    policy = {"missing": "fail", "blank_is_missing": False}
+    before = Rule("b", "not_after", {"left": "o_orderdate", "right": "l_shipdate"} | policy)
+    same = Rule("e", "equal", {"left": "o_custkey", "right": "l_suppkey"} | policy)
     return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", before.holds().alias("not_after"), same.holds().alias("equal"))
 
 
@@ -158,22 +171,22 @@ def p_between_columns(spark, sf_dir):
     _SUMMARY.format("""
     select 'order unique' rule_id, count(*) evaluated, (select coalesce(sum(n), 0)::bigint from (select count(*) n from orders group by o_orderkey having count(*) > 1)) violations from orders
     union all select 'customer unique', count(*), (select coalesce(sum(n), 0)::bigint from (select count(*) n from orders group by o_custkey having count(*) > 1)) from orders
-    union all select 'few priorities', count(*), 0 from orders
-    union all select 'few customers', count(*), count(*) from orders""")
+    union all select 'few priorities', count(*), case when count(distinct o_orderpriority) > 5 then count(*) else 0 end from orders
+    union all select 'few customers', count(*), case when count(distinct o_custkey) > 3 then count(*) else 0 end from orders""")
 )
 def set_rules(spark, sf_dir):
     some = [
-        Rule("order unique", "unique_key", {"columns": ["o_orderkey"], "missing_fails": True}),
-        Rule("customer unique", "unique_key", {"columns": ["o_custkey"], "missing_fails": False}),
-        Rule("few priorities", "distinct_at_most", {"column": "o_orderpriority", "most": 5}),
-        Rule("few customers", "distinct_at_most", {"column": "o_custkey", "most": 3}),
+        Rule("order unique", "unique_key", {"columns": ["o_orderkey"], "missing": "fail", "blank_is_missing": False}),
+        Rule("customer unique", "unique_key", {"columns": ["o_custkey"], "missing": "pass", "blank_is_missing": False}),
+        Rule("few priorities", "distinct_at_most", {"column": "o_orderpriority", "most": 5, "blank_is_missing": False}),
+        Rule("few customers", "distinct_at_most", {"column": "o_custkey", "most": 3, "blank_is_missing": False}),
     ]
     return rules.summarise(_t(spark, sf_dir, "orders"), some)
 
 
 @query("select l_orderkey, l_linenumber, count(*) n from lineitem group by all having count(*) > 1")
 def duplicate_keys(spark, sf_dir):
-    rule = Rule("k", "unique_key", {"columns": ["l_orderkey", "l_linenumber"], "missing_fails": True})
+    rule = Rule("k", "unique_key", {"columns": ["l_orderkey", "l_linenumber"], "missing": "fail", "blank_is_missing": False})
     return rule.faults(_t(spark, sf_dir, "lineitem")).groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
 
 
@@ -211,7 +224,7 @@ def k_anonymous_values(spark, sf_dir):
 def freshness(spark, sf_dir):
     events = _t(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at"))
     seen = delimited.probe(events, "at")
-    age = (F.unix_micros(F.lit("2026-01-01 00:00:00").cast("timestamp")) - F.unix_micros("latest")) / 3.6e9
+    age = delimited.age_hours(F.col("latest"), F.lit("2026-01-01 00:00:00").cast("timestamp"))
     return seen.select("rows", "parsed", F.date_format("latest", "yyyy-MM-dd HH:mm:ss").alias("latest"), age.alias("age_hours"))
 
 
@@ -259,19 +272,23 @@ EVENT_RULES = (
 
 @query("""with w as (select time_bucket(interval '1 hour', ts) h, count(*) n, count(*) filter (not coalesce(value between 0 and 100, false)) a,
     count(*) filter (not coalesce(event_type in ('click', 'view', 'purchase'), false)) b from events group by 1)
-    select strftime(h, '%Y-%m-%d %H:%M') "start", 'value in range' rule_id, n evaluated, a violations from w
-    union all select strftime(h, '%Y-%m-%d %H:%M'), 'type known', n, b from w""")
+    select strftime(h, '%Y-%m-%d %H:%M') "start", 'value in range' rule_id, n evaluated, 0::bigint skipped, a violations from w
+    union all select strftime(h, '%Y-%m-%d %H:%M'), 'type known', n, 0, b from w""")
 def windowed_rules(spark, sf_dir):
     out = monitor.windowed(_t(spark, sf_dir, "events"), EVENT_RULES, "ts")
     return out.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm"))
 
 
-@query("""select 'columns present' "check", 'passed' status, '' observed
-    union all select 'rows within bounds', 'passed', count(*)::varchar from orders
-    union all select 'fresh', 'not judged', null
-    union all select 'key complete and unique', 'passed', '0'""")
+@query("""with f as (select count(*) n, (epoch_us(timestamp '2026-01-01') - epoch_us(max(o_orderdate))) / 3.6e9 age from orders),
+    k as (select coalesce(sum(n), 0)::bigint bad from (select o_orderkey, count(*) n from orders group by 1 having count(*) > 1 or o_orderkey is null))
+    select 'columns present' "check", 'passed' status, '' observed
+    union all select 'rows within bounds', case when n between 1 and 1000000000 then 'passed' else 'failed' end, n::varchar from f
+    union all select 'fresh', case when age <= 100000 then 'passed' else 'failed' end, round(age, 3)::varchar from f
+    union all select 'key complete and unique', case when bad = 0 then 'passed' else 'failed' end, bad::varchar from k""")
 def readiness_report(spark, sf_dir):
-    contract = readiness.Contract(("o_orderkey", "o_custkey", "o_orderdate"), ("o_orderkey",))
+    contract = readiness.Contract(
+        ("o_orderkey", "o_custkey", "o_orderdate"), ("o_orderkey",), most_rows=10**9, instant="o_orderdate", fresh_hours=100_000
+    )
     return readiness.judge(_t(spark, sf_dir, "orders"), contract, datetime(2026, 1, 1, tzinfo=UTC))
 
 
@@ -330,3 +347,118 @@ def sources_union(spark, sf_dir):
     orc = tables.read(spark, tables.Source("orc", (f"{at}-orc",)))
     back = tables.read(spark, tables.Source("json", (f"{at}-json",))).select(*(F.col(f.name).cast(f.dataType) for f in df.schema))
     return orc.unionByName(back)
+
+
+#: Half of the customers' names have white space and case of their own; a few amounts are blank.
+_MESSY = """select c_custkey, case c_custkey % 4 when 0 then concat('  ', upper(c_name), ' ') when 1 then '' else c_name end name,
+    case c_custkey % 7 when 0 then null when 1 then '  ' else cast(c_nationkey as string) end a, cast(c_custkey % 25 as string) b from {}"""
+
+
+def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(_MESSY.format("{customers}"), customers=_t(spark, sf_dir, "customer"))
+
+
+_POLICIES = [(m, b) for m in ("pass", "fail", "skip") for b in (True, False)]
+
+
+@query(
+    "with m as ("
+    + _MESSY.format("customer").replace("as string", "as varchar")
+    + "), p as (select *, a is null gone, a is null or trim(a) = '' blank_gone from m) "
+    + " union all ".join(
+        f"""select '{m} {b}' rule_id, count(*) {"filter (not " + g + ")" if m == "skip" else ""} evaluated,
+        {"count(*) filter (" + g + ")" if m == "skip" else "0::bigint"} skipped, count(*) filter (not (case when {g} then {str(m != "fail").lower()} else a = b end)) violations from p"""
+        for m, b in _POLICIES
+        for g in ("blank_gone" if b else "gone",)
+    )
+)
+def missing_policies(spark, sf_dir):
+    """Every policy for missing and blank sides of a pair; skipped rows are counted on their own."""
+    some = [Rule(f"{m} {b}", "equal", {"left": "a", "right": "b", "missing": m, "blank_is_missing": b}) for m, b in _POLICIES]
+    return rules.summarise(_messy(spark, sf_dir), some).drop("hold_rate", "band")
+
+
+@query(
+    "with m as ("
+    + _MESSY.format("customer").replace("as string", "as varchar")
+    + "), n as (select *, a is null or trim(a) = '' gone, count(*) over (partition by a, b) n from m) "
+    + " union all ".join(
+        f"""select '{m}' rule_id, count(*) {"filter (not gone)" if m == "skip" else ""} evaluated, {"count(*) filter (gone)" if m == "skip" else "0::bigint"} skipped,
+        count(*) filter ({"gone or n > 1" if m == "fail" else "not gone and n > 1"}) violations from n"""
+        for m in ("pass", "fail", "skip")
+    )
+)
+def key_policies(spark, sf_dir):
+    some = [Rule(m, "unique_key", {"columns": ["a", "b"], "missing": m, "blank_is_missing": True}) for m in ("pass", "fail", "skip")]
+    return rules.summarise(_messy(spark, sf_dir), some).drop("hold_rate", "band")
+
+
+NAME_RULES = (
+    Rule("name trimmed", "matches", {"column": "name", "pattern": "nmtoken"}, repair="strip", dimension="validity"),
+    Rule("name folded", "in_set", {"column": "name", "values": []}, repair="fold_case", severity="warning"),
+)
+
+
+@query(
+    "with m as ("
+    + _MESSY.format("customer").replace("as string", "as varchar")
+    + """) select c_custkey, lower(trim(name)) name, name undone, len(list_distinct(list_filter([
+    case when not regexp_full_match(name, '[A-Za-z0-9._:-]+') and trim(name) <> name then 1 end, case when lower(trim(name)) <> trim(name) then 2 end], lambda x: x is not null)))::int repairs from m"""
+)
+def repairs(spark, sf_dir):
+    """Repairs by rules, and the table as it was before them."""
+    fixed = rules.repair(_messy(spark, sf_dir).select("c_custkey", "name"), NAME_RULES)
+    back = rules.undo(fixed).withColumnRenamed("name", "undone")
+    return fixed.select("c_custkey", F.trim("name").alias("name"), F.size("repairs").alias("repairs")).join(back, "c_custkey")
+
+
+@query("""with b as (select *, l_quantity not between 2 and 48 or l_discount not between 0 and 0.09::double or l_returnflag not in ('A', 'N') bad from lineitem)
+    select 'published' part, count(*) filter (not bad) n, sum(l_partkey) filter (not bad)::bigint total from b
+    union all select 'quarantined', count(*) filter (bad), sum(l_partkey) filter (bad)::bigint from b""")
+def write_audit_publish(spark, sf_dir):
+    """lineitem staged, audited and published; the rows at fault in their quarantine."""
+    at = _scratch(spark)
+    df = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
+    publish.publish(df, LINE_RULES[:3], f"{at}/good", f"{at}/bad", least_rate=0.5)
+    parts = [spark.read.parquet(f"{at}/{n}").agg(F.lit(p).alias("part"), F.count("*").alias("n"), F.sum("l_partkey").alias("total")) for n, p in (("good", "published"), ("bad", "quarantined"))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""select n_nationkey::varchar n_nationkey, n_name || ' İŞĞ' n_name from nation""")
+def encodings(spark, sf_dir):
+    """A table in Windows-1254, a character set that Spark's reader refuses, written line by line and read back."""
+    at = _scratch(spark)
+    lines = _t(spark, sf_dir, "nation").select(F.format_string("%d;%s İŞĞ", "n_nationkey", "n_name").alias("l"))
+    text_ = "n_nationkey;n_name\n" + "\n".join(r.l for r in lines.collect()) + "\n"  # a dimension of 25 rows
+    out = spark._jvm.org.apache.hadoop.fs.Path(f"{at}/nation.csv")
+    stream = out.getFileSystem(spark._jsc.hadoopConfiguration()).create(out, False)
+    stream.write(text_.encode("cp1254"))
+    stream.close()
+    return delimited.read(spark, at, encoding="cp1254")
+
+
+@query("""select l_orderkey, l_linenumber, l_quantity, max(exceeded_by) exceeded_by from (
+    select *, max(l_quantity) over (partition by l_orderkey order by l_linenumber range between unbounded preceding and 1 preceding) exceeded_by from lineitem)
+    where exceeded_by > l_quantity group by all""")
+def denial_constraints(spark, sf_dir):
+    df = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    faults = profile.order_faults(df, ["l_orderkey"], "l_linenumber", "l_quantity")
+    return faults.groupBy("l_orderkey", "l_linenumber", "l_quantity").agg(F.max("exceeded_by").alias("exceeded_by"))
+
+
+@query("""select 'o_custkey in_range' id, min(o_custkey)::double::varchar || ' ' || max(o_custkey)::double::varchar params from orders
+    union all select 'o_custkey is_present', '' from orders having count(*) = count(o_custkey)
+    union all select 'o_orderpriority in_set', string_agg(distinct o_orderpriority, '|' order by o_orderpriority) from orders
+    union all select 'o_orderpriority is_present', '' from orders having count(*) = count(o_orderpriority)""")
+def suggested_rules(spark, sf_dir):
+    found = profile.suggest(_t(spark, sf_dir, "orders"), ["o_custkey", "o_orderpriority"])
+    plain = {"in_range": lambda p: f"{p['least']} {p['most']}", "in_set": lambda p: "|".join(p["values"]), "is_present": lambda p: ""}
+    return spark.createDataFrame([(r.id, plain[r.predicate](r.params)) for r in found], "id string, params string")
+
+
+@query("""select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') "day", lower(replace(o_orderpriority, 'I', 'i')) || ' ss' folded from orders""")
+def folds_and_dates(spark, sf_dir):
+    """Dates in three notations, and texts folded for comparison."""
+    df = _t(spark, sf_dir, "orders").withColumn("d", F.expr("case o_orderkey % 3 when 0 then date_format(o_orderdate, 'yyyy-MM-dd') when 1 then date_format(o_orderdate, 'dd.MM.yyyy') else date_format(o_orderdate, ' dd/MM/yyyy ') end"))
+    folded = text.fold_case(F.concat("o_orderpriority", F.lit(" ß")))
+    return df.select("o_orderkey", text.date_of(F.col("d")).cast("string").alias("day"), folded.alias("folded"))

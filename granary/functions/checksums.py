@@ -10,57 +10,71 @@ from pyspark.sql import functions as F
 from .text import strip, whole
 
 
-def _digit(c: Column, k) -> Column:
-    return F.substring(c, k, 1).cast("int") if isinstance(k, int) else F.element_at(F.split(c, ""), k).cast("int")
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is computed once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _sum(terms) -> Column:
-    terms = list(terms)
-    return sum(terms[1:], terms[0])
+def _digits(c: Column, pattern: str, body: Callable[[Column], Column]) -> Column:
+    """body of the digits (an array of numbers) of a text that, but for white space around it, matches the pattern; else false. The text is
+    matched once."""
+    found = F.regexp_extract(c, rf"(?U)\A\s*({pattern})\s*\z", 1)
+    as_numbers = lambda t: F.transform(F.split(t, ""), lambda d: F.ascii(d) - 48)
+    told = _once(found, lambda t: F.when(F.length(t) > 0, _once(as_numbers(t), body)))
+    return F.coalesce(told, F.lit(False))
 
 
 def luhn(c: Column) -> Column:
     """Luhn's formula (ISO/IEC 7812): from the right, every second digit doubled, digits added up to a multiple of ten."""
-    text = strip(c)
-    digits = F.transform(F.reverse(F.split(text, "")), lambda d, k: F.when(k % 2 == 0, d.cast("int")).otherwise(d.cast("int") * 2))
-    total = F.aggregate(digits, F.lit(0), lambda acc, d: acc + F.when(d > 9, d - 9).otherwise(d))
-    return F.when(whole(text, "[0-9]{2,}"), total % 10 == 0).otherwise(False)
+
+    def body(d: Column) -> Column:
+        turned = F.transform(F.reverse(d), lambda x, k: F.when(k % 2 == 0, x).otherwise(2 * x - F.when(x > 4, 9).otherwise(0)))
+        return F.aggregate(turned, F.lit(0), lambda acc, x: acc + x) % 10 == 0
+
+    return _digits(c, "[0-9]{2,}", body)
+
+
+def _weighed(d: Column, weights: list[int]) -> Column:
+    """The sum of the first digits, each times its weight."""
+    terms = F.zip_with(F.slice(d, 1, len(weights)), F.array(*map(F.lit, weights)), lambda x, w: x * w)
+    return F.aggregate(terms, F.lit(0), lambda acc, x: acc + x)
 
 
 def eleven_digit_id(c: Column) -> Column:
     """Personal number of 11 digits: not 0 at the front; the tenth is 7 times the odd places less the even ones, modulo 10;
     the last is the sum of the first ten, modulo 10."""
-    text = strip(c)
-    d = lambda k: F.substring(text, k, 1).cast("int")
-    odd, even = _sum(d(k) for k in (1, 3, 5, 7, 9)), _sum(d(k) for k in (2, 4, 6, 8))
-    good = (F.pmod(7 * odd - even, F.lit(10)) == d(10)) & ((odd + even + d(10)) % 10 == d(11))
-    return F.when(whole(text, "[1-9][0-9]{10}"), good).otherwise(False)
+
+    def body(d: Column) -> Column:
+        tenth = F.pmod(_weighed(d, [7, -1, 7, -1, 7, -1, 7, -1, 7]), F.lit(10)) == F.element_at(d, 10)
+        return tenth & (_weighed(d, [1] * 10) % 10 == F.element_at(d, 11))
+
+    return _digits(c, "[1-9][0-9]{10}", body)
 
 
 def ten_digit_tax_id(c: Column) -> Column:
     """Tax number of 10 digits: place i adds s * 2 ** (9 - i) modulo 9 (9 for 0) of s = (digit + 9 - i) mod 10, and nothing
     but s where s is 0 or 9; the last digit fills up to ten."""
-    text = strip(c)
 
-    def term(i: int) -> Column:
-        s = (F.substring(text, i + 1, 1).cast("int") + (9 - i)) % 10
-        r = (s * (2 ** (9 - i))) % 9
-        return F.when(s == 0, 0).when(r == 0, 9).otherwise(r)
+    def body(d: Column) -> Column:
+        shifted = F.transform(F.slice(d, 1, 9), lambda x, i: (x + 9 - i) % 10)
+        power = F.array(*(F.lit(2 ** (9 - i)) for i in range(9)))
+        term = F.zip_with(shifted, power, lambda s, p: F.when(s == 0, 0).when(s * p % 9 == 0, 9).otherwise(s * p % 9))
+        return (10 - F.aggregate(term, F.lit(0), lambda acc, x: acc + x) % 10) % 10 == F.element_at(d, 10)
 
-    check = (10 - _sum(term(i) for i in range(9)) % 10) % 10
-    return F.when(whole(text, "[0-9]{10}"), check == F.substring(text, 10, 1).cast("int")).otherwise(False)
+    return _digits(c, "[0-9]{10}", body)
 
 
 def iban(c: Column) -> Column:
     """ISO 13616: the first four characters moved to the end, letters as 10 to 35, the number is 1 modulo 97."""
-    text = F.upper(F.replace(strip(c), F.lit(" "), F.lit("")))
-    turned = F.concat(F.substring(text, 5, 30), F.substring(text, 1, 4))
-    value = F.transform(
-        F.split(turned, ""),
-        lambda x: F.when(x.rlike("[0-9]"), x.cast("int")).otherwise(F.ascii(x) - 55),
-    )
-    rest = F.aggregate(value, F.lit(0), lambda acc, v: (acc * F.when(v > 9, 100).otherwise(10) + v) % 97)
-    return F.when(whole(text, "[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}"), rest == 1).otherwise(False)
+
+    def body(text: Column) -> Column:
+        turned = F.concat(F.substring(text, 5, 30), F.substring(text, 1, 4))
+        code = F.transform(F.split(turned, ""), lambda x: F.ascii(x))
+        value = F.transform(code, lambda a: F.when(a < 65, a - 48).otherwise(a - 55))
+        rest = F.aggregate(value, F.lit(0), lambda acc, v: (acc * F.when(v > 9, 100).otherwise(10) + v) % 97)
+        return whole(text, "[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}") & (rest == 1)
+
+    return F.coalesce(_once(F.upper(F.replace(strip(c), F.lit(" "), F.lit(""))), body), F.lit(False))
 
 
 CHECKSUMS: dict[str, Callable[[Column], Column]] = {

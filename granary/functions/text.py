@@ -60,3 +60,15 @@ def decimal_of(c: Column, decimal_mark: str = ",", group_mark: str = ".") -> Col
     """A localised decimal as a number, else null."""
     plain = F.replace(F.replace(strip(c), F.lit(group_mark), F.lit("")), F.lit(decimal_mark), F.lit("."))
     return F.when(whole(plain, r"[+-]?[0-9]+(?:\.[0-9]+)?"), plain.try_cast("decimal(38,10)"))
+
+
+def fold_case(c: Column) -> Column:
+    """Lower case for comparison: sharp s as ss, final sigma as sigma, and no dot left over from a dotted capital I."""
+    low = F.translate(F.lower(c), "\u03c2\u1e9e", "\u03c3\u00df")
+    return F.replace(F.replace(low, F.lit("i\u0307"), F.lit("i")), F.lit("\u00df"), F.lit("ss"))
+
+
+def date_of(c: Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "dd.MM.yyyy", "dd/MM/yyyy")) -> Column:
+    """The date of a text in the first of the formats (Spark's letters) that fits and that the calendar has, else null."""
+    text = strip(c)
+    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats))

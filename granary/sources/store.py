@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import secrets
+import uuid
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 
@@ -40,8 +41,9 @@ class Record:
 
 
 def new_id(now: datetime) -> str:
-    """Sorts by time; not derived from the content."""
-    return f"{now.astimezone(UTC):%Y%m%dT%H%M%SZ}-{secrets.token_hex(4)}"
+    """A UUID of version 7 (RFC 9562): 48 bits of Unix time in milliseconds, then random bits. Sorts by time; not derived from the content."""
+    value = int(now.timestamp() * 1000) << 80 | 7 << 76 | secrets.randbits(12) << 64 | 2 << 62 | secrets.randbits(62)
+    return str(uuid.UUID(int=value))
 
 
 def logical_digest(df: DataFrame) -> str:
@@ -72,7 +74,8 @@ def write(df: DataFrame, root: str, writer: str, now: datetime | None = None) ->
     data = f"{uri}/data"
     df.write.mode("errorifexists").option("compression", "zstd").option("parquet.block.row.count.limit", "100000").parquet(data)
     written = spark.read.parquet(data)
-    record = Record(pid, uri, written.count(), logical_digest(written), _hashes(spark, data), written.schema.json(), now.isoformat(), writer)
+    digest = logical_digest(written)
+    record = Record(pid, uri, int(digest.split("-")[0]), digest, _hashes(spark, data), written.schema.json(), now.isoformat(), writer)
     out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{uri}/record.json"), False)
     out.write(record.to_json().encode())
     out.close()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import delimited
 
-FORMATS = ("parquet", "orc", "json", "csv", "text", "jdbc")
+FORMATS = ("parquet", "orc", "json", "csv", "text", "jdbc", "avro")
 
 
 @dataclass(frozen=True)
@@ -53,9 +53,28 @@ def read(spark: SparkSession, source: Source, env: Mapping[str, str] = os.enviro
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def write(df: DataFrame, source: Source, partition_by: tuple[str, ...] = ()) -> None:
-    """To the single object of a file source, which must not be there yet."""
+def read_stream(spark: SparkSession, source: Source, schema, env: Mapping[str, str] = os.environ, files_at_once: int = 1000) -> DataFrame:
+    """New files of a file source as a stream, of the schema that is given. At most files_at_once a micro-batch."""
+    if source.format == "jdbc":
+        raise ValueError("a stream reads files")
+    reader = spark.readStream.format(source.format).schema(schema).options(**_resolved(source, env)).option("maxFilesPerTrigger", files_at_once)
+    return reduce(DataFrame.unionByName, [reader.load(p) for p in source.objects])
+
+
+def write_stream(df: DataFrame, source: Source, checkpoint: str, once: bool = False):
+    """Appends a stream to the single path of a file source. once: what is there now is read and the query ends."""
     if source.format == "jdbc" or len(source.objects) != 1:
         raise ValueError("writes go to one path")
+    out = df.writeStream.format(source.format).options(**source.options).option("checkpointLocation", checkpoint).outputMode("append")
+    return (out.trigger(availableNow=True) if once else out).start(source.objects[0])
+
+
+def write(df: DataFrame, source: Source, partition_by: tuple[str, ...] = ()) -> None:
+    """To the single object of a source, which must not be there yet (avro: where Spark's Avro package is installed)."""
+    if len(source.objects) != 1:
+        raise ValueError("writes go to one path or table")
+    if source.format == "jdbc":
+        df.write.mode("errorifexists").format("jdbc").options(**_resolved(source, os.environ)).option("dbtable", source.objects[0]).save()
+        return
     out = df.write.mode("errorifexists").format(source.format).options(**source.options)
     (out.partitionBy(*partition_by) if partition_by else out).save(source.objects[0])

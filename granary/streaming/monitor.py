@@ -7,17 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.rules import Rule
+from ..operators.rules import Rule, counted
 
 
 def windowed(stream: DataFrame, rules: Sequence[Rule], at: str, window: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """start, rule_id, evaluated, violations. Works on a static table as well. The state is one row a window."""
+    """start, rule_id, evaluated, skipped, violations. Works on a static table as well. The state is one row a window."""
     live = [r for r in rules if r.by_row]
-    counted = (
-        stream.withColumn(at, F.col(at).cast("timestamp"))
-        .withWatermark(at, late)
-        .groupBy(F.window(at, window).alias("w"))
-        .agg(F.count("*").alias("n"), *(F.count_if(~r.holds()).alias(f"v{k}") for k, r in enumerate(live)))
-    )
-    rows = F.array(*(F.struct(F.lit(r.id).alias("rule_id"), F.col("n").alias("evaluated"), F.col(f"v{k}").alias("violations")) for k, r in enumerate(live)))
-    return counted.select(F.col("w.start").alias("start"), F.inline(rows))
+    sums, rows = counted(live, dict(stream.dtypes))
+    by_window = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late).groupBy(F.window(at, window).alias("w")).agg(*sums)
+    return by_window.select(F.col("w.start").alias("start"), rows)
