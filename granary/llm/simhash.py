@@ -335,16 +335,15 @@ def _gone(texts: DataFrame, rows: DataFrame, least: float, pivots: bool) -> Data
     met = cut(_by_key(rows).mapInArrow(run, "a long, b long, m int"), "met", narrow=True)
     counted = met.where("m > 0").groupBy("a", "b", "m").agg(F.count("*").alias("c"))
     enough = F.col("c") * 2 >= F.col("m") if pivots else F.col("c") >= F.col("m")  # pivots see only some of the common shingles
-    pairs = counted.where(enough).select("a", "b")
-    if not pivots:
-        pairs = pairs.unionByName(_paged(rows, met.where("m = 0").select("a", "b"), least))
-    pairs = cut(pairs.distinct(), "pairs", narrow=True)
+    pairs = cut(counted.where(enough).select("a", "b"), "pairs", narrow=True)
     asked = pairs.select(F.col("a").alias("u")).unionByName(pairs.select(F.col("b").alias("u"))).distinct()
     own = texts.join(asked.hint("shuffle_hash"), texts["uid"] == asked["u"]).select("uid", F.lit(0).cast("long").alias("root"), F.lit(0).cast("long").alias("kept"), "text")
     sets = cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "sets")
     one, two = (sets.select(F.col("uid").alias(c), F.col("set").alias(s)) for c, s in (("a", "x"), ("b", "y")))
     common = F.size(F.array_intersect("x", "y"))
     same = pairs.join(one, "a").join(two, "b").where(common / (F.size("x") + F.size("y") - common) >= least).select("a", "b")
+    if not pivots:
+        same = same.unionByName(_paged(texts, met.where("m = 0").select("a", "b"), least))
     gone = cut(components(same).where("id <> root").select(F.col("id").alias("uid")).distinct(), "near", narrow=True)
     release(met, pairs, sets)
     return gone
@@ -361,47 +360,50 @@ def _common(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
     return np.where(np.minimum(n, m) >= need, np.maximum(1, need - np.maximum(_rest(n, least), _rest(m, least))), 0)
 
 
-#: Texts of a group whose pairs are written one by one, and of a page in larger ones.
-FEW, PAGE = 32, 512
+#: Texts of a group whose pairs are written one by one, of a page in larger ones, and shingles that are counted at once there.
+FEW, PAGE, WIDE = 32, 256, 4096
 
 
-def _paged(rows: DataFrame, links: DataFrame, least: float) -> DataFrame:
-    """links: each text of a large group with the group's first. The pairs a, b of texts that large groups connect and whose prefixes have enough
-    in common. Texts that large groups connect are dealt to pages; every two pages meet in a task, which counts what their prefixes have
-    in common and gives only the pairs with enough. A text is sent once for each page, so no group, however large, is in one task."""
-    roots = cut(components(links).withColumnRenamed("id", "uid"), "large", narrow=True)
+def _paged(texts: DataFrame, links: DataFrame, least: float) -> DataFrame:
+    """links: each text of a large group with the group's first. Of the texts that large groups connect, links a, b that connect just those whose
+    shingles are alike. The texts are dealt to pages; every two pages meet in a task, which compares their sets exactly and gives a
+    forest, never pairs. A text is sent once for each page, so no group, however large, is in one task."""
+    roots = cut(components(links).withColumnRenamed("id", "u"), "large", narrow=True)
     if roots.isEmpty():
         return links
-    held = rows.join(roots, "uid").groupBy("root", "uid", "n").agg(F.collect_list("k").alias("keys"))
+    own = texts.join(roots.hint("shuffle_hash"), texts["uid"] == roots["u"]).select("uid", "root", F.lit(0).cast("long").alias("kept"), "text")
+    sets = cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "large-sets")
     pages = roots.groupBy("root").agg(F.ceil(F.count("*") / PAGE).cast("int").alias("pages"))
     own, other = F.col("own"), F.col("other")
     dealt = (
-        held.join(pages, "root")
+        sets.join(pages, "root")
         .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("pages")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-        .select("root", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"), (own > other).alias("second"), "uid", "n", "keys")
+        .select("root", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"), "uid", "set")
     )
-
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        uid, n, second = longs(t["uid"]), longs(t["n"]), longs(t["second"])
-        one = key[1].as_py() == key[2].as_py()
-        keys = t["keys"].combine_chunks()
-        row = np.repeat(np.arange(len(uid)), np.diff(keys.offsets.to_numpy()))
-        k = keys.flatten().to_numpy()
-        order = np.lexsort((row, second[row], k))
-        k, row = k[order], row[order]
-        count = np.zeros((len(uid), len(uid)), np.int32)
-        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
-        for a, b in zip(start.tolist(), np.append(start[1:], len(k)).tolist()):
-            own = row[a:b]
-            if b - a > 1:
-                count[np.ix_(own if one else own[~second[own]], own if one else own[second[own]])] += 1
-        i, j = np.nonzero(count)
-        i, j = (i[i < j], j[i < j]) if one else (i, j)
-        need = _common(n[i], n[j], least)
-        use = (need > 0) & (count[i, j] >= need)
-        a, b = uid[i[use]], uid[j[use]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    at_once = WIDE
+
+    def run(t: pa.Table) -> pa.Table:
+        uid, lists = longs(t["uid"]), t["set"].combine_chunks()
+        n = np.diff(lists.offsets.to_numpy())
+        k, row = lists.flatten().to_numpy(), np.repeat(np.arange(len(uid)), n)
+        _, column, times = np.unique(k, return_inverse=True, return_counts=True)
+        shared = times[column] > 1
+        column, row = (np.cumsum(times > 1) - 1)[column[shared]], row[shared]
+        order = np.argsort(column, kind="stable")
+        column, row = column[order], row[order]
+        common = np.zeros((len(uid), len(uid)), np.float32)  # whole numbers
+        for at in range(0, int((times > 1).sum()), at_once):
+            a, b = np.searchsorted(column, [at, at + at_once])
+            block = np.zeros((len(uid), at_once), np.float32)
+            block[row[a:b], column[a:b] - at] = 1
+            common += block @ block.T
+        i, j = np.nonzero(np.triu(common >= least * (n[:, None] + n - common), 1))
+        parent = np.arange(len(uid))
+        unite(parent, i, j)
+        root = flatten(parent)
+        linked = np.flatnonzero(root != np.arange(len(uid)))
+        return pa.table({"a": uid[linked], "b": uid[root[linked]]})
 
     return dealt.groupBy("root", "left", "right").applyInArrow(run, "a long, b long")
 

@@ -43,3 +43,43 @@ def test_result_keeps_the_shares_of_the_mix(spark, tmp_path):
         if n % mixing.BLOCK == 0:
             assert all(abs(seen[s] - n * w / 100) < mixing.BLOCK for s, w in weights.items())
     assert seen["src0"] < have["src0"]
+
+
+def odd_documents(spark):
+    """Nulls in any column, texts without words, very long ones, repeated rows, and extra columns of the names that operators use inside."""
+    words = [f"w{k % 97}x{k // 7 % 89}" for k in range(60_000)]
+    passage = " ".join(f"shared{k}" for k in range(60))
+    texts = [None, "", " \n", "One.", " ".join(words), passage + " before " + " ".join(words[:300]), "Here " + " ".join(words[300:700]) + " then " + passage, "x" * 70_000]
+    rows = [(k, t, "en", f"src{k % 2}" if k % 3 else None, k, "t", 1.5, None) for k, t in enumerate(texts)]
+    rows += [rows[6], rows[0], (None, None, None, None, None, None, None, None), (None, "lost id. " + " ".join(words[900:1000]), None, "new", 9, "u", 0.0, [1])]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, t string, score double, spans array<int>"
+    return spark.createDataFrame(rows, kind).repartition(3)
+
+
+def test_odd_documents_go_through_all_stages(spark):
+    docs = first = cut(odd_documents(spark))
+    seen = []
+    for _, stage in pipeline.STAGES[:-1]:
+        after = cut(stage(spark, docs, DATA))
+        assert after.schema == first.schema
+        before, got = ({(r.doc_id, r.source, r.t) for r in x.collect()} for x in (docs, after))
+        assert got <= before
+        seen.append(after.count())
+        docs = after
+    assert seen[1] == seen[2] == seen[3] > 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all("shared3" not in (t or "") for t in texts.values())  # the shared passage is gone from both
+    assert all(r.n_chars == len(r.text) for r in docs.collect() if r.text is not None and r.doc_id is not None)
+    out = pipeline.STAGES[-1][1](spark, docs, DATA)
+    assert out.columns == ["doc_id", "source", "mix_position", "n_tokens", "ids", "decoded_sha256"]
+    rows = out.collect()
+    assert sorted(r.mix_position for r in rows) == list(range(len(rows))) and len(rows) == seen[3]
+    assert Counter(r.decoded_sha256 for r in rows) == Counter(hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect())
+
+
+def test_an_empty_table_goes_through_all_stages(spark):
+    docs = odd_documents(spark).limit(0)
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = cut(stage(spark, docs, DATA))
+        assert docs.columns == odd_documents(spark).columns and docs.count() == 0
+    assert pipeline.STAGES[-1][1](spark, docs, DATA).count() == 0
