@@ -25,6 +25,7 @@ through a text however long; without training documents the counts are zero; oth
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,9 +48,9 @@ OWN, FREQUENT = 1 << 14, 1 << 18
 PART = (1 << 13, 1 << 12, 1 << 12)
 ROWS = sum(PART)
 ROUNDS, RATE, DOUBT, STEP, BLOCKS = 5, 0.4, 1.0, 8192, 64
-SEED, CACHED, CHUNK = 0x6C6D, 100_000, 1 << 20
-RARE = np.uint64(1 << 63)  # set in the code of a token that is not in the table of frequent ones
-END, BEGIN = 1 << 63, np.uint64(1 << 62)
+SEED, CACHED, CHUNK = 0x6C6D, 250_000, 1 << 20
+#: A token's code is its rank in the table of frequent ones, or RARE and its ending. END is the hash of the end, BEGIN the code before a text.
+RARE, END, BEGIN = 1 << 20, 1 << 63, 1 << 21
 
 
 def is_held_out(doc_id):
@@ -63,7 +64,7 @@ def token(word: bytes) -> int:
 
 
 class Coder:
-    """Codes of texts' tokens: a frequent token's rank, any other's hash. END comes after each text's words."""
+    """Ranks of texts' frequent tokens and hashes of all others. END comes after each text's words."""
 
     def __init__(self, table: np.ndarray | None = None):
         rank = {} if table is None else {h: k for k, h in enumerate(table.tolist())}
@@ -75,18 +76,18 @@ class Coder:
 
         self.of = Recent(code, CACHED)
 
-    def codes(self, text: bytes) -> np.ndarray:
-        out, get = [], self.of.__getitem__
-        for part in _parts(text):
-            words = part.lower().split()
-            out.append(np.fromiter(map(get, words), np.uint64, len(words)))
-        out.append(np.array([self.end], np.uint64))
-        return np.concatenate(out)
-
     def all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The codes of all texts one after another, and how many each has."""
-        each = [self.codes(t) for t in texts]
-        return np.concatenate(each or [np.empty(0, np.uint64)]), np.array([len(e) for e in each], np.int64)
+        """Ranks or hashes of all texts' tokens one after another, and how many each has."""
+        each, get, end = [], self.of.__getitem__, np.array([self.end], np.uint64)
+        sizes = np.zeros(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            for part in _parts(text):
+                words = part.lower().split()
+                each.append(np.fromiter(map(get, words), np.uint64, len(words)))
+                sizes[k] += len(words)
+            each.append(end)
+            sizes[k] += 1
+        return np.concatenate(each or [np.empty(0, np.uint64)]), sizes
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
@@ -118,25 +119,22 @@ class Classes:
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Whether each token is in the table, its group and its bin."""
         held = codes < RARE
-        rank = np.where(held, codes, 0).astype(np.int64)
-        if not len(self.table):
-            return held, self.by_ending[(codes & np.uint64(0xFF)).astype(np.int64)], np.full(len(codes), BINS - 1)
-        group = np.where(held, self.group[rank], self.by_ending[(codes & np.uint64(0xFF)).astype(np.int64)])
-        return held, group, np.where(held, self.bin[rank], BINS - 1)
+        at = np.where(held, codes, codes - RARE + len(self.table))
+        last = np.full(ENDINGS, BINS - 1)
+        return held, np.concatenate([self.group, self.by_ending])[at], np.concatenate([self.bin, last])[at]
 
 
 def features(codes: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> np.ndarray:
     """Three rows of the weights for each token; before a text's first token stands BEGIN."""
     place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     back = lambda x, k, none: np.where(place >= k, np.concatenate([np.zeros(k, x.dtype), x])[: len(x)], none)
-    word = lambda c: np.where(c < RARE, c, c & np.uint64(0xFF) | RARE)  # noqa: E731  # rare words by their endings
-    hashed = lambda k, x: (scramble(x + np.uint64(k + 1)) % np.uint64(PART[k])).astype(np.int64)
-    g = [back(group, k, GROUPS).astype(np.uint64) for k in (1, 2, 3)]
-    wide = np.uint64(GROUPS + 1)
+    hashed = lambda k, x: (scramble(x.astype(np.uint64) + np.uint64(k + 1)) % np.uint64(PART[k])).astype(np.int64)
+    g = [back(group, k, GROUPS) for k in (1, 2, 3)]
+    wide = GROUPS + 1
     return np.stack(
         [
-            hashed(0, back(word(codes), 1, BEGIN)),
-            hashed(1, back(word(codes), 2, BEGIN)) + PART[0],
+            hashed(0, back(codes, 1, BEGIN)),
+            hashed(1, back(codes, 2, BEGIN)) + PART[0],
             hashed(2, (g[0] * wide + g[1]) * wide + g[2]) + PART[0] + PART[1],
         ]
     )
@@ -218,13 +216,11 @@ def _scatter(total: np.ndarray, rows: np.ndarray, p: np.ndarray) -> None:
 def neighbours(codes: np.ndarray, sizes: np.ndarray, total: np.ndarray) -> None:
     """Adds up, for each of the OWN first tokens and each ending of the others (rows), which of the NEIGHBOURS first stands one or two places
     before it (columns)."""
-    row = np.where(codes < OWN, codes, OWN + (codes & np.uint64(0xFF))).astype(np.int64)
-    low = np.flatnonzero((codes >= OWN) & (codes < RARE))
-    row[low] = -1  # a frequent token beyond OWN: its code does not tell its ending
+    row = np.where(codes < OWN, codes, np.where(codes < RARE, -1, OWN + codes - RARE))  # the code of a frequent token beyond OWN does not tell its ending
     place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     for k in (1, 2):
         use = (place[k:] >= k) & (codes[:-k] < NEIGHBOURS) & (row[k:] >= 0)
-        np.add.at(total, row[k:][use] * NEIGHBOURS + codes[:-k][use].astype(np.int64), 1)
+        np.add.at(total, row[k:][use] * NEIGHBOURS + codes[:-k][use], 1)
 
 
 def clusters(total: np.ndarray, weight: np.ndarray, rounds: int = 25) -> np.ndarray:
@@ -254,12 +250,56 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     """texts: text. Returns h, c: each token's count over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder()
         for batch in batches:
-            h, c = np.unique(coder.all(_texts(batch))[0], return_counts=True)
+            seen: Counter[bytes] = Counter()
+            for text in _texts(batch):
+                for part in _parts(text):
+                    seen.update(part.lower().split())
+            h = np.fromiter(map(token, seen), np.uint64, len(seen))
+            c = np.fromiter(seen.values(), np.int64, len(seen))
+            h, c = np.append(h, np.uint64(END)), np.append(c, batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
 
-    return texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(run, "h long, c long").where("c > 0").groupBy("h").agg(F.sum("c").alias("c"))
+
+
+ENCODED = "doc_id long, held_out boolean, codes array<int>, rare array<struct<h:long,n:long>>"
+
+
+def encoded(docs: DataFrame, table: np.ndarray) -> DataFrame:
+    """docs: doc_id, text, held_out. A written table of each text's codes, and of its tokens that are not in the table of frequent ones by
+    hash and how often they occur; uid numbers the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(table)
+        for batch in slices(batches, 256):
+            raw, sizes = coder.all(_texts(batch))
+            away = raw >= np.uint64(END)
+            codes = np.where(away, (raw & np.uint64(0xFF)) + np.uint64(RARE), raw).astype(np.int32)
+            whose = np.repeat(np.arange(len(sizes)), sizes)[away]
+            order = np.lexsort((raw[away], whose))
+            rare, whose = raw[away][order], whose[order]
+            fresh = np.ones(len(rare), bool)
+            fresh[1:] = (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1])
+            times = np.diff(np.append(np.flatnonzero(fresh), len(rare)))
+            pairs = pa.StructArray.from_arrays([pa.array(rare[fresh].view(np.int64)), pa.array(times)], ["h", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(x) for x in ("doc_id", "held_out")),
+                    pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), pa.array(codes)),
+                    pa.ListArray.from_arrays(np.searchsorted(whose[fresh], np.arange(len(sizes) + 1)).astype(np.int32), pairs),
+                ],
+                ["doc_id", "held_out", "codes", "rare"],
+            )
+
+    rows = docs.select("doc_id", "text", "held_out").mapInArrow(run, ENCODED)
+    return cut(rows.withColumn("uid", F.monotonically_increasing_id()), "encoded")
+
+
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of a batch's texts one after another, and how many each has."""
+    col = batch.column("codes")
+    return col.flatten().to_numpy().astype(np.int64), np.diff(col.offsets.to_numpy()).astype(np.int64)
 
 
 def frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, int]:
@@ -333,34 +373,27 @@ def tasks(spark: SparkSession) -> int:
     return 2 * spark.sparkContext.defaultParallelism
 
 
-def _pass(texts: DataFrame, arrays, see, sizes: dict[str, int]) -> dict[str, np.ndarray]:
-    """Each task makes arrays() and lets see(arrays, batch) add to them; their sums over all tasks."""
+def _pass(rows: DataFrame, arrays, see, sizes: dict[str, int]) -> dict[str, np.ndarray]:
+    """rows: codes. Each task makes arrays() and lets see(arrays, codes, sizes) add to them; their sums over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, state = arrays(), {}
+        own = arrays()
         for batch in slices(batches, 256):
-            see(own, state, _texts(batch))
+            see(own, *_codes(batch))
         yield from _emit(own)
 
-    few = texts.coalesce(tasks(texts.sparkSession))
+    few = rows.select("codes").coalesce(tasks(rows.sparkSession))
     return added(few.mapInArrow(run, "name string, block int, part int, data binary"), sizes)
 
 
-def _coded(state: dict, table: np.ndarray) -> Coder:
-    if "coder" not in state:
-        state["coder"] = Coder(table)
-    return state["coder"]
-
-
-def classes(counts: DataFrame, texts: DataFrame) -> tuple[Classes, np.ndarray]:
-    """The classes, and the training tokens of each."""
-    table, count, least = frequent(counts)
+def classes(counts: DataFrame, table: np.ndarray, count: np.ndarray, least: int, rows: DataFrame) -> tuple[Classes, np.ndarray]:
+    """rows: codes, of the training texts. The classes, and the training tokens of each."""
     n = (OWN + ENDINGS) * NEIGHBOURS
 
-    def see(own, state, batch):
-        neighbours(*_coded(state, table).all(batch), own["near"])
+    def see(own, codes, sizes):
+        neighbours(codes, sizes, own["near"])
 
-    near = _pass(texts, lambda: {"near": np.zeros(n)}, see, {"near": n})["near"].reshape(-1, NEIGHBOURS).astype(np.float64)
+    near = _pass(rows, lambda: {"near": np.zeros(n)}, see, {"near": n})["near"].reshape(-1, NEIGHBOURS).astype(np.float64)
     first = min(OWN, len(table))
     weight = near.sum(axis=1)
     weight[:first] = count[:first]
@@ -389,12 +422,11 @@ def classes(counts: DataFrame, texts: DataFrame) -> tuple[Classes, np.ndarray]:
     return Classes(table, count, of_table, bins, by_ending, share, np.log10(unseen), np.log10((1 - unseen) / np.maximum(rest, 1))), mass
 
 
-def trained(kinds: Classes, mass: np.ndarray, texts: DataFrame) -> Weights:
-    """texts: doc_id, text."""
+def trained(kinds: Classes, mass: np.ndarray, rows: DataFrame) -> Weights:
+    """rows: doc_id, codes, of the training texts."""
     w = Weights.zero(mass)
 
-    def given(state, batch):
-        codes, sizes = _coded(state, kinds.table).all(batch)
+    def given(codes, sizes):
         _, group, bin_ = kinds.of(codes)
         return features(codes, sizes, group), group, bin_
 
@@ -404,20 +436,19 @@ def trained(kinds: Classes, mass: np.ndarray, texts: DataFrame) -> Weights:
         w.bin += (RATE * np.log((met + DOUBT) / (bins + DOUBT))).reshape(-1, BINS).astype(np.float32)
 
     # the first step's expectations follow from the biases and from how often each row is met
-    def first(own, state, batch):
-        sums = Sums(own["met"])
-        sums.meet(*given(state, batch))
+    def first(own, codes, sizes):
+        Sums(own["met"]).meet(*given(codes, sizes))
 
-    met = _pass(texts.select("text"), lambda: {"met": np.zeros(ROWS * CLASSES)}, first, {"met": ROWS * CLASSES})["met"].astype(np.float64)
+    met = _pass(rows, lambda: {"met": np.zeros(ROWS * CLASSES)}, first, {"met": ROWS * CLASSES})["met"].astype(np.float64)
     groups = met.reshape(ROWS, GROUPS, BINS).sum(axis=2)
     move(met, (groups.sum(axis=1, keepdims=True) * np.exp(w.group_bias)).ravel(), (groups[:, :, None] * np.exp(w.bin_bias)).ravel())
 
-    def later(own, state, batch):
-        Sums(own["met"], own["groups"], own["bins"]).add(*given(state, batch), w)
+    def later(own, codes, sizes):
+        Sums(own["met"], own["groups"], own["bins"]).add(*given(codes, sizes), w)
 
     sizes = {"met": ROWS * CLASSES, "groups": ROWS * GROUPS, "bins": ROWS * CLASSES}
     for k in range(ROUNDS - 1):
-        part = texts.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(ROUNDS - 1)) == k).select("text")
+        part = rows.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(ROUNDS - 1)) == k)
         got = _pass(part, lambda: {name: np.zeros(n) for name, n in sizes.items()}, later, sizes)
         move(*(got[name].astype(np.float64) for name in sizes))
     return w
@@ -434,58 +465,62 @@ class Model:
     weights: Weights
 
 
+def _fitted(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """docs: doc_id, text, held_out. The model of those that are not held out, and all of them encoded by its table."""
+    counts = cut(count_tokens(docs.where(~F.col("held_out")).select("text")), "counts")
+    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    table, count, least = frequent(counts)
+    rows = encoded(docs, table)
+    training = rows.where(~F.col("held_out"))
+    kinds, mass = classes(counts, table, count, least, training)
+    return Model(counts, n, v, kinds, trained(kinds, mass, training)), rows
+
+
 def fit(texts: DataFrame) -> Model:
     """texts: doc_id, text; the same rows when read again."""
-    counts = cut(count_tokens(texts.select("text")), "counts")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    kinds, mass = classes(counts, texts.select("text"))
-    return Model(counts, n, v, kinds, trained(kinds, mass, texts))
+    model, rows = _fitted(texts.select("doc_id", "text", F.lit(False).alias("held_out")))
+    release(rows)
+    return model
 
 
 def score(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; the model learns from
     the documents that are not held out."""
-    docs = docs.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out"))
-    return score_with(fit(docs.where(~F.col("held_out")).select("doc_id", "text")), docs)
+    return _scored(*_fitted(docs.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out"))))
 
 
 def score_with(model: Model, docs: DataFrame) -> DataFrame:
     """docs: doc_id, text, held_out (as it is to be returned)."""
+    return _scored(model, encoded(docs, model.kinds.table))
+
+
+def _scored(model: Model, rows: DataFrame) -> DataFrame:
     kinds, w, n, v = model.kinds, model.weights, model.n, model.v
     base = np.log10(kinds.count + 0.1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(kinds.table)
         for batch in slices(batches, 256):
-            codes, sizes = coder.all(_texts(batch))
+            codes, sizes = _codes(batch)
             m, d = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
             held, group, bin_ = kinds.of(codes)
             logs, inside = np.zeros(len(codes)), kinds.seen[group]
-            rank = codes[held].astype(np.int64)
-            logs[held], inside[held] = base[rank], kinds.share[rank]
+            logs[held], inside[held] = base[codes[held]], kinds.share[codes[held]]
             inside += w.chosen(features(codes, sizes, group), group, bin_) / np.log(10)
             add = lambda x: np.bincount(d, weights=x, minlength=m)
-            order = np.lexsort((codes[~held], d[~held]))
-            rare, whose = codes[~held][order], d[~held][order]
-            fresh = np.ones(len(rare), bool)
-            fresh[1:] = (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1])
-            times = np.diff(np.append(np.flatnonzero(fresh), len(rare)))
-            offsets = np.searchsorted(whose[fresh], np.arange(m + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(x) for x in ("doc_id", "held_out")),
+                    *(batch.column(x) for x in ("uid", "doc_id", "held_out")),
                     pa.array(sizes),
                     pa.array(add(held).astype(np.int64)),
                     pa.array(add(logs)),
                     pa.array(add(inside)),
-                    pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(rare[fresh].view(np.int64)), pa.array(times)], ["h", "n"])),
                 ],
-                ["doc_id", "held_out", "n_tokens", "n_held", "logs", "model", "rare"],
+                ["uid", "doc_id", "held_out", "n_tokens", "n_held", "logs", "model"],
             )
 
-    kind = "doc_id long, held_out boolean, n_tokens long, n_held long, logs double, model double, rare array<struct<h:long,n:long>>"
-    local = cut(docs.select("doc_id", "text", "held_out").mapInArrow(run, kind).withColumn("uid", F.monotonically_increasing_id()), "local")
-    rare = local.select("uid", F.explode("rare").alias("r")).select("uid", "r.h", "r.n").join(model.counts.select("h", "c"), "h", "left")
+    kind = "uid long, doc_id long, held_out boolean, n_tokens long, n_held long, logs double, model double"
+    local = cut(rows.select("uid", "doc_id", "held_out", "codes").mapInArrow(run, kind), "local")
+    rare = rows.select("uid", F.explode("rare").alias("r")).select("uid", "r.h", "r.n").join(model.counts.select("h", "c"), "h", "left")
     known, times = F.col("c").isNotNull(), F.col("n")
     apart = F.array(*(F.lit(float(x)) for x in (kinds.unseen - kinds.seen)[kinds.by_ending]))  # one number an ending
     lost = F.element_at(apart, F.col("h").bitwiseAND(F.lit(0xFF)).cast("int") + 1)
@@ -496,7 +531,7 @@ def score_with(model: Model, docs: DataFrame) -> DataFrame:
     )
     zero = F.lit(0.0)
     logs = F.col("logs") + F.coalesce("more", zero)
-    return local.drop("rare").join(rare, "uid", "left").select(
+    return local.join(rare, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
