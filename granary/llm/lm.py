@@ -45,7 +45,7 @@ GROUPS, BINS, ENDINGS, NEIGHBOURS = 16, 16, 256, 64
 CLASSES = GROUPS * BINS
 OWN, FREQUENT = 1 << 14, 1 << 18
 #: Rows of the three kinds of features; ROWS in all.
-PART = (1 << 13, 1 << 12, 1 << 12)
+PART = (1 << 12, 1 << 11, 1 << 11)
 ROWS = sum(PART)
 ROUNDS, RATE, DOUBT, STEP, BLOCKS = 5, 0.4, 1.0, 8192, 64
 SEED, CACHED, CHUNK = 0x6C6D, 250_000, 1 << 20
@@ -346,13 +346,12 @@ def added(parts: DataFrame, sizes: dict[str, int]) -> dict[str, np.ndarray]:
         dealt = parts.withColumn("part", F.col("part") % modulus).repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
         parts = dealt.mapInArrow(run, "name string, block int, part int, data binary")
     table = cut(parts, "sums")
-    got = table.toArrow()
+    got = table.toArrow()  # BLOCKS rows an array
     release(table)
     out = {name: np.zeros(n, np.float32) for name, n in sizes.items()}
-    for name, block, data in zip(*(got[c].to_pylist() for c in ("name", "block", "data"))):
-        at = len(out[name]) // BLOCKS * block
-        x = np.frombuffer(data, np.float32)
-        out[name][at : at + len(x)] = x
+    for name, block, data in zip(*(got[c] for c in ("name", "block", "data"))):
+        own = out[name.as_py()].reshape(BLOCKS, -1)
+        own[block.as_py()] = np.frombuffer(data.as_buffer(), np.float32)
     return out
 
 
@@ -430,18 +429,28 @@ def trained(kinds: Classes, mass: np.ndarray, rows: DataFrame) -> Weights:
         _, group, bin_ = kinds.of(codes)
         return features(codes, sizes, group), group, bin_
 
-    def move(met: np.ndarray, groups: np.ndarray, bins: np.ndarray) -> None:
-        by_group = met.reshape(-1, BINS).sum(axis=1)
-        w.group += (RATE * np.log((by_group + DOUBT) / (groups + DOUBT))).reshape(-1, GROUPS).astype(np.float32)
-        w.bin += (RATE * np.log((met + DOUBT) / (bins + DOUBT))).reshape(-1, BINS).astype(np.float32)
+    def move(met: np.ndarray, expected) -> None:
+        """expected: from the first and last row of a part, how often its groups and bins were expected. Part by part, to spare the driver's memory."""
+        for a in range(0, ROWS, ROWS // BLOCKS):
+            b = a + ROWS // BLOCKS
+            own = met[a * CLASSES : b * CLASSES].astype(np.float64)
+            groups, bins = expected(a, b)
+            ratio = lambda x, y: RATE * np.log((x + DOUBT) / (y + DOUBT))
+            w.group[a:b] += ratio(own.reshape(-1, BINS).sum(axis=1), groups).reshape(-1, GROUPS).astype(np.float32)
+            w.bin[a * GROUPS : b * GROUPS] += ratio(own, bins).reshape(-1, BINS).astype(np.float32)
 
     # the first step's expectations follow from the biases and from how often each row is met
     def first(own, codes, sizes):
         Sums(own["met"]).meet(*given(codes, sizes))
 
-    met = _pass(rows, lambda: {"met": np.zeros(ROWS * CLASSES)}, first, {"met": ROWS * CLASSES})["met"].astype(np.float64)
-    groups = met.reshape(ROWS, GROUPS, BINS).sum(axis=2)
-    move(met, (groups.sum(axis=1, keepdims=True) * np.exp(w.group_bias)).ravel(), (groups[:, :, None] * np.exp(w.bin_bias)).ravel())
+    met = _pass(rows, lambda: {"met": np.zeros(ROWS * CLASSES)}, first, {"met": ROWS * CLASSES})["met"]
+
+    def at_first(a, b):
+        groups = met[a * CLASSES : b * CLASSES].astype(np.float64).reshape(-1, GROUPS, BINS).sum(axis=2)
+        return (groups.sum(axis=1, keepdims=True) * np.exp(w.group_bias)).ravel(), (groups[:, :, None] * np.exp(w.bin_bias)).ravel()
+
+    move(met, at_first)
+    del met
 
     def later(own, codes, sizes):
         Sums(own["met"], own["groups"], own["bins"]).add(*given(codes, sizes), w)
@@ -450,7 +459,8 @@ def trained(kinds: Classes, mass: np.ndarray, rows: DataFrame) -> Weights:
     for k in range(ROUNDS - 1):
         part = rows.where(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(ROUNDS - 1)) == k)
         got = _pass(part, lambda: {name: np.zeros(n) for name, n in sizes.items()}, later, sizes)
-        move(*(got[name].astype(np.float64) for name in sizes))
+        move(got["met"], lambda a, b: (got["groups"][a * GROUPS : b * GROUPS], got["bins"][a * CLASSES : b * CLASSES]))  # noqa: B023
+        del got
     return w
 
 

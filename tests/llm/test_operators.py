@@ -423,6 +423,23 @@ def test_repeats_with_shared_passages(spark):
     assert all(hashlib.sha256(kept[k].encode()).hexdigest() == want[k][3] for k in want)
 
 
+def test_strip_of_odd_rows(spark, docs, empty):
+    """Nulls, empty and repeated rows, and extra columns of the names that are used inside."""
+    extra = {"t": F.lit("x"), "spans": F.lit(1), "copied": F.lit(True), "rep": F.lit(None).cast("long"), "n_chars": F.lit(0).cast("long")}
+    df = docs.withColumns(extra)
+    rows, out = docs.collect(), repeats.strip(df)
+    assert out.columns == df.columns and repeats.strip(empty.withColumns(extra)).count() == 0
+    seen = Counter(raw(r)[p : p + 400] for r in rows for p in range(len(raw(r)) - 399))
+    want = Counter()
+    for r in rows:
+        gone = {j for p in range(len(raw(r)) - 399) if seen[raw(r)[p : p + 400]] > 1 for j in range(p, p + 400)}
+        left = bytes(c for k, c in enumerate(raw(r)) if k not in gone).decode(errors="ignore")
+        want[r.doc_id, None if r.text is None else left] += 1
+    got = out.collect()
+    assert Counter((r.doc_id, r.text) for r in got) == want
+    assert all((r.n_chars is None) == (r.text is None) and r.n_chars in (None, len(r.text or "")) and (r.t, r.spans, r.copied) == ("x", 1, True) for r in got)
+
+
 def test_repeated_passages_in_words(spark):
     word = lambda n: "".join(RNG.choice("abcdefghijklmnop") for _ in range(n))
     passages = [[word(RNG.randrange(3, 6)) for _ in range(n)] for n in (50, 51, 60, 75)] + [[word(12) for _ in range(n)] for n in (45, 80)]
