@@ -9,7 +9,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import text
+from .functions import personal, text
 from .operators import profile, rules
 from .operators.rules import Rule
 from .plans import readiness
@@ -462,3 +462,14 @@ def folds_and_dates(spark, sf_dir):
     df = _t(spark, sf_dir, "orders").withColumn("d", F.expr("case o_orderkey % 3 when 0 then date_format(o_orderdate, 'yyyy-MM-dd') when 1 then date_format(o_orderdate, 'dd.MM.yyyy') else date_format(o_orderdate, ' dd/MM/yyyy ') end"))
     folded = text.fold_case(F.concat("o_orderpriority", F.lit(" ß")))
     return df.select("o_orderkey", text.date_of(F.col("d")).cast("string").alias("day"), folded.alias("folded"))
+
+
+_CARDS = "list_filter(regexp_extract_all(regexp_replace(' ' || text || ' ', '[^0-9A-Za-z]', '  ', 'g'), '[^0-9A-Za-z]([0-9]{13,19})[^0-9A-Za-z]', 1), lambda x: list_sum(list_transform(range(length(x)), lambda i: case when i % 2 = 1 then (case when substr(x, (length(x) - i)::int, 1)::int > 4 then substr(x, (length(x) - i)::int, 1)::int * 2 - 9 else substr(x, (length(x) - i)::int, 1)::int * 2 end) else substr(x, (length(x) - i)::int, 1)::int end)) % 10 = 0)"
+
+
+@query(f"""select doc_id, len({_CARDS})::int card, regexp_matches(text, '(^|[^a-zA-Z0-9])[a-zA-Z0-9.!#$%&''*+/=?^_`{{|}}~-]+@[a-zA-Z0-9]') has_email from documents""")
+def personal_data(spark, sf_dir):
+    """Card numbers with right check digits in each document, and whether it holds an e-mail address."""
+    df = _t(spark, sf_dir, "documents")
+    n = personal.counts(F.col("text"))
+    return df.select("doc_id", n["card"], (n["email"] > 0).alias("has_email"))

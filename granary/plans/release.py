@@ -29,6 +29,9 @@ KINDS = {
     "count": lambda x: isinstance(x, int) and not isinstance(x, bool) and x >= 0,
     "rate": lambda x: isinstance(x, int | float) and not isinstance(x, bool) and math.isfinite(x) and 0 <= x <= 1,
     "identifier": lambda x: isinstance(x, str) and 0 < len(x) <= 128 and x.isascii() and all(c.isalnum() or c in "._-:" for c in x),
+    "digest": lambda x: isinstance(x, str) and len(x) == 64 and set(x) <= set("0123456789abcdef"),
+    # a shape: no letter but A, no digit but 9, so that no value is told
+    "mask": lambda x: isinstance(x, str) and len(x) <= 128 and x.isascii() and all(c in "A9" or not c.isalnum() for c in x),
     "time": lambda x: isinstance(x, datetime) and x.tzinfo is not None,
 }
 

@@ -78,6 +78,25 @@ def load(paths: Iterable[str | Path]) -> dict[str, Schema]:
     return out
 
 
+class Unknown(LookupError):
+    """No file states a schema of this id."""
+
+
+class Ambiguous(LookupError):
+    """Several files state a schema of this id."""
+
+
+def resolve(paths: Iterable[str | Path], id: str) -> Schema:
+    """The one schema that states this id, whatever its file is called. A file that is no schema is an error, asked for or not."""
+    stated = [Schema.from_dict(json.loads(Path(p).read_text(encoding="utf-8"))) for p in paths]
+    named = [s for s in stated if s.id == id]
+    if not named:
+        raise Unknown(f"{id!r} is not among {sorted({s.id for s in stated})}")
+    if len(named) > 1:
+        raise Ambiguous(f"{id!r} is stated {len(named)} times")
+    return named[0]
+
+
 @dataclass(frozen=True)
 class Binding:
     schema: Schema

@@ -6,6 +6,7 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,10 @@ from . import delimited
 FORMATS = ("parquet", "orc", "json", "csv", "text", "jdbc", "avro")
 
 
+#: Where files may be; a path without a scheme is in the cluster's default file system.
+SCHEMES = ("", "file", "hdfs", "viewfs", "s3a", "abfss", "gs")
+
+
 @dataclass(frozen=True)
 class Source:
     """Objects (paths, or tables for jdbc) of one format. A secret option is named as env:NAME, never stated."""
@@ -28,6 +33,8 @@ class Source:
             raise ValueError(f"no format {self.format!r}")
         if not self.objects:
             raise ValueError("a source has at least one object")
+        if self.format != "jdbc" and (odd := sorted({urlsplit(p).scheme for p in self.objects} - set(SCHEMES))):
+            raise ValueError(f"no place for files: {odd}")
         if stated := [k for k, v in self.secrets.items() if not v.startswith("env:")]:
             raise ValueError(f"{stated} must be named as env:NAME")
 

@@ -124,7 +124,7 @@ def test_release(spark):
     with pytest.raises(release.Refused):
         release.column_values(df, "v", release.Policy(frozenset({"v"}), frozenset({"v"}), k=1))
     assert release.column_values(df, "v", release.Policy(frozenset({"v"}), k=4)) == [("a", 5), ("b", 4)]
-    for bad in (("rate", 1.5), ("count", True), ("identifier", "a b"), ("time", datetime(2026, 1, 1)), ("text", "x")):
+    for bad in (("rate", 1.5), ("count", True), ("identifier", "a b"), ("time", datetime(2026, 1, 1)), ("text", "x"), ("digest", "0" * 63), ("mask", "A-9b")):
         with pytest.raises(release.Refused):
             release.document({"f": bad})
     assert release.document({"n": ("count", 3)}) == '{\n  "n": 3\n}\n'
@@ -157,10 +157,14 @@ def test_schema(spark, tmp_path):
     assert schema.load([f])["s"].fields[0].personal
     with pytest.raises(ValueError):
         schema.load([f, f])
+    assert schema.resolve([f], "s").key == ("k",)
+    for paths, error in (([], schema.Unknown), ([f, f], schema.Ambiguous)):
+        with pytest.raises(error):
+            schema.resolve(paths, "s")
 
 
 def test_source_declarations(spark):
-    for bad in (("avro2", ("x",), {}), ("csv", (), {}), ("jdbc", ("t",), {"password": "stated"})):
+    for bad in (("avro2", ("x",), {}), ("csv", (), {}), ("csv", ("ftp://h/x",), {}), ("jdbc", ("t",), {"password": "stated"})):
         with pytest.raises(ValueError):
             tables.Source(bad[0], bad[1], {}, bad[2])
     with pytest.raises(KeyError):
