@@ -47,7 +47,7 @@ OWN, FREQUENT = 1 << 14, 1 << 18
 #: Rows of the three kinds of features; ROWS in all.
 PART = (1 << 12, 1 << 11, 1 << 11)
 ROWS = sum(PART)
-ROUNDS, RATE, DOUBT, STEP, BLOCKS = 5, 0.4, 1.0, 8192, 64
+ROUNDS, RATE, DOUBT, STEP, BLOCKS = 3, 0.4, 1.0, 8192, 64
 SEED, CACHED, CHUNK = 0x6C6D, 250_000, 1 << 20
 #: A token's code is its rank in the table of frequent ones, or RARE and its ending. END is the hash of the end, BEGIN the code before a text.
 RARE, END, BEGIN = 1 << 20, 1 << 63, 1 << 21
@@ -320,9 +320,9 @@ def frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.nd
 
 def added(parts: DataFrame, sizes: dict[str, int]) -> dict[str, np.ndarray]:
     """parts: name, block, part, data (float32 numbers of a block of the named array, as a task has added them up). The arrays' sums
-    over all tasks, in two steps, so that neither reads more than the square root of the tasks' rows a block."""
+    over all tasks; beyond DIRECT tasks in two steps, so that neither reads more than about the square root of the tasks' rows a block."""
     spark = parts.sparkSession
-    several = max(1, int(np.sqrt(tasks(spark))))
+    several = int(np.sqrt(tasks(spark))) if tasks(spark) > DIRECT else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def row(key, total):
@@ -341,7 +341,7 @@ def added(parts: DataFrame, sizes: dict[str, int]) -> dict[str, np.ndarray]:
         if key:
             yield row(key, total)
 
-    for modulus in (several, 1):
+    for modulus in (several, 1) if several > 1 else (1,):
         keys = ("name", "block", "part")
         dealt = parts.withColumn("part", F.col("part") % modulus).repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
         parts = dealt.mapInArrow(run, "name string, block int, part int, data binary")
@@ -367,9 +367,13 @@ def _emit(arrays: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_pylist([{"name": name, "block": k, "part": part, "data": block.astype(np.float32).tobytes()}], PARTS)
 
 
+#: Tasks whose sums are added in one step.
+DIRECT = 256
+
+
 def tasks(spark: SparkSession) -> int:
-    """How many tasks add up: two a core, so that what they send is small beside what they read."""
-    return 2 * spark.sparkContext.defaultParallelism
+    """How many tasks add up at most: four a core, so that what they send is small beside what they read, and one that is lost is soon made again."""
+    return 4 * spark.sparkContext.defaultParallelism
 
 
 def _pass(rows: DataFrame, arrays, see, sizes: dict[str, int]) -> dict[str, np.ndarray]:
