@@ -552,7 +552,7 @@ def remove(docs: DataFrame) -> DataFrame:
 
 
 def strip(docs: DataFrame, words: bool = False) -> DataFrame:
-    """docs with the repeated windows gone from text (and from n_chars, if there); a character of which bytes were removed
+    """docs with the repeated windows gone from text (and from n_chars, if there; a null text's stays); a character of which bytes were removed
     goes whole. All rows and columns stay. words: windows of 51 words (WORDS) instead of 400 bytes; a passage goes from its first word's
     first byte to its last word's last."""
     names, kind = docs.columns, WORDS if words else BYTES
@@ -575,7 +575,8 @@ def strip(docs: DataFrame, words: bool = False) -> DataFrame:
             cols = {n: batch.column(n) for n in names}
             cols["text"] = pa.array(texts, pa.string())
             if "n_chars" in cols:
-                cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+                before = batch.column("n_chars")
+                cols["n_chars"] = pa.array([n if t is None else len(t) for t, n in zip(texts, before.to_pylist())], before.type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     return joined.mapInArrow(run, docs.schema)
