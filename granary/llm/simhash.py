@@ -254,8 +254,9 @@ def alike_to_others(texts: DataFrame, stay: DataFrame, least: float = SIMILARITY
     often = first.where(F.col("m") > COMMON // PART).orderBy(F.desc("m"), "k").limit(FREQUENT).toArrow()
     common, m = longs(often["k"]).view(np.uint64), longs(often["m"])
     order = np.argsort(common)
-    rows = _shared(texts.mapInArrow(_prefixes(least, common[order], m[order]), PREFIX))
-    rows = cut(rows.join(stay, "uid").select("k", "uid", "n"), "asked", narrow=True)
+    shared = _shared(texts.mapInArrow(_prefixes(least, common[order], m[order]), PREFIX))
+    rows = cut(shared.join(stay, "uid").select("k", "uid", "n"), "asked", narrow=True)
+    release(shared)
     near = _gone(texts, rows, least, pivots=True)
     return near.unionByName(_gone(texts, rows.join(near, "uid", "left_anti").select("k", "uid", "n"), least, pivots=False))
 
@@ -362,25 +363,24 @@ def _common(n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
 
 #: Texts of a group whose pairs are written one by one, of a page in larger ones, and shingles that are counted at once there.
 FEW, PAGE, WIDE = 32, 256, 4096
+#: Texts of a page of sketches, and eight-byte words of them that are compared at once.
+SKETCHES, WORDS = 2048, 1 << 21
 
 
 def _paged(texts: DataFrame, links: DataFrame, least: float) -> DataFrame:
     """links: each text of a large group with the group's first. Of the texts that large groups connect, links a, b that connect just those whose
-    shingles are alike. The texts are dealt to pages; every two pages meet in a task, which compares their sets exactly and gives a
-    forest, never pairs. A text is sent once for each page, so no group, however large, is in one task."""
-    roots = cut(components(links).withColumnRenamed("id", "u"), "large", narrow=True)
-    if roots.isEmpty():
+    shingles are alike. Many groups that share a few texts each hang together though hardly any of their texts are alike, so sketches
+    tell first which may be (see _sketched). What these connect is dealt to pages; every two pages meet in a task, which compares their sets
+    exactly and gives a forest, never pairs. A text is sent once for each page, so no group, however large, is in one task."""
+    chained = cut(components(links).withColumnRenamed("id", "u"), "chained", narrow=True)
+    if chained.isEmpty():
         return links
+    roots = cut(components(_sketched(texts, chained, least)).withColumnRenamed("id", "u"), "large", narrow=True)
+    release(chained)
+    if roots.isEmpty():
+        return roots.select(F.col("u").alias("a"), F.col("root").alias("b"))
     own = texts.join(roots.hint("shuffle_hash"), texts["uid"] == roots["u"]).select("uid", "root", F.lit(0).cast("long").alias("kept"), "text")
-    sets = cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "large-sets")
-    pages = roots.groupBy("root").agg(F.ceil(F.count("*") / PAGE).cast("int").alias("pages"))
-    own, other = F.col("own"), F.col("other")
-    dealt = (
-        sets.join(pages, "root")
-        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("pages")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-        .select("root", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"), "uid", "set")
-    )
+    dealt = _dealt(cut(own.mapInArrow(_shingle_sets, "uid long, root long, kept long, set array<long>"), "large-sets"), roots, PAGE, "set")
     at_once = WIDE
 
     def run(t: pa.Table) -> pa.Table:
@@ -408,6 +408,78 @@ def _paged(texts: DataFrame, links: DataFrame, least: float) -> DataFrame:
     return dealt.groupBy("root", "left", "right").applyInArrow(run, "a long, b long")
 
 
+def _dealt(rows: DataFrame, roots: DataFrame, size: int, *cols: str) -> DataFrame:
+    """rows: uid, root and cols. Each row once for every page of its root's, with the two pages that meet (left, right) and its own."""
+    pages = roots.groupBy("root").agg(F.ceil(F.count("*") / size).cast("int").alias("pages"))
+    own, other = F.col("own"), F.col("other")
+    return (
+        rows.join(pages, "root")
+        .withColumn("own", F.pmod(F.xxhash64("uid"), F.col("pages")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+        .select("root", F.least(own, other).alias("left"), F.greatest(own, other).alias("right"), "own", "uid", *cols)
+    )
+
+
+def _sketched(texts: DataFrame, chained: DataFrame, least: float) -> DataFrame:
+    """chained: u, root. Links a, b that connect at least those of a root's texts whose shingles are alike. A sketch has a bit for whether an odd
+    number of shingles fall on its place, so two differ in no more bits than their sets differ in shingles: no alike pair is lost. Sketches
+    have two to four bits a shingle, and pairs whose sets are not nearly alike differ in more bits than alike sets can."""
+    own = texts.join(chained.hint("shuffle_hash"), texts["uid"] == chained["u"]).select("uid", "root", "text")
+    rows = cut(own.mapInArrow(_sketches, "uid long, root long, n int, bits array<long>"), "sketches")
+
+    def run(t: pa.Table) -> pa.Table:
+        uid, n, own = (longs(t[c]) for c in ("uid", "n", "own"))
+        parent = np.arange(len(uid))
+        for i, j in sketch_pairs(n, t["bits"].combine_chunks(), least):
+            meet = (own[i] != own[j]) | (t["left"][0] == t["right"][0])  # a page's own pairs meet where it is alone
+            unite(parent, i[meet], j[meet])
+        root = flatten(parent)
+        linked = np.flatnonzero(root != np.arange(len(uid)))
+        return pa.table({"a": uid[linked], "b": uid[root[linked]]})
+
+    return _dealt(rows, chained, SKETCHES, "n", "bits").groupBy("root", "left", "right").applyInArrow(run, "a long, b long")
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        d, k = shingle_rows([t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()])
+        n = np.bincount(d, minlength=batch.num_rows)
+        bits = sketches(d, k, n)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "root")), pa.array(n.astype(np.int32)), bits], ["uid", "root", "n", "bits"])
+
+
+def sketches(d: np.ndarray, k: np.ndarray, n: np.ndarray) -> pa.ListArray:
+    """d, k: a set's number and a shingle of it; n: the sets' sizes. Parities of the shingles by their last bits, in 2 n bits or up to twice as many."""
+    wide = 1 << np.ceil(np.log2(np.maximum(1, n / 32))).astype(np.int64)  # words of 64 bits
+    at = np.concatenate([[0], np.cumsum(wide)])
+    place = at[:-1][d] * 64 + (k & (64 * wide[d] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=at[-1] * 64) & 1).astype(np.uint8)
+    return pa.ListArray.from_arrays(at.astype(np.int32), pa.array(np.packbits(odd, bitorder="little").view(np.int64)))
+
+
+def sketch_pairs(n: np.ndarray, bits: pa.ListArray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of sets of n shingles whose sizes and sketches allow them to be alike. Of sketches of two widths the wider is folded; a set with one of
+    over twice the width is too large to be alike."""
+    at, flat = bits.offsets.to_numpy(), bits.values.to_numpy().view(np.uint64)
+    wide = np.diff(at)
+    order = np.argsort(n, kind="stable")
+    rows = lambda w: order[wide[order] == w]
+    grid = lambda x, w: flat[at[x][:, None] + np.arange(w)]
+    for w in np.unique(wide).tolist():
+        one, two = rows(w), rows(2 * w)
+        both = np.concatenate([one, two])
+        a, m = grid(one, w), n[both]
+        b = np.concatenate([a, np.bitwise_xor.reduce(grid(two, 2 * w).reshape(-1, 2, w), axis=1)])
+        step = max(1, WORDS // (w * len(both)))
+        for lo in range(0, len(one), step):
+            hi = min(lo + step, len(one))
+            end = int(np.searchsorted(m, m[hi - 1] / least + 1e-6, side="right"))
+            differ = np.bitwise_count(a[lo:hi, None] ^ b[None, lo:end]).sum(axis=2, dtype=np.int64)
+            x, y = m[lo:hi, None], m[None, lo:end]
+            i, j = np.nonzero(np.triu(differ <= x + y - 2 * _need(x, y, least), 1))
+            yield one[i + lo], both[j + lo]
+
+
 def shingle_rows(texts: list[bytes], size: int = SHINGLES) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles' hashes of each text that has so many words, and the text's number; in order of text and hash."""
     docs, runs = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]

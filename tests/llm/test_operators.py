@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from granary.llm import bpe, embedding_dedup, golay, lm, mixing, quality, registry, repeats, sharding, simhash, topk, url_filter
+from granary.llm.common import cut
 from granary.llm.components import components
 
 from ..conftest import DATA
@@ -745,3 +746,52 @@ def test_slabs_cut_between_words():
                 for d in range(s.first, s.last + 1) if s.whole else ():
                     ends[d] += 1
             assert words == [t.split() for t in texts] and ends == [1] * len(texts)
+
+
+def test_sketches_lose_no_pair_that_is_alike(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "WORDS", 64)
+    rng = random.Random(11)
+    sets, numbers = [], lambda n: [rng.randrange(1 << 64) for _ in range(n)]
+    for n in (1, 2, 5, 9, 31, 33, 120, 130, 700):
+        for gone in (0, n // 18, n // 9, n // 5, n // 2):
+            base = numbers(n)
+            sets += [set(base), set(base[gone:]), set(base[gone:] + numbers(gone)), set(base + numbers(gone))]
+    d = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    k = np.array([x for s in sets for x in s], np.uint64)
+    n = np.array([len(s) for s in sets])
+    found = simhash.sketch_pairs(n, simhash.sketches(d, k, n), 0.8)
+    got = {(min(p), max(p)) for i, j in found for p in zip(i.tolist(), j.tolist())}
+    share = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i + 1, len(sets))}
+    assert got >= {p for p, x in share.items() if x >= 0.8}
+    assert not any(share[i, j] < 0.3 for i, j in got if min(n[i], n[j]) > 30)
+
+
+def test_keep_one_where_sketches_take_several_pages(spark, monkeypatch):
+    for name, n in (("FEW", 3), ("PAGE", 5), ("SKETCHES", 7)):
+        monkeypatch.setattr(simhash, name, n)
+    rng = random.Random(13)
+    base = [f"p{rng.randrange(3000)}" for _ in range(120)]
+    texts = [" ".join(base[:k]) for k in range(60, 120, 7)]
+    for _ in range(25):
+        b = list(base)
+        for at in rng.sample(range(120), rng.randrange(3, 9)):
+            b[at] = f"q{rng.randrange(10**6)}"
+        texts.append(" ".join(b))
+    no_pair_stays(spark, texts)
+
+
+def test_only_texts_that_may_be_alike_are_dealt_to_pages(spark, monkeypatch):
+    """Large groups hang together by texts that share a line or two; their sets must not be sent to every page of all of these texts."""
+    rows, rng = {}, random.Random(12)
+
+    def counted(df, name="cut", narrow=False):
+        out = cut(df, name, narrow)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "cut", counted)
+    monkeypatch.setattr(simhash, "FEW", 3)
+    lines = [" ".join(f"l{rng.randrange(3000)}" for _ in range(30)) for _ in range(10)]
+    texts = [" ".join([*rng.sample(lines, 4), *(f"own{rng.randrange(10**6)}" for _ in range(40))]) for _ in range(40)]
+    assert len(no_pair_stays(spark, texts)) == 40
+    assert rows["chained"] > 20 and "large-sets" not in rows
