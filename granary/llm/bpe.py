@@ -201,6 +201,11 @@ def codec(name: str, pattern: str, cached: int) -> Codec:
     return _codecs[name, pattern, cached]
 
 
+def forget() -> None:
+    """Workers outlive their query: another operator's tasks can let go here of what encoding has left in theirs."""
+    _codecs.clear()
+
+
 def _send(docs: DataFrame, path: str) -> str:
     docs.sparkSession.sparkContext.addFile(path)
     return path.rpartition("/")[2]

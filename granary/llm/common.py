@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,9 +62,37 @@ def cut(df: DataFrame, name: str = "cut", narrow: bool = False) -> DataFrame:
     fs.deleteOnExit(path)
     out = spark.read.schema(df.schema).parquet(at)
     out._granary_path = at
+    for made in _open.get():
+        made.append(at)
     return out
 
 
+_open: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("granary tables", default=())
+
+
+@contextlib.contextmanager
+def tables_made() -> Iterator[list[str]]:
+    """The folders of the tables that cut() writes inside."""
+    made: list[str] = []
+    token = _open.set((*_open.get(), made))
+    try:
+        yield made
+    finally:
+        _open.reset(token)
+
+
+def release_unread(spark: SparkSession, tables: list[str], reader: DataFrame) -> list[str]:
+    """Delete those of the tables (folders) that reader does not read; the others are returned."""
+    read = reader.inputFiles() if tables else []
+    parts = {part for file in read for part in file.split("/")}
+    kept = [at for at in tables if at.rpartition("/")[2] in parts]
+    for at in tables:
+        if at not in kept:
+            path, fs = _path(spark, at)
+            fs.delete(path, True)
+    return kept
+
+
 def release(*dfs: DataFrame) -> None:
     """Delete the files of DataFrames that cut() returned and that nothing reads any more."""
     for df in dfs:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import golay
+from . import bpe, golay
 from .arrow import longs, slices
 from .common import cut, partitions, release
 from .components import components, flatten, unite
@@ -224,6 +224,7 @@ def keep_one(docs: DataFrame, seeds: int = SEEDS, least: float = SIMILARITY) ->
 
 def _word_prints(seeds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe.forget()  # an earlier run's encoder, if the worker is still there
         for batch in slices(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             same = [xxhash.xxh3_128_hexdigest(b" ".join(t.lower().split())) for t in texts]

@@ -795,3 +795,9 @@ def test_only_texts_that_may_be_alike_are_dealt_to_pages(spark, monkeypatch):
     texts = [" ".join([*rng.sample(lines, 4), *(f"own{rng.randrange(10**6)}" for _ in range(40))]) for _ in range(40)]
     assert len(no_pair_stays(spark, texts)) == 40
     assert rows["chained"] > 20 and "large-sets" not in rows
+
+
+def test_the_search_for_copies_lets_go_of_the_encoder(monkeypatch):
+    """A worker that has encoded must not hold the encoder's caches while it looks for copies."""
+    monkeypatch.setattr(bpe, "_codecs", {("name", "pattern", 1): None})
+    assert not list(simhash._word_prints(1)(iter([]))) and not bpe._codecs

@@ -2,7 +2,7 @@ import hashlib
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from granary.llm import mixing
+from granary.llm import common, mixing
 from granary.llm.common import cut
 
 from ..conftest import DATA
@@ -83,3 +83,25 @@ def test_an_empty_table_goes_through_all_stages(spark):
         docs = cut(stage(spark, docs, DATA))
         assert docs.columns == odd_documents(spark).columns and docs.count() == 0
     assert pipeline.STAGES[-1][1](spark, docs, DATA).count() == 0
+
+
+def test_a_stage_deletes_what_the_stages_before_have_left(spark, tmp_path, monkeypatch):
+    """Tables as large as the documents must not add up over the stages; what docs read themselves stays."""
+    spark = spark.newSession()
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}/shared")
+    tables = lambda kind: [p for p in (tmp_path / "shared").glob(f"granary-{kind}-*") if any(p.iterdir())]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(200)
+    for k, (_, stage) in enumerate(pipeline.STAGES):
+        out = stage(spark, docs, "some folder")
+        if k:
+            out.write.parquet(f"{tmp_path}/{k}")
+            docs = spark.read.parquet(f"{tmp_path}/{k}")
+        else:
+            docs = out  # not written
+        left = {kind: len(tables(kind)) for kind in ("docs", "rows", "mix")}
+        assert left == [dict(docs=a, rows=b, mix=c) for a, b, c in ((0, 0, 0), (1, 0, 0), (0, 1, 0), (0, 0, 1), (0, 0, 1))][k]
+    assert docs.count() > 0
+    first = pipeline.STAGES[1][1](spark, spark.read.parquet(f"{DATA}/documents.parquet"), "another")
+    pipeline.STAGES[2][1](spark, first, "another").collect()  # reads the first one's tables, though it was not written
+    pipeline.STAGES[2][1](spark, first, "a third")
+    assert first.count() > 0
