@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -258,15 +259,14 @@ def find(docs: DataFrame, kind: Windows = BYTES) -> tuple[DataFrame, DataFrame]:
     times = F.col("copies") * F.col("n")
     unlike = cut(
         seen.groupBy("x", "y")
-        .agg(F.sum(times).alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.min(F.struct("t", "rep", "a")).alias("at"))
-        .select("x", "y", "n", "left", "right", "at.*"),
+        .agg(F.sum(times).alias("n"), *(F.first(c).alias(c) for c in ("left", "right", "t", "rep", "a"))),  # all of one row
         "pass1",
     )
     lo, hi = F.greatest(F.col("a") - kind.reach, F.lit(0)), F.least(F.col("a") + kind.length, F.col("size"))
     whole = (
         seen.where("copies = 1")
         .select("t", "rep", "x", "y", lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
-        .join(unlike.where("n > 1").select("x", "y"), ["x", "y"])
+        .join(unlike.where("n > 1").select("x", "y").hint("shuffle_hash"), ["x", "y"])
         .select("t", "rep", "lo", "hi")
     )
     own = one.where("copies = 1").select("t", "rep", F.explode("own").alias("x")).select("t", "rep", "x.*")
@@ -277,7 +277,7 @@ def find(docs: DataFrame, kind: Windows = BYTES) -> tuple[DataFrame, DataFrame]:
     ).where("digit <> 0")
     many = both.groupBy("digit").agg(F.count("*").alias("m"), F.bool_or("asks").alias("any"))
     many = many.where("m > 1 and any").select("digit", (F.col("m") > MANY).alias("hot"))
-    wanted = both.join(many, "digit").groupBy("t", "rep").agg(F.collect_list(F.struct("a", "asks", "digit", "hot")).alias("at"))
+    wanted = both.join(many.hint("shuffle_hash"), "digit").groupBy("t", "rep").agg(F.collect_list(F.struct("a", "asks", "digit", "hot")).alias("at"))
     text = docs.select(F.col("doc_id").alias("d"), "text", text_key(F.col("text")).alias("k"))
     found = text.join(wanted.hint("shuffle_hash"), (text.k == wanted.t) & text.d.eqNullSafe(wanted.rep)).select("t", "rep", "text", "at")
     around = cut(found.mapInArrow(_surroundings(kind), SURROUNDING), "around")
@@ -344,15 +344,19 @@ def matrix(data: list[bytes], skip: np.ndarray, kind: Windows) -> tuple[np.ndarr
     0 elsewhere; and how many symbols each has."""
     if kind.words:
         number: dict[bytes, int] = {}
-        words = [d.split() for d in data]
-        size = np.array([len(w) for w in words], np.int64)
-        flat = np.array([number.setdefault(w, len(number) + 1) for row in words for w in row], np.uint32)
+        coded = {d: [number.setdefault(w, len(number) + 1) for w in d.split()] for d in dict.fromkeys(data)}
+        size = np.array([len(coded[d]) for d in data], np.int64)
+        flat = np.fromiter(chain.from_iterable(coded[d] for d in data), np.uint32, int(size.sum()))
     else:
         size = np.array([len(d) for d in data], np.int64)
         flat = np.frombuffer(b"".join(data), np.uint8)
     out = np.zeros((len(data), -(-kind.wide // 8) * 8), flat.dtype)
-    row = np.repeat(np.arange(len(data)), size)
-    out[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size) + skip[row]] = flat
+    full = size == kind.wide
+    inside = np.repeat(full, size)
+    out[full, : kind.wide] = flat[inside].reshape(-1, kind.wide)
+    row, some = np.flatnonzero(~full), size[~full]  # at an end of their text
+    place = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some - skip[row], some)
+    out[np.repeat(row, some), place] = flat[~inside]
     return out, size
 
 
@@ -366,19 +370,29 @@ def digits(part: np.ndarray) -> np.ndarray:
 
 def msd_sort(group: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Radix sort by most-significant-digit passes within the groups that are given. Returns the rows in order, and for each place
-    the first place of the rows that are equal to it. A pass looks only at rows whose group still holds several."""
+    the first place of the rows that are equal to it. A pass looks only at rows whose group still holds several, and sorts those whose digits differ."""
     order = np.argsort(group, kind="stable")
     label = _firsts(group[order])
     live = np.flatnonzero(_several(label))
-    for column in by.T:
+    for column in np.ascontiguousarray(by.T):
         if not len(live):
             break
         rows, of = order[live], label[live]
-        rows = rows[np.lexsort((column[rows], of))]
-        order[live], d = rows, column[rows]
-        fresh = np.ones(len(live), bool)
+        d = column[rows]
+        joined = of[1:] == of[:-1]
+        differ = joined & (d[1:] != d[:-1])
+        if not differ.any():
+            continue
+        number = np.concatenate([[0], np.cumsum(~joined)])
+        mixed = np.zeros(number[-1] + 1, bool)
+        mixed[number[1:][differ]] = True
+        at = np.flatnonzero(mixed[number])  # groups of one digit stay as they are
+        rows, of, d, places = rows[at], of[at], d[at], live[at]
+        sort = np.lexsort((d, of))
+        order[places], d = rows[sort], d[sort]
+        fresh = np.ones(len(at), bool)
         fresh[1:] = (of[1:] != of[:-1]) | (d[1:] != d[:-1])
-        label[live] = live[np.maximum.accumulate(np.where(fresh, np.arange(len(live)), 0))]
+        label[places] = places[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
         live = live[_several(label[live])]
     return order, label
 
@@ -418,13 +432,30 @@ def marks(grid: np.ndarray, skip: np.ndarray, size: np.ndarray, group: np.ndarra
     grid, skip, size = grid[rows], skip[rows], size[rows]
     before, lcb = _side(core, np.ascontiguousarray(grid[:, :half][:, ::-1]))
     behind, lca = _side(core, np.ascontiguousarray(grid[:, length : length + half]))
+    begin = np.flatnonzero(_firsts(core) == np.arange(len(core)))
+    count = np.diff(np.append(begin, len(core)))
+    of = np.repeat(np.arange(len(begin)), count)
+    # columns at which a group's marks may differ from the column before: a neighbour comes in or leaves, or a window of a row begins or ends to be there
+    when = np.concatenate([half - lcb, lca + 1, skip, skip + size - length + 1])
+    event = when * len(begin) + np.concatenate([of, of, of, of])
+    event = np.unique(event[(when > 0) & (when <= half) & np.concatenate([lcb >= 0, lca >= 0, np.ones(2 * len(of), bool)])])
+    when, which = np.divmod(event, len(begin))
+    upto = np.searchsorted(when, np.arange(half + 2))
     left, right = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+    now, marked = np.zeros(len(rows), bool), np.zeros((half + 1, len(rows)), bool)
     for x in range(half + 1):
-        left[before], right[behind] = np.cumsum(lcb < half - x), np.cumsum(lca < x)
-        i = np.flatnonzero((skip <= x) & (skip + size >= x + length))
-        key = left[i] * (len(rows) + 1) + right[i]
-        by = np.argsort(key)
-        out[rows[i[by[_several(key[by])]]], x] = True
+        g = which[upto[x] : upto[x + 1]] if x else np.arange(len(begin))
+        if len(g):
+            n = count[g]
+            k = np.repeat(begin[g] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            left[before[k]], right[behind[k]] = np.cumsum(lcb[k] < half - x), np.cumsum(lca[k] < x)
+            i = k[(skip[k] <= x) & (skip[k] + size[k] >= x + length)]
+            key = left[i] * (len(rows) + 1) + right[i]
+            by = np.argsort(key)
+            now[k] = False
+            now[i[by[_several(key[by])]]] = True
+        marked[x] = now
+    out[rows] = marked.T
     return out
 
 

@@ -801,3 +801,30 @@ def test_the_search_for_copies_lets_go_of_the_encoder(monkeypatch):
     """A worker that has encoded must not hold the encoder's caches while it looks for copies."""
     monkeypatch.setattr(bpe, "_codecs", {("name", "pattern", 1): None})
     assert not list(simhash._word_prints(1)(iter([]))) and not bpe._codecs
+
+
+def test_passes_sort_only_groups_whose_digits_differ(monkeypatch):
+    group, by = np.repeat([4, 2, 9], 5), np.repeat(np.array([[7, 1], [3, 3], [5, 0]], np.uint64), 5, axis=0)
+    monkeypatch.setattr(np, "lexsort", None)  # none of these groups needs it
+    order, label = repeats.msd_sort(group, by)
+    assert group[order].tolist() == sorted(group.tolist()) and label.tolist() == [0] * 5 + [5] * 5 + [10] * 5
+
+
+def test_marks_are_those_of_plain_comparison():
+    rng, kind = random.Random(14), repeats.Windows(10, 3, False)
+    for _ in range(40):
+        data, group, skip = [], [], []
+        for g in range(6):
+            base = bytes(rng.choice(b"abc") for _ in range(kind.wide))
+            for _ in range(rng.randrange(1, 6)):
+                b = bytearray(base)
+                b[rng.randrange(kind.wide)] = rng.choice(b"abc")
+                lo, hi = rng.choice((0, 0, rng.randrange(kind.half + 1))), kind.wide - rng.choice((0, 0, rng.randrange(kind.half)))
+                data.append(bytes(b[lo:hi]))
+                group.append(g)
+                skip.append(lo)
+        grid, size = repeats.matrix(data, np.array(skip), kind)
+        got = repeats.marks(grid, np.array(skip), size, np.array(group), kind)
+        at = lambda k, x: data[k][x - skip[k] : x - skip[k] + kind.length] if skip[k] <= x and x + kind.length <= skip[k] + len(data[k]) else None
+        seen = Counter((group[k], x, at(k, x)) for k in range(len(data)) for x in range(kind.half + 1))
+        assert got.tolist() == [[at(k, x) is not None and seen[group[k], x, at(k, x)] > 1 for x in range(kind.half + 1)] for k in range(len(data))]
