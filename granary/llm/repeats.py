@@ -315,30 +315,32 @@ def _surroundings(kind: Windows):
     later, skip symbols are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows, texts = [], _bytes(batch.column("text"))
-            whole = zip(*(batch.column(c).to_pylist() for c in ("t", "rep")), texts, symbols(texts, kind), batch.column("at").to_pylist())
-            for t, rep, text, s, at in whole:
-                for x in at:
-                    base = x["a"] - (kind.half if x["digit"] & 1 else kind.reach)
-                    skip = max(0, -base)
-                    data = s.bytes(text, base + skip, min(base + kind.wide, len(s.of)))
-                    rows.append((t, rep, x["asks"], x["hot"], x["digit"], base, skip, data))
-                    if len(rows) >= 4096:
-                        yield _rows(rows)
-                        rows = []
-            yield _rows(rows)
+        for batch in slices(batches, 256):
+            texts = _bytes(batch.column("text"))
+            at = batch.column("at")
+            ends = at.offsets.to_numpy()
+            sub = at.flatten()
+            a, digit = sub.field("a").to_numpy().astype(np.int64), sub.field("digit").to_numpy()
+            doc = np.repeat(np.arange(len(texts)), np.diff(ends))
+            given = symbols(texts, kind)
+            base = a - np.where(digit & 1, kind.half, kind.reach)
+            skip = np.maximum(0, -base)
+            lo, hi = base + skip, np.minimum(base + kind.wide, np.array([len(s.of) for s in given], np.int64)[doc])
+            ends = ends - ends[0]
+            data = []
+            for text, s, k, upto in zip(texts, given, ends[:-1].tolist(), ends[1:].tolist()):
+                first, last = lo[k:upto], hi[k:upto]
+                if s.start is not None:
+                    first, last = s.start[first], s.end[last - 1]
+                data += [text[x:y] for x, y in zip(first.tolist(), last.tolist())]
+            cols = [batch.column(c).take(pa.array(doc)) for c in ("t", "rep")] + [sub.field("asks"), sub.field("hot"), pa.array(digit), pa.array(base)]
+            for k in range(0, len(data), 4096):
+                part = [*(c.slice(k, 4096) for c in cols), pa.array(skip[k : k + 4096].astype(np.int32)), pa.array(data[k : k + 4096], pa.binary())]
+                yield pa.RecordBatch.from_arrays(part, ["t", "rep", "asks", "hot", "digit", "base", "skip", "bytes"])
 
     return run
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    names = ("t", "rep", "asks", "hot", "digit", "base", "skip", "bytes")
-    cols = zip(*rows) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names)
-
-
 def matrix(data: list[bytes], skip: np.ndarray, kind: Windows) -> tuple[np.ndarray, np.ndarray]:
     """The symbols as rows (a word is numbered as it comes up, so that equal numbers are equal words), symbol k in column skip + k and
     0 elsewhere; and how many symbols each has."""
@@ -471,8 +473,11 @@ def _solve(kind: Windows):
                 part = t.slice(at, upto - at).combine_chunks()
                 skip, base = longs(part["skip"]), longs(part["base"])
                 grid, size = matrix(part["bytes"].to_pylist(), skip, kind)
-                i, x = np.nonzero(marks(grid, skip, size, longs(part["digit"]), kind) & longs(part["asks"])[:, None])
-                r, a, b = merged(i, base[i] + x, base[i] + x + kind.length)
+                found = marks(grid, skip, size, longs(part["digit"]), kind) & longs(part["asks"])[:, None]
+                r = np.flatnonzero(found.any(axis=1))
+                found = found[r]  # a row's windows all overlap: half is less than length
+                a = base[r] + found.argmax(axis=1)
+                b = base[r] + kind.half - found[:, ::-1].argmax(axis=1) + kind.length
                 doc.append(longs(part["t"])[r])
                 rep.append(part["rep"].combine_chunks().take(pa.array(r)))
                 lo.append(a)
