@@ -9,12 +9,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
 from granary.llm import bpe, embedding_dedup, golay, lm, mixing, quality, registry, repeats, sharding, simhash, topk, url_filter
+from granary.llm import components as components_module
 from granary.llm.common import cut
 from granary.llm.components import components
 
@@ -59,6 +61,21 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 20: 1, 7: 7, 8: 7, 9: 7, **{100 + k: 100 for k in range(31)}}
 
 
+def test_components_of_many_links_a_node(spark, monkeypatch):
+    """Rounds begin with a forest of each task's links, however many links a node has."""
+    began, star = [], components_module._large_star
+    monkeypatch.setattr(components_module, "_large_star", lambda e: began.append(e.count()) or star(e))
+    pairs = [(a, b) for a in range(60) for b in range(a)] + [(100, 200)]
+    got = {r.id: r.root for r in components(spark.createDataFrame(pairs, "a long, b long").coalesce(1)).collect()}
+    assert got == {**dict.fromkeys(range(60), 0), 100: 100, 200: 100}
+    assert began[0] < len(pairs) // 4  # 60 in each task at most
+    monkeypatch.setattr(components_module, "HELD", 50)
+    u, v = (pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1))
+    trees = list(components_module._forests(iter(pa.RecordBatch.from_arrays([u, v], ["u", "v"]).slice(at, 40) for at in range(0, len(pairs), 40))))
+    assert len(trees) > 2 and all(0 < t.num_rows < 80 for t in trees)
+    assert closure(60, lambda i, j: any((i, j) in zip(t["u"].to_pylist(), t["v"].to_pylist()) for t in trees)) == [0] * 60
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://Example.COM/en/x?q#f", "http://www.example.com/en/", "http://notexample.com/en/", "http://a.net/fr/1", "http://net/es/", "http://a.org:80/x", "http://a.com", "http://ÀB.com/", "http://good.org/", "http://bad.org/", "http://a.net/fr/1"]
     html = {12: '<a href="http://a.org:80/">', 4: None, 13: "<a href='//a.net/fr/'>", 10: '<a href="http://good.org">', 5: "<a href=https://good.org/>"}
