@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-A pre-token is a linked list of tokens. Every adjacent pair that has a rank is put in that rank's bucket, and two
-levels of bitmaps (WORD bits below, one bit for each word above) say which buckets are filled: a find-first-set step on
-each gives the lowest rank at once. A bucket is a heap of positions, so that equal ranks go from left to right; an entry whose pair
-has changed is skipped when it comes up. Each merge adds at most two entries, so a pre-token of n bytes takes
-O(n log n) steps, however long it is.
+A pre-token is a linked list of tokens, and pre-tokens that are new in a batch of texts share one queue. Every adjacent pair that has a rank is
+put in that rank's bucket, and two levels of bitmaps (WORD bits below, one bit for each word above) say which buckets are filled: a
+find-first-set step on each gives the lowest rank at once. A bucket's positions are sorted when its turn comes, so that equal ranks go from left
+to right; an entry whose pair has changed is skipped, and where a merge makes a pair of lower rank, what its pre-token has left in the bucket
+waits for that one. Each merge adds at most two entries.
 
 Defined cases: a null text is an empty one and has no tokens; every byte has a token of its own, so any text has an encoding and
 decoding gives its bytes back; repeated rows are encoded one by one; other columns are not read.
@@ -17,7 +17,6 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +28,8 @@ from .arrow import slices
 
 #: Parts held in each of a codec's caches, unless the caller says otherwise, and the longest part held.
 CACHED, CACHED_BYTES, WORD = 160_000, 64, 256
+#: Characters of texts that are looked through for new pre-tokens at once, and pre-tokens that share a queue.
+LEARNED, MERGED = 1 << 22, 1024
 
 
 class Recent(dict):
@@ -59,6 +60,13 @@ class Codec:
         self.bytes = {v: k for k, v in ranks.items()}
         self.find = regex.compile(pattern).findall
         self.filled = [0] * (self.size // WORD + 1)  # the lower bitmap; empty between calls
+        self.singles = np.array([ranks.get(bytes([a]), -1) for a in range(256)], np.int32)
+        if self.singles.min() < 0:
+            raise ValueError("every byte must have a token of its own")
+        self.pairs = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
+        # what learn has merged and taken apart and nobody has asked for yet
+        self.fresh: dict[bytes, list[int]] = {}
+        self.cuts: dict[str, list[bytes]] = {}
         self.pieces = Recent(self.merge, cached * 3 // 2)
         self.heads, self.parts = Recent(self._say, cached), Recent(lambda part: self._say(" " + part), cached)
         self.arrays = Recent(lambda part: array("i", self.ids(part)), cached)
@@ -69,76 +77,128 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
-        get = self.ranks.get
-        if (whole := get(piece)) is not None:
+        if (got := self.fresh.pop(piece, None)) is not None:
+            return got
+        if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        n = len(piece)
+        return self.merge_all([piece])[0]
+
+    def merge_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """Token ids of each pre-token; none of them is a token itself. One queue holds the pairs of all: no pair reaches over a
+        pre-token's end, and a merge in one leaves the others as they are, so in each the order is that of a queue of its own."""
+        get, text = self.ranks.get, b"".join(pieces)
+        n, ends = len(text), np.cumsum([len(x) for x in pieces])
+        raw = np.frombuffer(text, np.uint8).astype(np.int32)
+        first = self.pairs[(raw[:-1] << 8) | raw[1:]]
+        first[ends[:-1] - 1] = -1
+        token, pair = self.singles[raw].tolist(), [*first.tolist(), -1]  # pair: the rank under which a position is queued now
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n  # the rank under which a position is queued now
-        buckets: dict[int, list[int]] = {}
+        edge = bytearray(n + 1)
+        edge[0] = 1
+        for k in ends.tolist():
+            edge[k] = 1
         filled, words = self.filled, 0
-        for k in range(n - 1):
-            rank = get(piece[k : k + 2])
-            if rank is not None:
-                pair[k] = rank
-                if rank in buckets:
-                    buckets[rank].append(k)
-                else:
-                    buckets[rank] = [k]
-                    filled[rank // WORD] |= 1 << rank % WORD
-                    words |= 1 << rank // WORD
+        order = np.flatnonzero(first >= 0)
+        order = order[np.argsort(first[order], kind="stable")]
+        found, start = np.unique(first[order], return_index=True)
+        places, start = order.tolist(), [*start.tolist(), len(order)]
+        buckets: dict[int, list[int]] = {}
+        for k, rank in enumerate(found.tolist()):
+            buckets[rank] = places[start[k] : start[k + 1]]
+            filled[rank // WORD] |= 1 << rank % WORD
+            words |= 1 << rank // WORD
         while words:
             word = (words & -words).bit_length() - 1
             bits = filled[word]
             rank = word * WORD + (bits & -bits).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                k = heappop(bucket)
-            else:
-                k = bucket[0]
-                del buckets[rank]
-                filled[word] = bits = bits & (bits - 1)
-                if not bits:
-                    words &= words - 1
-            if pair[k] != rank:
-                continue  # stale
-            gone = after[k]
-            pair[gone] = pair[k] = -1
-            after[k] = following = after[gone]
-            if following < n:
-                before[following] = k
-                rank = get(piece[k : after[following]])
-                if rank is not None:
-                    pair[k] = rank
-                    if rank in buckets:
-                        heappush(buckets[rank], k)
+            filled[word] = bits = bits & (bits - 1)
+            if not bits:
+                words &= words - 1
+            bucket = buckets.pop(rank)
+            bucket.sort()
+            wait, waiting = 0, []
+            for k in bucket:
+                if k < wait:
+                    waiting.append(k)
+                    continue
+                if pair[k] != rank:
+                    continue  # stale
+                gone = after[k]
+                pair[gone] = pair[k] = -1
+                token[k] = rank
+                after[k] = following = after[gone]
+                low = rank
+                if not edge[following]:
+                    before[following] = k
+                    new = get(text[k : after[following]])
+                    if new is not None:
+                        pair[k] = low = new
+                        if new in buckets:
+                            buckets[new].append(k)
+                        else:
+                            buckets[new] = [k]
+                            filled[new // WORD] |= 1 << new % WORD
+                            words |= 1 << new // WORD
+                if not edge[k]:
+                    left = before[k]
+                    new = get(text[left:following])
+                    if new is None:
+                        pair[left] = -1
                     else:
-                        buckets[rank] = [k]
-                        filled[rank // WORD] |= 1 << rank % WORD
-                        words |= 1 << rank // WORD
-            left = before[k]
-            if left >= 0:
-                rank = get(piece[left:following])
-                if rank is None:
-                    pair[left] = -1
-                else:
-                    pair[left] = rank
-                    if rank in buckets:
-                        heappush(buckets[rank], left)
-                    else:
-                        buckets[rank] = [left]
-                        filled[rank // WORD] |= 1 << rank % WORD
-                        words |= 1 << rank // WORD
-        out, k, ranks = [], 0, self.ranks
-        while k < n:
-            out.append(ranks[piece[k : after[k]]])
-            k = after[k]
+                        pair[left] = new
+                        if new < low:
+                            low = new
+                        if new in buckets:
+                            buckets[new].append(left)
+                        else:
+                            buckets[new] = [left]
+                            filled[new // WORD] |= 1 << new % WORD
+                            words |= 1 << new // WORD
+                if low < rank:  # it comes before what this pre-token has left of this rank
+                    wait = edge.index(1, following)
+            if waiting:
+                buckets[rank] = waiting
+                filled[rank // WORD] |= 1 << rank % WORD
+                words |= 1 << rank // WORD
+        out, k = [], 0
+        for end in ends.tolist():
+            own = []
+            while k < end:
+                own.append(token[k])
+                k = after[k]
+            out.append(own)
         return out
 
+    def learn(self, texts: list[str], cache: Recent, before: str = "") -> None:
+        """Merges together, MERGED at a time, the pre-tokens that are new in parts of the texts (of LEARNED characters of them at most). cache: knows
+        parts of earlier texts, with before in front. What is not learned here is merged when it is asked for, one by one."""
+        size, heads, parts = 0, set(), set()
+        for text in texts:
+            if size + len(text) <= LEARNED:
+                head, *rest = text.split(" ")
+                heads.add(head)
+                parts.update(rest)
+                size += len(text)
+        get, held, old, pieces = self.ranks.get, self.pieces, self.pieces.old, {}
+        new = [" " + x for x in parts if len(x) < CACHED_BYTES and before + x not in cache and before + x not in cache.old]
+        new += [x for x in heads if len(x) < CACHED_BYTES and x not in self.heads and x not in self.heads.old]
+        self.cuts = {}
+        for part in new:
+            self.cuts[part] = own = [match.encode() for match in self.find(part)]
+            for piece in own:
+                if piece not in held and piece not in old and get(piece) is None:
+                    pieces[piece] = None
+        every = list(pieces)
+        self.fresh = {}
+        for at in range(0, len(every), MERGED):
+            some = every[at : at + MERGED]
+            self.fresh.update(zip(some, self.merge_all(some)))
+
     def ids(self, text: str) -> list[int]:
         out: list[int] = []
-        for match in self.find(text):
-            out += self.pieces[match.encode()]
+        own = self.cuts.pop(text, None)
+        for piece in [match.encode() for match in self.find(text)] if own is None else own:
+            out += self.pieces[piece]
         return out
 
     def decode(self, ids) -> bytes:
@@ -218,7 +278,9 @@ def encode(docs: DataFrame, path: str, pattern: str, cached: int = CACHED) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(name, pattern, cached)
         for batch in slices(batches):
-            rows = [own.digest(t.as_py() or "") for t in batch.column("text")]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            own.learn(texts, own.parts)
+            rows = [own.digest(t) for t in texts]
             sha = lambda k: pa.array([hashlib.sha256(r[k]).hexdigest() for r in rows], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), sha(1), sha(2)],
@@ -242,7 +304,9 @@ def tokens(docs: DataFrame, path: str, pattern: str, cached: int = CACHED) -> Da
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                got = [own.encode(t.as_py() or "") for t in part.column("text")]
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                own.learn(texts, own.arrays, " ")
+                got = [own.encode(t) for t in texts]
                 n = np.array([len(g) for g in got], np.int32)
                 flat = np.concatenate([np.frombuffer(g, np.int32) for g in got if len(g)] or [np.empty(0, np.int32)])
                 ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(flat))

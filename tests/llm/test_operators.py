@@ -400,6 +400,33 @@ def test_bpe_odd_texts(encoding):
         assert said == " ".join(map(str, ids)).encode() and n == len(ids) and decoded == t.encode() and codec.encode(t).tolist() == ids
 
 
+def plain_merge(ranks, piece):
+    parts = [piece[k : k + 1] for k in range(len(piece))]
+    while best := min(((ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None):
+        parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+    return [ranks[x] for x in parts]
+
+
+def test_bpe_pre_tokens_share_a_queue():
+    """Ranks in any order, so that a merge often makes a pair of lower rank."""
+    rng = random.Random(3)
+    longer = list({"".join(rng.choice("abc") for _ in range(rng.randrange(2, 7))).encode() for _ in range(300)})
+    rng.shuffle(longer)
+    ranks = {bytes([k]): k for k in range(256)} | {x: 256 + k for k, x in enumerate(longer)}
+    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
+    pieces = ["".join(rng.choice("abc") for _ in range(rng.randrange(2, 30))).encode() for _ in range(4000)]
+    pieces = [x for x in pieces if x not in ranks]
+    want = [plain_merge(ranks, x) for x in pieces]
+    assert codec.merge_all(pieces) == want
+    assert [codec.merge(x) for x in pieces[:300]] == want[:300]
+    text, calls, merge_all = " ".join(x.decode() for x in pieces), [], codec.merge_all
+    codec.merge_all = lambda some: calls.append(len(some)) or merge_all(some)
+    codec.learn([text, text], codec.parts)
+    n, said, decoded = codec.digest(text)
+    assert decoded == text.encode() and n == said.count(b" ") + 1
+    assert len(calls) <= 2 + len(pieces) // bpe.MERGED  # together, not one by one
+
+
 def plain_repeats(texts, length):
     seen = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
     out = []
