@@ -427,6 +427,43 @@ def test_bpe_pre_tokens_share_a_queue():
     assert len(calls) <= 2 + len(pieces) // bpe.MERGED  # together, not one by one
 
 
+def test_bpe_new_parts_are_made_together(monkeypatch, encoding):
+    """Parts that are new go into the caches at once; nothing of them is merged or joined one by one, whatever the white space between them."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        codec = bpe.Codec.load(f, public_tokenizers.PATTERN, 5000)
+    rng, alone = random.Random(15), []
+    word = lambda: "".join(rng.choice("aeiounrst\nßéç中,.'s1") for _ in range(rng.randrange(1, 14)))
+    texts = [rng.choice((" ", " ", "  ", " \t")).join(word() for _ in range(rng.randrange(40))) + rng.choice(("", "", " ")) for _ in range(300)] + ["", " ", "\n"]
+    for cache in codec.heads, codec.parts, codec.arrays:
+        monkeypatch.setattr(cache, "make", lambda x, make=cache.make: alone.append(x) or make(x))
+    for some in texts[:150], texts[150:], texts:
+        told = [codec.tell(*cut) for cut in codec.learn(some, codec.parts)]
+        joined = [codec.join(*cut) for cut in codec.learn(some, codec.arrays, " ")]
+        for t, (n, said, decoded), ids in zip(some, told, joined, strict=True):
+            want = encoding.encode_ordinary(t)
+            assert ids.tolist() == want and n == len(want) and said == " ".join(map(str, want)).encode() and decoded == t.encode()
+    assert not [x for x in alone if len(x) < bpe.CACHED_BYTES]
+    assert sum(len(c) + len(c.old) for c in (codec.heads, codec.parts, codec.arrays)) <= 30_000
+
+
+def test_bpe_texts_are_looked_through_in_groups(monkeypatch):
+    monkeypatch.setattr(bpe, "LEARNED", 10)
+    assert list(bpe.groups(["a" * 4, "b" * 6, "", "c", "d" * 30, "e"])) == [["a" * 4, "b" * 6, ""], ["c"], ["d" * 30], ["e"]]
+    assert list(bpe.groups([])) == []
+
+
+def test_bpe_pairs_of_tokens():
+    rng = random.Random(16)
+    for size in 0, 1, 40, 3000:
+        longer = list({bytes(rng.choice(b"abcd") for _ in range(rng.randrange(2, 9))) for _ in range(size)})
+        ranks = {bytes([k]): k for k in range(256)} | {x: 256 + k for k, x in enumerate(longer)}
+        pairs, every = bpe.Pairs(ranks, len(ranks) + 1), list(ranks)
+        some = [(rng.choice(every), rng.choice(every)) for _ in range(3000)] + [(x[:k], x[k:]) for x in longer for k in range(1, len(x)) if x[:k] in ranks and x[k:] in ranks]
+        left, right = np.array([(ranks[a], ranks[b]) for a, b in some], np.int64).T
+        assert pairs.ranks(left, right).tolist() == [ranks.get(a + b, -1) for a, b in some]
+        assert (pairs.ranks(left, np.full(len(left), len(ranks))) == -1).all()  # the end of a pre-token makes no pair
+
+
 def plain_repeats(texts, length):
     seen = Counter(t[p : p + length] for t in texts for p in range(len(t) - length + 1))
     out = []
