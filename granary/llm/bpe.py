@@ -15,6 +15,7 @@ decoding gives its bytes back; repeated rows are encoded one by one; other colum
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from array import array
@@ -35,7 +36,7 @@ from .arrow import slices
 CACHED, CACHED_BYTES, WORD = 160_000, 64, 64
 #: Characters of texts that are looked through for new parts at once (a longer text is looked through alone), and new parts whose pre-tokens share a
 #: queue, with their characters.
-LEARNED, MERGED, MERGED_CHARS = 1 << 22, 1 << 16, 1 << 19
+LEARNED, MERGED, MERGED_CHARS = 1 << 22, 1 << 16, 1 << 18
 
 
 class Recent(dict):
@@ -89,12 +90,6 @@ class Codec:
         if self.singles.min() < 0:
             raise ValueError("every byte must have a token of its own")
         self.pairs = Pairs(ranks, self.size + 1)
-        self.whole: dict[str, int] = {}  # tokens that can be a pre-token of a text
-        for piece, rank in ranks.items():
-            try:
-                self.whole[piece.decode()] = rank
-            except UnicodeDecodeError:
-                pass
         self.pieces = Recent(self.merge, cached * 3 // 2)
         self.heads, self.parts = Recent(self._say, cached), Recent(lambda part: self._say(" " + part), cached)
         self.arrays = Recent(lambda part: array("i", self.ids(part)).tobytes(), cached)
@@ -291,7 +286,8 @@ class Codec:
             sizes.append(len(own))
             order += map(number.__getitem__, own)
         pieces = list(number)
-        whole = np.array([*map(self.whole.get, pieces, [-1] * len(pieces))], np.int64)
+        get = self.ranks.get
+        whole = np.array([get(piece.encode(), -1) for piece in pieces], np.int64)
         new = [piece for piece, token in zip(pieces, whole.tolist()) if token < 0]
         text = "".join(new).encode()
         places = np.flatnonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)  # where characters begin
@@ -359,13 +355,13 @@ class Pairs:
     """The ranks of pairs of tokens: a cuckoo table, where a pair stands in one of two places."""
 
     def __init__(self, ranks: dict[bytes, int], base: int):
-        get, both = ranks.get, []
+        get, both = ranks.get, array("q")
         for piece, rank in ranks.items():
             for k in range(1, len(piece)):
                 if (a := get(piece[:k])) is not None and (b := get(piece[k:])) is not None:
-                    both.append((a * base + b, rank))
+                    both.extend((a * base + b, rank))
         self.base = base
-        keys, found = np.array(both, np.int64).reshape(-1, 2).T
+        keys, found = np.ascontiguousarray(np.array(both, np.int64).reshape(-1, 2).T)
         bits = max(4, (2 * len(keys)).bit_length() + 1)
         self.shift, rng, every = np.uint64(64 - bits), np.random.default_rng(1), np.arange(len(keys))
         owner, moved = np.empty(1 << bits, np.int64), None
@@ -380,7 +376,7 @@ class Pairs:
                 if not len(moved):
                     break
                 second[moved] ^= 1
-        self.keys, self.found = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        self.keys, self.found = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
         at = places[second, every]
         self.keys[at], self.found[at] = keys, found
 
@@ -439,8 +435,13 @@ def codec(name: str, pattern: str, cached: int) -> Codec:
 
 
 def forget() -> None:
-    """Workers outlive their query: another operator's tasks can let go here of what encoding has left in theirs."""
-    _codecs.clear()
+    """Workers outlive their query: another operator's tasks can let go here of what encoding has left in theirs. A codec's caches refer to it, so
+    it goes only when such cycles are looked for; and what it has taken is given back to the system."""
+    if _codecs:
+        _codecs.clear()
+        gc.collect()
+        for pool in pa.default_memory_pool(), pa.system_memory_pool():
+            pool.release_unused()
 
 
 def _send(docs: DataFrame, path: str) -> str:

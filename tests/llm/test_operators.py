@@ -1,9 +1,11 @@
 """Each operator against a plain one on small tables: nulls, empty and long texts, ties, repeats, clashing columns."""
 
 import base64
+import gc
 import hashlib
 import math
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -884,6 +886,21 @@ def test_the_search_for_copies_lets_go_of_the_encoder(monkeypatch):
     assert not list(simhash._word_prints(1)(iter([]))) and not bpe._codecs
 
 
+def test_an_encoder_that_is_let_go_is_gone(monkeypatch):
+    """Its caches refer to it: without a look for cycles it stays as long as nothing else asks for one."""
+    codec = bpe.Codec({bytes([k]): k for k in range(256)}, public_tokenizers.PATTERN)
+    codec.digest("some text")
+    monkeypatch.setattr(bpe, "_codecs", {("name", "pattern", 1): codec})
+    left = weakref.ref(codec)
+    del codec
+    gc.disable()
+    try:
+        bpe.forget()
+        assert left() is None
+    finally:
+        gc.enable()
+
+
 def test_passes_sort_only_groups_whose_digits_differ(monkeypatch):
     group, by = np.repeat([4, 2, 9], 5), np.repeat(np.array([[7, 1], [3, 3], [5, 0]], np.uint64), 5, axis=0)
     monkeypatch.setattr(np, "lexsort", None)  # none of these groups needs it
