@@ -25,30 +25,31 @@ through a text however long; without training documents the counts are zero; oth
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrow import slices
-from .bpe import Recent
 from .common import cut, partitions, release
 from .textnum import scramble
 
 GROUPS, BINS, ENDINGS, NEIGHBOURS = 16, 16, 256, 64
 CLASSES = GROUPS * BINS
 OWN, FREQUENT = 1 << 14, 1 << 18
-#: Rows of the three kinds of features; ROWS in all.
+#: Rows of the three kinds of features (powers of two); ROWS in all.
 PART = (1 << 12, 1 << 11, 1 << 11)
 ROWS = sum(PART)
-ROUNDS, RATE, DOUBT, STEP, BLOCKS = 3, 0.4, 1.0, 8192, 64
-SEED, CACHED, CHUNK = 0x6C6D, 250_000, 1 << 20
+ROUNDS, RATE, DOUBT, STEP, BLOCKS, SAFE = 3, 0.4, 1.0, 8192, 64, 60
+SEED, CHUNK, PIECE = 0x6C6D, 1 << 20, 1 << 24
 #: A token's code is its rank in the table of frequent ones, or RARE and its ending. END is the hash of the end, BEGIN the code before a text.
 RARE, END, BEGIN = 1 << 20, 1 << 63, 1 << 21
 
@@ -63,31 +64,80 @@ def token(word: bytes) -> int:
     return 1 << 63 | h & ~0xFF & (1 << 63) - 1 | xxhash.xxh3_64_intdigest(word[-2:], SEED) & 0xFF
 
 
+@cache
+def _endings() -> np.ndarray:
+    """The lowest byte of the tokens that end with each two bytes, then of those of one byte."""
+    every = [bytes([x]) for x in range(256)]
+    return np.array([token(w) & 0xFF for w in chain((x + y for x in every for y in every), every)], np.uint64)
+
+
+def different(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts' different words by token(), which of them each word is, and how many words each part has. Only different words are
+    Python objects."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(parts, pa.large_binary()).view(pa.large_string())))
+    ends = lists.offsets.to_numpy()
+    ends = ends - ends[0]
+    words = lists.flatten().dictionary_encode()
+    which, kinds = words.indices.to_numpy(), words.dictionary.view(pa.large_binary())
+    at = np.frombuffer(kinds.buffers()[1] or b"", np.int64)[kinds.offset : kinds.offset + len(kinds) + 1]
+    size = np.diff(at)
+    if not size.all():  # space at an end of a part makes an empty word
+        keep = (size > 0)[which]
+        ends = np.append(0, np.cumsum(keep))[ends]
+        which = (np.cumsum(size > 0) - 1)[which[keep]]
+    at = np.append(at[:-1][size > 0], at[-1:])
+    if len(at) < 2:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.diff(ends)
+    data = kinds.buffers()[2].to_pybytes()
+    raw, last, digest, each = np.frombuffer(data, np.uint8), at[1:] - 1, xxhash.xxh3_64_intdigest, at.tolist()
+    h = np.fromiter((digest(data[a:b], SEED) for a, b in zip(each, each[1:])), np.uint64, len(last))
+    of = np.where(np.diff(at) > 1, raw[last - 1].astype(np.int64) << 8, 1 << 16) + raw[last]
+    return h & np.uint64((1 << 63) - 256) | np.uint64(1 << 63) | _endings()[of], which, np.diff(ends)
+
+
 class Coder:
     """Ranks of texts' frequent tokens and hashes of all others. END comes after each text's words."""
 
     def __init__(self, table: np.ndarray | None = None):
-        rank = {} if table is None else {h: k for k, h in enumerate(table.tolist())}
-        self.end = rank.get(END, END)
-
-        def code(word: bytes) -> int:
-            h = token(word)
-            return rank.get(h, h)
-
-        self.of = Recent(code, CACHED)
+        table = np.empty(0, np.uint64) if table is None else table
+        self.rank = np.argsort(table)
+        self.sorted = table[self.rank]
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.sorted, h)
+        held = at < len(self.sorted)
+        held[held] = self.sorted[at[held]] == h[held]
+        out = h.copy()
+        out[held] = self.rank[at[held]]
+        return out
 
     def all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ranks or hashes of all texts' tokens one after another, and how many each has."""
-        each, get, end = [], self.of.__getitem__, np.array([self.end], np.uint64)
-        sizes = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            for part in _parts(text):
-                words = part.lower().split()
-                each.append(np.fromiter(map(get, words), np.uint64, len(words)))
-                sizes[k] += len(words)
-            each.append(end)
-            sizes[k] += 1
-        return np.concatenate(each or [np.empty(0, np.uint64)]), sizes
+        each, sizes = [np.empty(0, np.uint64)], np.ones(len(texts), np.int64)
+        for parts, whose in _pieces(texts):
+            h, which, n = different(parts)
+            each.append(self.of(h)[which])
+            np.add.at(sizes, whose, n)
+        out = np.full(sizes.sum(), self.of(np.array([END], np.uint64))[0])
+        word = np.ones(len(out), bool)
+        word[np.cumsum(sizes) - 1] = False
+        out[word] = np.concatenate(each)
+        return out, sizes
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[list[bytes], list[int]]]:
+    """The texts' parts, about PIECE bytes at once, and the text of each."""
+    held, whose, total = [], [], 0
+    for k, text in enumerate(texts):
+        for part in _parts(text):
+            held.append(part)
+            whose.append(k)
+            total += len(part)
+            if total >= PIECE:
+                yield held, whose
+                held, whose, total = [], [], 0
+    if held:
+        yield held, whose
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
@@ -128,7 +178,7 @@ def features(codes: np.ndarray, sizes: np.ndarray, group: np.ndarray) -> np.ndar
     """Three rows of the weights for each token; before a text's first token stands BEGIN."""
     place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     back = lambda x, k, none: np.where(place >= k, np.concatenate([np.zeros(k, x.dtype), x])[: len(x)], none)
-    hashed = lambda k, x: (scramble(x.astype(np.uint64) + np.uint64(k + 1)) % np.uint64(PART[k])).astype(np.int64)
+    hashed = lambda k, x: (scramble(x.astype(np.uint64) + np.uint64(k + 1)) & np.uint64(PART[k] - 1)).astype(np.int64)
     g = [back(group, k, GROUPS) for k in (1, 2, 3)]
     wide = GROUPS + 1
     return np.stack(
@@ -158,13 +208,10 @@ class Weights:
 
     def sums(self, f: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The weights of all groups, and of all bins within the given groups, added up."""
-        z = self.group[f[0]] + self.group[f[1]]
-        z += self.group[f[2]]
+        total = lambda w, at: w.take(at[0], axis=0) + w.take(at[1], axis=0) + w.take(at[2], axis=0)
+        z, y = total(self.group, f), total(self.bin, f * GROUPS + group)
         z += self.group_bias
-        at = f * GROUPS + group
-        y = self.bin[at[0]] + self.bin[at[1]]
-        y += self.bin[at[2]]
-        y += self.bin_bias[group]
+        y += self.bin_bias.take(group, axis=0)
         return z, y
 
     def chosen(self, f: np.ndarray, group: np.ndarray, bin_: np.ndarray) -> np.ndarray:
@@ -173,17 +220,22 @@ class Weights:
         for at in range(0, len(group), STEP):
             part, g, b = f[:, at : at + STEP], group[at : at + STEP], bin_[at : at + STEP]
             for z, k in zip(self.sums(part, g), (g, b)):
-                own = z[np.arange(len(k)), k]
-                most = z.max(axis=1)
-                z -= most[:, None]
-                out[at : at + STEP] += own - most - np.log(np.exp(z, out=z).sum(axis=1))
+                safe(z)
+                own = z.ravel().take(np.arange(len(k)) * z.shape[1] + k)
+                out[at : at + STEP] += own - np.log(np.einsum("ij->i", np.exp(z, out=z)))
         return out
 
 
+def safe(z: np.ndarray) -> None:
+    """Takes its maximum from each row, if without that the exponentials might leave what float32 holds."""
+    if max(z.max(), -z.min()) > SAFE:
+        z -= z.max(axis=1, keepdims=True)
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+    safe(z)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z *= (1 / np.einsum("ij->i", z))[:, None]
     return z
 
 
@@ -202,15 +254,15 @@ class Sums:
         for at in range(0, len(group), STEP):
             part, g = f[:, at : at + STEP], group[at : at + STEP]
             p, q = map(softmax, w.sums(part, g))
-            for rows in part:
-                _scatter(self.groups, rows, p)
-                _scatter(self.bins, rows * GROUPS + g, q)
+            _scatter(self.groups, part, p)
+            _scatter(self.bins, part * GROUPS + g, q)
 
 
 def _scatter(total: np.ndarray, rows: np.ndarray, p: np.ndarray) -> None:
-    """Adds p's rows to those of total (flat, as wide as p)."""
-    wide = p.shape[1]
-    np.add.at(total, (rows[:, None] * wide + np.arange(wide)).ravel(), p.ravel().astype(np.float64))
+    """Adds p's rows to those of total (flat, as wide as p) that each of rows names; two numbers at once, as a complex one."""
+    pairs, half = p.astype(np.float64).view(np.complex128).ravel(), p.shape[1] // 2
+    for own in rows:
+        np.add.at(total.view(np.complex128), (own[:, None] * half + np.arange(half)).ravel(), pairs)
 
 
 def neighbours(codes: np.ndarray, sizes: np.ndarray, total: np.ndarray) -> None:
@@ -251,13 +303,14 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter[bytes] = Counter()
-            for text in _texts(batch):
-                for part in _parts(text):
-                    seen.update(part.lower().split())
-            h = np.fromiter(map(token, seen), np.uint64, len(seen))
-            c = np.fromiter(seen.values(), np.int64, len(seen))
-            h, c = np.append(h, np.uint64(END)), np.append(c, batch.num_rows)
+            hs, cs = [np.array([END], np.uint64)], [np.array([batch.num_rows])]
+            for texts in slices([batch]):
+                for parts, _ in _pieces(_texts(texts)):
+                    h, which, _ = different(parts)
+                    hs.append(h)
+                    cs.append(np.bincount(which, minlength=len(h)))
+            h, of = np.unique(np.concatenate(hs), return_inverse=True)
+            c = np.bincount(of, weights=np.concatenate(cs)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
 
     return texts.mapInArrow(run, "h long, c long").where("c > 0").groupBy("h").agg(F.sum("c").alias("c"))

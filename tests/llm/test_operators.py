@@ -799,6 +799,33 @@ def test_lm_score_is_the_plain_one(spark, docs):
         assert math.isclose(known * 10 ** kinds.seen[g] + 10 ** kinds.unseen[g], 1) or not known
 
 
+def test_lm_tokens_without_a_call_for_each(monkeypatch):
+    texts = [b"", b" The\x0bcat \xc3\x80\xff  a\x1cb\x00 ", b"\r\n", b"x THE x " + b"q" * 300 + b" \xe2\x80\x83z", b"the"]
+    tokens = [[lm.token(w) for w in t.lower().split()] + [lm.END] for t in texts]
+    table = np.array([lm.token(b"x"), lm.END, lm.token(b"the")], np.uint64)
+    rank = {h: k for k, h in enumerate(table.tolist())}
+    lm._endings()
+    monkeypatch.setattr(lm, "token", None)
+    for size in (1 << 24, 1):
+        monkeypatch.setattr(lm, "PIECE", size)
+        for coder, code in ((lm.Coder(), {}), (lm.Coder(table), rank)):
+            codes, sizes = coder.all(texts)
+            assert codes.tolist() == [code.get(h, h) for t in tokens for h in t] and sizes.tolist() == [len(t) for t in tokens]
+    codes, sizes = lm.Coder(table).all([])
+    assert not len(codes) and not len(sizes)
+
+
+def test_lm_softmax_of_any_size():
+    for most in (1, 50, 300):  # beyond SAFE the rows' maxima are taken off
+        z = np.random.default_rng(most).uniform(-most, most, (1000, lm.BINS)).astype(np.float32)
+        p = np.exp(z.astype(float) - z.max(axis=1, keepdims=True))
+        assert np.abs(lm.softmax(z.copy()) - p / p.sum(axis=1, keepdims=True)).max() < 1e-6
+        w = lm.Weights(np.zeros((lm.ROWS, lm.GROUPS), np.float32), np.zeros((lm.ROWS * lm.GROUPS, lm.BINS), np.float32), z[0], z[1:17])
+        group, bin_ = np.arange(16), np.arange(16)[::-1]
+        want = np.log(p / p.sum(axis=1, keepdims=True)) if most < 300 else z - z.max(axis=1, keepdims=True) - np.log(p.sum(axis=1, keepdims=True))
+        assert np.abs(w.chosen(np.zeros((3, 16), np.int64), group, bin_) - (want[0, group] + want[1 + group, bin_])).max() < 1e-3
+
+
 def test_lm_long_texts_in_parts(monkeypatch):
     text = " ".join(RNG.choice(WORDS) for _ in range(3000)).encode()
     whole = lm.Coder().all([text, b""])
