@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .arrow import slices
 from .common import cut, partitions, release
-from .textnum import scramble
+from .textnum import numbered, scramble
 
 GROUPS, BINS, ENDINGS, NEIGHBOURS = 16, 16, 256, 64
 CLASSES = GROUPS * BINS
@@ -74,25 +74,16 @@ def _endings() -> np.ndarray:
 def different(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The parts' different words by token(), which of them each word is, and how many words each part has. Only different words are
     Python objects."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(parts, pa.large_binary()).view(pa.large_string())))
-    ends = lists.offsets.to_numpy()
-    ends = ends - ends[0]
-    words = lists.flatten().dictionary_encode()
-    which, kinds = words.indices.to_numpy(), words.dictionary.view(pa.large_binary())
-    at = np.frombuffer(kinds.buffers()[1] or b"", np.int64)[kinds.offset : kinds.offset + len(kinds) + 1]
-    size = np.diff(at)
-    if not size.all():  # space at an end of a part makes an empty word
-        keep = (size > 0)[which]
-        ends = np.append(0, np.cumsum(keep))[ends]
-        which = (np.cumsum(size > 0) - 1)[which[keep]]
-    at = np.append(at[:-1][size > 0], at[-1:])
-    if len(at) < 2:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.diff(ends)
+    lowered = pc.ascii_lower(pa.array(parts, pa.large_binary()).view(pa.large_string()))
+    which, sizes, kinds = numbered(lowered.view(pa.large_binary()))
+    if not len(kinds):
+        return np.empty(0, np.uint64), which, sizes
+    at = np.frombuffer(kinds.buffers()[1], np.int64)[kinds.offset : kinds.offset + len(kinds) + 1]
     data = kinds.buffers()[2].to_pybytes()
     raw, last, digest, each = np.frombuffer(data, np.uint8), at[1:] - 1, xxhash.xxh3_64_intdigest, at.tolist()
     h = np.fromiter((digest(data[a:b], SEED) for a, b in zip(each, each[1:])), np.uint64, len(last))
     of = np.where(np.diff(at) > 1, raw[last - 1].astype(np.int64) << 8, 1 << 16) + raw[last]
-    return h & np.uint64((1 << 63) - 256) | np.uint64(1 << 63) | _endings()[of], which, np.diff(ends)
+    return h & np.uint64((1 << 63) - 256) | np.uint64(1 << 63) | _endings()[of], which, sizes
 
 
 class Coder:

@@ -28,7 +28,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .arrow import longs, slices
 from .common import cut, partitions, release
-from .textnum import prefix_sums, scramble, span_hashes, words_of
+from .textnum import gram_hashes, numbered, prefix_sums, span_hashes, words_of
 
 PIECE, MANY = 1 << 18, 1 << 16
 
@@ -76,12 +75,6 @@ class Symbols:
     start: np.ndarray | None = None
     end: np.ndarray | None = None
 
-    def bytes(self, text: bytes, lo: int, hi: int) -> bytes:
-        """The text's bytes from symbol lo to before symbol hi."""
-        if lo >= hi:
-            return b""
-        return text[lo:hi] if self.start is None else text[self.start[lo] : self.end[hi - 1]]
-
 
 def symbols(texts: list[bytes], kind: Windows) -> list[Symbols]:
     if not kind.words:
@@ -93,17 +86,14 @@ def symbols(texts: list[bytes], kind: Windows) -> list[Symbols]:
 
 
 def slide(v: np.ndarray, w: int, best=np.minimum) -> np.ndarray:
-    """The best of each w neighbours, in a fixed number of passes."""
-    n = len(v) - w + 1
+    """The best of each w neighbours, by spans that double: the base-2 logarithm of w passes, and one for two spans that overlap."""
+    n, span = len(v) - w + 1, 1
     if n < 1:
         return v[:0]
-    padded = np.zeros(-(-len(v) // w) * w, v.dtype)
-    padded[: len(v)] = v
-    padded[len(v) :] = v[-1]
-    rows = padded.reshape(-1, w)
-    ahead = best.accumulate(rows, axis=1).ravel()
-    behind = best.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[:n], ahead[w - 1 : w - 1 + n])
+    while 2 * span <= w:
+        v = best(v[:-span], v[span:])
+        span *= 2
+    return best(v[:n], v[w - span :])
 
 
 def _pieces(sizes: list[int], length: int) -> Iterator[list[tuple[int, int, int, int]]]:
@@ -133,8 +123,7 @@ def anchors(given: list[Symbols], kind: Windows) -> dict[str, np.ndarray]:
         buf, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
         start = np.cumsum(sizes) - sizes
         sums = prefix_sums(buf)
-        at = np.arange(len(buf) - gram + 1)
-        v = span_hashes(buf, at, at + gram, sums) | np.uint64(1)
+        v = gram_hashes(buf, gram, sums) | np.uint64(1)
         least = slide(v, reach + 1)
         open_ = np.zeros(len(least), bool)
         for s, (_, off, first, end) in zip(start.tolist(), held):
@@ -164,6 +153,21 @@ def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+def _whole(texts: list[bytes], given: list[Symbols], doc: np.ndarray, a: np.ndarray, size: np.ndarray, kind: Windows) -> bytes:
+    """The digests of the anchors' surroundings one after another; doc is sorted. Where the text begins or ends less than a window away, the
+    anchor's place tells it from other surroundings of as many symbols."""
+    lo, hi = _around(a, size[doc], kind)
+    place, blake, out = np.stack([a - lo, hi - a], axis=1).astype("<u2").tobytes(), hashlib.blake2b, []
+    at = np.searchsorted(doc, np.arange(len(texts) + 1)).tolist()
+    for text, s, k, upto in zip(texts, given, at, at[1:]):
+        first, last = lo[k:upto], hi[k:upto]
+        if s.start is not None:
+            first, last = s.start[first], s.end[last - 1]
+        spans = zip(range(4 * k, 4 * upto, 4), first.tolist(), last.tolist())
+        out += [blake(place[p : p + 4] + text[x:y], digest_size=16).digest() for p, x, y in spans]
+    return b"".join(out)
+
+
 def merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans that overlap or touch made one, in order."""
     order = np.lexsort((lo, doc))
@@ -197,10 +201,7 @@ def _sketch(kind: Windows):
             size = np.array([len(s.of) for s in given], np.int64)
             sha = [hashlib.sha256(t) for t in texts]
             x = anchors(given, kind)
-            spans = zip(x["doc"].tolist(), *(c.tolist() for c in _around(x["a"], size[x["doc"]], kind)))
-            # where the text begins or ends less than a window away, the anchor's place tells it from other surroundings of as many symbols
-            whole = b"".join([digest(b"%d %d " % (a - lo, hi - a) + given[d].bytes(texts[d], lo, hi)) for (d, lo, hi), a in zip(spans, x["a"].tolist())])
-            x["x"], x["y"] = np.frombuffer(whole, "<i8").reshape(-1, 2).T
+            x["x"], x["y"] = np.frombuffer(_whole(texts, given, x["doc"], x["a"], size, kind), "<i8").reshape(-1, 2).T
             order = np.lexsort((x["a"], x["y"], x["x"], x["doc"]))
             x = {k: v[order] for k, v in x.items()}
             again = np.zeros(len(order) + 1, bool)
@@ -345,10 +346,11 @@ def matrix(data: list[bytes], skip: np.ndarray, kind: Windows) -> tuple[np.ndarr
     """The symbols as rows (a word is numbered as it comes up, so that equal numbers are equal words), symbol k in column skip + k and
     0 elsewhere; and how many symbols each has."""
     if kind.words:
-        number: dict[bytes, int] = {}
-        coded = {d: [number.setdefault(w, len(number) + 1) for w in d.split()] for d in dict.fromkeys(data)}
-        size = np.array([len(coded[d]) for d in data], np.int64)
-        flat = np.fromiter(chain.from_iterable(coded[d] for d in data), np.uint32, int(size.sum()))
+        first: dict[bytes, int] = {}
+        of = np.array([first.setdefault(d, len(first)) for d in data], np.int64)
+        which, each, _ = numbered(pa.array(list(first), pa.large_binary()))
+        size, start = each[of], (np.cumsum(each) - each)[of]
+        flat = (which + 1).astype(np.uint32)[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
     else:
         size = np.array([len(d) for d in data], np.int64)
         flat = np.frombuffer(b"".join(data), np.uint8)

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SLAB = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -81,6 +83,21 @@ def cuts(text: bytes, size: int = SLAB) -> Iterator[tuple[int, Slab]]:
         at = end
 
 
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """texts: large binary, no nulls. Their words one after another, equal numbers for equal ones, counted from 0 as they come up; how many words
+    each text has; the words by number. No word is a Python object."""
+    lists = pc.ascii_split_whitespace(texts.view(pa.large_string()))
+    ends = lists.offsets.to_numpy()
+    words = lists.flatten().dictionary_encode()
+    which, kinds, ends = words.indices.to_numpy(), words.dictionary.view(pa.large_binary()), ends - ends[0]
+    full = pc.greater(pc.binary_length(kinds), 0).to_numpy(zero_copy_only=False)
+    if not full.all():  # space at an end of a text makes an empty word
+        keep = full[which]
+        ends = np.append(0, np.cumsum(keep))[ends]
+        which, kinds = (np.cumsum(full) - 1)[which[keep]], kinds.filter(pa.array(full))
+    return which, np.diff(ends), kinds
+
+
 def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte, byte behind the last, and hash of each word."""
     out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
@@ -116,6 +133,11 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.nd
     return scramble((p[end] - p[start]) * powers(len(buf) + 1)[1][start] + (end - start).astype(np.uint64))
 
 
+def gram_hashes(buf: np.ndarray, gram: int, sums: np.ndarray) -> np.ndarray:
+    """span_hashes of all spans of so many bytes or numbers."""
+    return scramble((sums[gram:] - sums[: len(sums) - gram]) * powers(len(buf) + 1)[1][: len(buf) - gram + 1] + np.uint64(gram))
+
+
 def scramble(x: np.ndarray) -> np.ndarray:
     """A one-to-one mixing of 64-bit numbers."""
     x = x.astype(np.uint64, copy=True)

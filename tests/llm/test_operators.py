@@ -17,7 +17,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, embedding_dedup, golay, lm, mixing, quality, registry, repeats, sharding, simhash, topk, url_filter
+from granary.llm import bpe, embedding_dedup, golay, lm, mixing, quality, registry, repeats, sharding, simhash, textnum, topk, url_filter
 from granary.llm import components as components_module
 from granary.llm.common import cut
 from granary.llm.components import components
@@ -723,6 +723,48 @@ def test_topk(spark):
         topk.accumulate(np.array([[1e12]]), np.array([[1e12]]))
 
 
+def test_repeats_slide_in_few_passes():
+    v = np.random.default_rng(1).integers(0, 1 << 63, 1000).astype(np.uint64) * np.uint64(2)
+    for w in (1, 2, 5, 48, 369, 1000, 1001):
+        for least in (np.minimum, np.maximum):
+            calls = []
+            got = repeats.slide(v, w, lambda a, b: calls.append(len(a)) or least(a, b))  # noqa: B023
+            assert got.tolist() == [int(least.reduce(v[k : k + w])) for k in range(len(v) - w + 1)]
+            assert len(calls) <= w.bit_length()
+
+
+def test_repeats_words_are_numbered_together():
+    kind = repeats.WORDS
+    data = [b"b a\x0bA  a\xc3\x80\x1c", b" ".join(b"w%d" % (k % 50) for k in range(kind.wide)), b"", b"a b", b"b a\x0bA  a\xc3\x80\x1c"]
+    skip = np.array([2, 0, 5, 1, 0])
+    which, each, words = textnum.numbered(pa.array([b" a ", *data], pa.large_binary()))
+    assert [words[k].as_py() for k in which.tolist()] == [w for d in [b"a", *data] for w in d.split()] and len(set(words.to_pylist())) == len(words)
+    assert each.tolist() == [1, *(len(d.split()) for d in data)]
+    grid, size = repeats.matrix(data, skip, kind)
+    number: dict[bytes, int] = {}
+    for row, k, d in zip(grid.tolist(), skip.tolist(), data):
+        want = [number.setdefault(w, len(number) + 1) for w in d.split()]
+        assert row == [0] * k + want + [0] * (len(row) - k - len(want))
+    assert size.tolist() == [len(d.split()) for d in data]
+
+
+def test_repeats_surroundings_without_a_call_for_each(monkeypatch):
+    part = " ".join(RNG.choice(WORDS) for _ in range(300))
+    texts = [part, "x " + part, part + " y", part[5:], part, "", "short", part + " " + part]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(repeats, "digest", None)
+    for kind in (repeats.BYTES, repeats.WORDS):
+        (out,) = repeats._sketch(kind)([batch])
+        digit, around = {}, {}
+        for text, row in zip(texts, out.to_pylist()):
+            (s,) = repeats.symbols([text.encode()], kind)
+            for x in row["anchors"]:
+                lo, hi = max(0, x["a"] - kind.reach), min(row["size"], x["a"] + kind.length)
+                whole = (x["a"] - lo, hi - x["a"], tuple(s.of[lo:hi].tolist()))
+                assert digit.setdefault((x["x"], x["y"]), whole) == whole and around.setdefault(whole, (x["x"], x["y"])) == (x["x"], x["y"])
+        assert len(digit) > 5
+
+
 def test_lm(spark, docs, empty):
     rows = docs.collect()
     held = [zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 10 == 0 for r in rows]
